@@ -10,13 +10,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 MIN_BYTES, MAX_BYTES = 3, 64  # other terms are kept unchanged
 
-# Consonant run and vowel run; y is a vowel after a consonant.
+# Consonant run and vowel run; y is a vowel after a consonant, and a consonant at the start.
 _C = "[^aeiou][^aeiouy]*"
 _V = "[aeiouy][aeiou]*"
-_MEASURE_OVER_0 = f"^(?:{_C})?{_V}{_C}"
-_MEASURE_IS_1 = f"^(?:{_C})?{_V}{_C}(?:{_V})?$"
-_MEASURE_OVER_1 = f"^(?:{_C})?{_V}{_C}{_V}{_C}"
-_HAS_VOWEL = f"^(?:{_C})?[aeiouy]"
+_HAS_VOWEL = f"^(?:{_C}[aeiouy]|[aeiou])"
+_MEASURE_OVER_0 = f"{_HAS_VOWEL}[aeiou]*{_C}"
+_MEASURE_IS_1 = f"{_MEASURE_OVER_0}(?:{_V})?$"
+_MEASURE_OVER_1 = f"{_MEASURE_OVER_0}{_V}{_C}"
 # consonant, vowel, consonant at the end, the last not w, x or y (and a plain letter or digit)
 _ENDS_CVC = "(?:[^aeiouy]|(?:^|[aeiou])y)[aeiouy][b-df-hj-np-tvz0-9]$"
 _DOUBLE = r"([b-df-hj-np-tv-z0-9])\1$"
@@ -84,6 +84,14 @@ def _final_y(word: Column) -> Column:
     return F.when((suffix != "") & stem.rlike(_HAS_VOWEL), F.concat(stem, F.lit("i"))).otherwise(word)
 
 
+def _double_suffix(word: Column) -> Column:
+    return _replace(word, _STEP_2)
+
+
+def _full_suffix(word: Column) -> Column:
+    return _replace(word, _STEP_3)
+
+
 def _drop_suffix(word: Column) -> Column:
     stem, suffix = _cut(word, _STEP_4)
     fits = stem.rlike(_MEASURE_OVER_1) & ((suffix != "ion") | stem.rlike("[st]$"))
@@ -102,15 +110,22 @@ def _final_ll(word: Column) -> Column:
 
 
 _STEPS = (
-    _plural, _past, _tidy, _final_y, lambda w: _replace(w, _STEP_2), lambda w: _replace(w, _STEP_3),
+    _plural, _past, _tidy, _final_y, _double_suffix, _full_suffix,
     _drop_suffix, _final_e, _final_ll,
 )
 
 
-def with_stem(terms: DataFrame, term: str = "term", stem: str = "stem") -> DataFrame:
-    """Add the stem of a folded term. One projection per step keeps every step evaluated once."""
-    size = F.octet_length(term)
-    out = terms.withColumn(stem, F.when(size.between(MIN_BYTES, MAX_BYTES), F.col(term)))
+def porter_stem(term: Column) -> Column:
+    """The stem of a folded term.
+
+    Each step is a lambda over a one-element array. So its input is evaluated once, and the expression
+    grows by one step at a time when the optimizer moves a filter on the stem.
+    """
+    stem = term
     for step in _STEPS:
-        out = out.withColumn(stem, step(F.col(stem)))
-    return out.withColumn(stem, F.coalesce(stem, term))
+        stem = F.transform(F.array(stem), step)[0]
+    return F.when(F.octet_length(term).between(MIN_BYTES, MAX_BYTES), stem).otherwise(term)
+
+
+def with_stem(terms: DataFrame, term: str = "term", stem: str = "stem") -> DataFrame:
+    return terms.withColumn(stem, porter_stem(F.col(term)))
