@@ -22,6 +22,7 @@ from weblattice.runtime import materialize, new_folder
 DEFAULT_LIMIT = 25
 DEFAULT_DISTANCE = 10
 MAX_LITERAL_TERMS = 500
+RANK_UNITS = 1e12
 
 
 @dataclass(frozen=True, eq=False)
@@ -271,8 +272,10 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int = DEFAULT
     idf = inverse_frequency(F.col("n_docs"), F.col("n_matching"))
     plan = asked.join(per_term.select("term", idf.alias("idf"), "avg_tokens"), "term")
     weight = bm25_weight(F.col("frequency"), F.col("idf"), F.col("n_tokens"), F.col("avg_tokens"))
+    # Whole-number sums do not depend on the order of tasks, so equal documents tie on every run.
+    units = F.round(weight * RANK_UNITS).cast("bigint") * F.col("weight")
     scores = hits.join(plan, "term").groupBy("query_id", "url").agg(
-        (-F.sum(weight * F.col("weight"))).alias("rank"), F.count(F.lit(1)).alias("_matched")
+        (-F.sum(units) / RANK_UNITS).alias("rank"), F.count(F.lit(1)).alias("_matched")
     )
     if match == "all":
         sizes = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_asked"))

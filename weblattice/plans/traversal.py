@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from weblattice.runtime import new_folder
+from weblattice.runtime import materialize, new_folder
 from weblattice.sources.responses import seed_tasks
 
 _LEVEL = "url string, seed_ord int"
@@ -57,6 +57,8 @@ def traverse(
     start = spark.read.schema("url string, origin_url string, depth int, seed_ord int").parquet(f"{root}/start")
     first, last = start.agg(F.min("depth"), F.max("depth")).first()
 
+    # The edges are read once per level: written out, they cost a scan of two columns each time.
+    links = materialize(edges.select("src", "dst"), f"{root}/edges")
     found: dict[int, DataFrame] = {}
 
     def at(depth: int) -> DataFrame:
@@ -71,7 +73,7 @@ def traverse(
                 known.append(visited.select("url"))
             path = f"{root}/level={next_depth + 1}"
             size = Observation()
-            _expand(at(next_depth), edges, reduce(DataFrame.unionByName, known)).observe(
+            _expand(at(next_depth), links, reduce(DataFrame.unionByName, known)).observe(
                 size, F.count(F.lit(1)).alias("n")
             ).write.parquet(path)
             if size.get["n"]:
