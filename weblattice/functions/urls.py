@@ -9,6 +9,8 @@ CRAWLABLE_SCHEMES = ("http", "https")
 # Unicode white space plus the four ASCII separators that Python's strip() also cuts.
 _SPACE = r"[\s\x1c-\x1f]"
 
+_EMPTY_QUERY = r"\A([^?]*)\?\z"
+
 
 def strip(text: Column) -> Column:
     """Trim Unicode white space at both ends (Spark's trim only cuts blanks)."""
@@ -26,7 +28,7 @@ def normalize_url(url: Column) -> Column:
     """
     trimmed = strip(url)
     bare = F.regexp_replace(
-        F.regexp_replace(F.regexp_replace(trimmed, r"(?s)#.*\z", ""), r"[\t\r\n]", ""), r"\?\z", ""
+        F.regexp_replace(F.regexp_replace(trimmed, r"(?s)#.*\z", ""), r"[\t\r\n]", ""), _EMPTY_QUERY, "$1"
     )
     prefix = F.regexp_extract(bare, r"\A([A-Za-z][A-Za-z0-9+.-]*:)", 1)
     rest = bare.substr(F.length(prefix) + F.lit(1), F.length(bare))
@@ -63,7 +65,7 @@ def quote(text: Column) -> Column:
 
 def _comparable(path: Column) -> Column:
     # An empty fragment, then an empty query, leaves no trace in a re-joined URL.
-    return quote(F.regexp_replace(F.regexp_replace(path, r"#\z", ""), r"\?\z", ""))
+    return quote(F.regexp_replace(F.regexp_replace(path, r"#\z", ""), _EMPTY_QUERY, "$1"))
 
 
 def robots_rule_path(raw: Column) -> Column:

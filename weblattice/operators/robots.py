@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from weblattice.functions.urls import host_key, robots_rule_path, robots_url_path, strip, unquote
+from weblattice.runtime import materialize, new_folder
 
 DEFAULT_USER_AGENT = "WebLatticeBot/1.0"
 
@@ -83,12 +84,15 @@ def with_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFram
     """Add ``allowed``. A host without rules, or a url no rule matches, is allowed.
 
     The rules of a host travel as one array, so the join gives one row per url instead of one per url
-    and rule. The planner broadcasts the rules only if they are small; otherwise a host with very many
-    urls is split by the adaptive skew join.
+    and rule. That table is written out first: the planner broadcasts it only if it is small, and else
+    both sides of the join are plain shuffles, which the adaptive skew join splits at a hot host.
     """
-    per_host = rules.groupBy("host_key").agg(
-        F.sort_array(F.collect_list(F.struct("ord", "allow", "path"))).alias("_rules")
-    ).withColumnRenamed("host_key", "_host")
+    per_host = materialize(
+        rules.groupBy(F.col("host_key").alias("_host")).agg(
+            F.sort_array(F.collect_list(F.struct("ord", "allow", "path"))).alias("_rules")
+        ),
+        new_folder(urls.sparkSession, "robots"),
+    )
     path = robots_url_path(F.col(url))
     joined = urls.withColumn("_key", host_key(F.col(url))).join(per_host, F.col("_key") == F.col("_host"), "left")
     matching = F.filter("_rules", lambda rule: F.startswith(F.col("_path"), rule["path"]))

@@ -256,12 +256,16 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int = DEFAULT
     words = queries.select("query_id", F.explode(text_tokens(F.col("query"))).alias("term"))
     if index.vocabulary is not None:
         words = with_stem(words).withColumn("term", F.col("stem")).drop("stem")
-    asked = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight"))
-    wanted = asked.select("term").distinct()
+    # Written out, the query words have a known size: broadcast if small, and else one plain shuffle of
+    # each side, which the adaptive skew join splits at a hot word.
+    asked = materialize(
+        words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight")), new_folder(spark, "query-words")
+    )
     if index.vocabulary is None:
-        hits = index.frequencies.join(wanted, "term", "left_semi")
+        hits = index.frequencies.join(asked.select("term"), "term", "left_semi")
     else:
-        behind = index.vocabulary.withColumnRenamed("term", "_raw").join(wanted, F.col("stem") == F.col("term"), "left_semi")
+        behind = index.vocabulary.withColumnRenamed("term", "_raw").join(asked, F.col("stem") == F.col("term"), "left_semi")
+        behind = materialize(behind, new_folder(spark, "query-stems"))
         hits = (
             index.frequencies.withColumnRenamed("term", "_raw").join(behind, "_raw")
             .groupBy(F.col("stem").alias("term"), "url", "n_tokens").agg(F.sum("frequency").alias("frequency"))
@@ -270,7 +274,9 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int = DEFAULT
 
     per_term = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_matching")).crossJoin(F.broadcast(corpus_stats(index)))
     idf = inverse_frequency(F.col("n_docs"), F.col("n_matching"))
-    plan = asked.join(per_term.select("term", idf.alias("idf"), "avg_tokens"), "term")
+    plan = materialize(
+        asked.join(per_term.select("term", idf.alias("idf"), "avg_tokens"), "term"), new_folder(spark, "query-terms")
+    )
     weight = bm25_weight(F.col("frequency"), F.col("idf"), F.col("n_tokens"), F.col("avg_tokens"))
     # Whole-number sums do not depend on the order of tasks, so equal documents tie on every run.
     units = F.round(weight * RANK_UNITS).cast("bigint") * F.col("weight")

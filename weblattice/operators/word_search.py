@@ -6,8 +6,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from weblattice.functions.scoring import word_score
 from weblattice.functions.words import normalize_query
+from weblattice.runtime import materialize, new_folder
 
 RESULT_COLUMNS = ("url", "score", "frequency", "depth")
+MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def sort_keys(sort_by: str) -> list[Column]:
@@ -32,25 +34,40 @@ def search_words(postings: DataFrame, query: str, sort_by: str = "relevance", li
     return ordered if limit is None else ordered.limit(limit)
 
 
+def _of_words(postings: DataFrame, words: DataFrame) -> DataFrame:
+    """Keep the postings of the words, if these are few enough to broadcast; else all postings.
+
+    A shuffled join would put a hot word into one task, and the ranking by word after it could not be
+    split. With that many words little would be filtered out anyway.
+    """
+    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 16), F.lit(0))).first()[0]
+    if size > MAX_BROADCAST_BYTES:
+        return postings
+    return postings.join(F.broadcast(words), "word", "left_semi")
+
+
 def search_words_batch(postings: DataFrame, queries: DataFrame, limit: int = 25, sort_by: str = "relevance") -> DataFrame:
     """Top results for a table ``(query_id, query)``: ``(query_id, query, position, url, score, ...)``.
 
     Each distinct word is ranked once. The row_number filter lets Spark cut every map partition to the
-    best ``limit`` rows per word before the shuffle, so a hot word sends few rows to its task; the
-    queries join the ranked lists, never the postings.
+    best ``limit`` rows per word before the shuffle, so a hot word sends few rows to its task. The
+    queries join the ranked lists, never the postings; the lists are written out, so that join is a
+    broadcast if they are small and can be split at a word that very many queries ask for.
     """
+    spark = postings.sparkSession
     asked = queries.withColumn("word", normalize_query(F.col("query"))).filter(F.col("word") != "")
-    wanted = postings.join(asked.select("word").distinct(), "word", "left_semi")
+    words = materialize(asked.select("word").distinct(), new_folder(spark, "query-words"))
     best_first = Window.partitionBy("word").orderBy(*result_order(sort_by))
     top = (
-        scored(wanted).select("word", *RESULT_COLUMNS)
+        scored(_of_words(postings, words)).select("word", *RESULT_COLUMNS)
         .withColumn("position", F.row_number().over(best_first)).filter(F.col("position") <= limit)
     )
+    top = materialize(top, new_folder(spark, "ranked-words"))
     return asked.join(top, "word").select("query_id", "query", "position", *RESULT_COLUMNS)
 
 
-def audit_scores(postings: DataFrame, results: DataFrame, top: int = 3) -> DataFrame:
-    """Compare search output with the formula, for the ``top`` postings of each word.
+def audit_scores(postings: DataFrame, results: DataFrame, top: int = 3, words: DataFrame | None = None) -> DataFrame:
+    """Compare search output with the formula, for the ``top`` postings of each word (of ``words``, if given).
 
     ``results`` is ``(word, position, url, score, frequency, depth)``. Checked are the score, the sort
     order and that all fields are there; a row missing on either side fails.
@@ -62,6 +79,8 @@ def audit_scores(postings: DataFrame, results: DataFrame, top: int = 3) -> DataF
         .withColumn("position", F.row_number().over(order)).filter(F.col("position") <= top)
         .select("word", "position", F.col("url").alias("manual_url"), "manual_score")
     )
+    if words is not None:
+        manual = manual.join(words.select("word"), "word", "left_semi")
     reported = results.filter(F.col("position") <= top)
     joined = manual.join(reported, ["word", "position"], "full_outer")
     complete = F.col("frequency").isNotNull() & F.col("depth").isNotNull() & F.col("url").isNotNull()

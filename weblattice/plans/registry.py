@@ -13,7 +13,7 @@ from weblattice.operators.extraction import extract_pages, page_links, with_outc
 from weblattice.operators.postings import append_postings, word_postings, words_on_many_urls
 from weblattice.operators.reports import distinct_hosts, error_pages, frontier_size, store_report
 from weblattice.operators.robots import robots_allowed, robots_rules
-from weblattice.operators.text_index import TextIndex, build_text_index, document_frequency, replace_pages
+from weblattice.operators.text_index import TextIndex, build_text_index, document_frequency, replace_pages, save_text_index
 from weblattice.operators.text_search import all_of, any_of, but_not, near, phrase, search_text, search_text_batch
 from weblattice.operators.visited import add_visited, new_urls, upsert_pages
 from weblattice.operators.word_search import audit_scores, search_words, search_words_batch
@@ -112,10 +112,10 @@ def word_search_batch(spark, sf_dir):
 @query
 def score_audit(spark, sf_dir):
     postings = materialize(word_postings(corpus.good_pages(spark, sf_dir)), new_folder(spark, "postings"))
-    words = words_on_many_urls(postings).select(F.col("word").alias("query_id"), F.col("word").alias("query"))
-    results = search_words_batch(postings, words, limit=3).withColumnRenamed("query_id", "word")
-    audited = postings.join(words.select(F.col("query").alias("word")), "word", "left_semi")
-    return audit_scores(audited, results)
+    words = materialize(words_on_many_urls(postings).select("word"), new_folder(spark, "words"))
+    queries = words.select(F.col("word").alias("query_id"), F.col("word").alias("query"))
+    results = search_words_batch(postings, queries, limit=3).withColumnRenamed("query_id", "word")
+    return audit_scores(postings, results, words=words)
 
 
 @query
@@ -410,7 +410,8 @@ def fts_vocabulary(spark, sf_dir):
 
 @query
 def fts_stemmed(spark, sf_dir):
-    return _ranked(search_text(_page_index(spark, sf_dir, stem=True), any_of("ings", "ered"), limit=None))
+    index = save_text_index(_page_index(spark, sf_dir, stem=True), new_folder(spark, "text-index"))
+    return _ranked(search_text(index, any_of("ings", "ered"), limit=None))
 
 
 # --- streams --------------------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.responses import seed_tasks
 
-_LEVEL = "url string, seed_ord int"
+_LEVEL = "url string, seed_ord bigint"
 
 
 @dataclass(frozen=True)
@@ -48,13 +48,17 @@ def traverse(
     if resumed:
         tasks = frontier.filter(F.col("depth") <= max_depth)
         if "seed_ord" not in tasks.columns:
-            tasks = tasks.withColumn("seed_ord", F.lit(0))
+            # Number the origins by name. Written out, as a recomputed sort could number them anew.
+            names = tasks.select("origin_url").distinct().orderBy("origin_url")
+            numbered = names.withColumn("seed_ord", F.monotonically_increasing_id())
+            tasks = tasks.join(materialize(numbered, f"{root}/origins"), "origin_url")
     else:
         tasks = seed_tasks(seeds, max_depth)
         if visited is not None:
             tasks = tasks.join(visited.select("url"), "url", "left_anti")
-    tasks.select("url", "origin_url", "depth", "seed_ord").write.parquet(f"{root}/start")
-    start = spark.read.schema("url string, origin_url string, depth int, seed_ord int").parquet(f"{root}/start")
+    start = materialize(
+        tasks.select("url", "origin_url", "depth", F.col("seed_ord").cast("bigint").alias("seed_ord")), f"{root}/start"
+    )
     first, last = start.agg(F.min("depth"), F.max("depth")).first()
 
     # The edges are read once per level: written out, they cost a scan of two columns each time.
@@ -82,7 +86,7 @@ def traverse(
                 next_depth = max_depth  # nothing left anywhere
         next_depth += 1
 
-    origins = start.select("seed_ord", "origin_url").distinct()
+    origins = materialize(start.select("seed_ord", "origin_url").distinct(), f"{root}/seeds")
     fresh = [
         level.join(origins, "seed_ord").select("url", "origin_url", F.lit(depth).alias("depth"), "seed_ord")
         for depth, level in found.items()

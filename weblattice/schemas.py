@@ -10,7 +10,7 @@ PAGES = (
     "url string, origin_url string, depth int, title string, content string, "
     "status_code int, error string, fetched_at timestamp"
 )
-FRONTIER_CHECKPOINT = "url string, origin_url string, depth int, seed_ord int, saved_at timestamp"
+FRONTIER_CHECKPOINT = "url string, origin_url string, depth int, seed_ord bigint, saved_at timestamp"
 WORD_POSTINGS = "word string, url string, origin_url string, depth int, frequency int"
 TEXT_POSTINGS = "term string, url string, field string, pos int, n_tokens int"
 TEXT_DOCUMENTS = "url string, origin_url string, depth int, n_tokens int"

@@ -9,11 +9,10 @@ from weblattice.sources.snapshots import read_latest, write_version
 
 
 def save_frontier(frontier: DataFrame, root: str) -> int:
-    """Replace the whole checkpoint by the pending tasks and return their number."""
-    if "seed_ord" not in frontier.columns:
-        frontier = frontier.withColumn("seed_ord", F.lit(0))
+    """Replace the whole checkpoint by the pending tasks of a traversal and return their number."""
     saved = Observation()
-    rows = frontier.select("url", "origin_url", "depth", "seed_ord", F.current_timestamp().alias("saved_at"))
+    seed = F.col("seed_ord").cast("bigint").alias("seed_ord")
+    rows = frontier.select("url", "origin_url", "depth", seed, F.current_timestamp().alias("saved_at"))
     write_version(rows.observe(saved, F.count(F.lit(1)).alias("n")), root)
     return saved.get["n"]
 
