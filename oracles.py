@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from weblattice.functions import porter
 from weblattice.functions.words import STOP_WORDS
 
 _STOP = ", ".join(f"'{word}'" for word in STOP_WORDS)
@@ -214,7 +215,7 @@ def _weight(f: str, n: str) -> str:
     )
 
 
-def _search(where: str, phrases: list[str], corpus: str = _PAGE_CORPUS, kept: list[str] | None = None, scored=None, limit=None, columns=None) -> str:
+def _search(where: str, phrases: list[str], corpus: str = _PAGE_CORPUS, kept: list[str] | None = None, scored=None, limit=None, columns=None, extra="") -> str:
     """BM25 over phrases, each given as SQL for the url of every occurrence; ``kept`` are those NEAR keeps."""
     parts = [f"o{i} AS (SELECT url, count(*) AS f FROM ({sql}) GROUP BY url)" for i, sql in enumerate(phrases)]
     parts += [f"k{i} AS (SELECT url, count(*) AS f FROM ({sql}) GROUP BY url)" for i, sql in enumerate(kept or phrases)]
@@ -227,7 +228,7 @@ def _search(where: str, phrases: list[str], corpus: str = _PAGE_CORPUS, kept: li
     best = f" ORDER BY rank, url LIMIT {limit}" if limit else ""
     picked = columns or "url, origin_url, depth, round(rank, 6) AS rank"
     return (
-        f"{corpus}, {_TOKENS}, {', '.join(parts)}\nSELECT {picked} FROM (\n"
+        f"{corpus}, {_TOKENS}{extra}, {', '.join(parts)}\nSELECT {picked} FROM (\n"
         f"SELECT url, origin_url, depth, -({rank}) AS rank FROM counts, stats WHERE {where}){best}"
     )
 
@@ -249,6 +250,48 @@ def _near(term: str, other: str, distance: int) -> str:
     )
 
 
+def _cut(suffixes) -> str:
+    return f"regexp_extract(w, '^(.+?)({'|'.join(suffixes)})$', {{}})"
+
+
+def _stems() -> str:
+    """Porter's steps as nested selects over the distinct terms."""
+    over_0, is_1, over_1 = porter._MEASURE_OVER_0, porter._MEASURE_IS_1, porter._MEASURE_OVER_1
+    vowel, cvc = porter._HAS_VOWEL, porter._ENDS_CVC
+
+    def table(pairs: dict[str, str]) -> tuple[str, str]:
+        cases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in pairs.items())
+        return _cut(pairs), f"CASE WHEN x <> '' AND regexp_matches(s, '{over_0}') THEN s || CASE x {cases} END ELSE w END"
+
+    steps = [
+        (_cut(["s"]), "CASE WHEN regexp_matches(w, '^.+(sses|ies)$') THEN left(w, length(w) - 2) "
+                      "WHEN regexp_matches(w, '[^s]s$') THEN left(w, length(w) - 1) ELSE w END"),
+        (_cut(["eed", "ed", "ing"]),
+         f"CASE WHEN x = 'eed' THEN CASE WHEN regexp_matches(s, '{over_0}') THEN s || 'ee' ELSE w END "
+         f"WHEN x <> '' AND regexp_matches(s, '{vowel}') THEN s || '|' ELSE w END"),
+        (_cut(["[|]"]),
+         "CASE WHEN x = '' THEN w WHEN regexp_matches(s, '^.+(at|bl|iz)$') THEN s || 'e' "
+         "WHEN length(s) > 1 AND s[-1] = s[-2] AND regexp_matches(s, '[b-df-hj-km-np-rtv-y0-9]$') THEN left(s, length(s) - 1) "
+         f"WHEN regexp_matches(s, '{is_1}') AND regexp_matches(s, '{cvc}') THEN s || 'e' ELSE s END"),
+        (_cut(["y"]), f"CASE WHEN x <> '' AND regexp_matches(s, '{vowel}') THEN s || 'i' ELSE w END"),
+        table(porter._STEP_2),
+        table(porter._STEP_3),
+        (_cut(porter._STEP_4),
+         f"CASE WHEN x <> '' AND regexp_matches(s, '{over_1}') AND (x <> 'ion' OR regexp_matches(s, '[st]$')) THEN s ELSE w END"),
+        (_cut(["e"]),
+         f"CASE WHEN x <> '' AND (regexp_matches(s, '{over_1}') OR regexp_matches(s, '{is_1}') AND NOT regexp_matches(s, '{cvc}')) "
+         "THEN s ELSE w END"),
+        (_cut(["l"]), f"CASE WHEN ends_with(w, 'll') AND regexp_matches(s, '{over_1}') THEN s ELSE w END"),
+    ]
+    sql = "SELECT DISTINCT term, term AS w FROM tokens WHERE strlen(term) BETWEEN 3 AND 64"
+    for cut, result in steps:
+        sql = f"SELECT term, {result} AS w FROM (SELECT *, {cut.format(1)} AS s, {cut.format(2)} AS x FROM ({sql}))"
+    return f"""stems AS (
+  SELECT term, w AS stem FROM ({sql})
+  UNION ALL SELECT DISTINCT term, term FROM tokens WHERE strlen(term) NOT BETWEEN 3 AND 64
+)"""
+
+
 _DOC_CORPUS = f"WITH {_DOCUMENTS.replace('docs AS', 'doc_rows AS')}, corpus AS (SELECT url, origin_url, depth, title, visible AS content FROM doc_rows)"
 
 _TEXT_BATCH = rf"""{_DOC_CORPUS}, {_TOKENS},
@@ -350,6 +393,12 @@ UNION ALL SELECT NULL, sum(crawled_pages)::BIGINT, sum(error_pages)::BIGINT, sum
         "fts_initial": _search("f0 > 0", [_term("the", " AND pos = 0")]),
         "fts_batch_topk": _TEXT_BATCH,
         "fts_document_frequency": f"{_DOC_CORPUS}, {_TOKENS} SELECT term, count(DISTINCT url) AS n_docs FROM tokens GROUP BY term",
+        "fts_vocabulary": f"{_DOC_CORPUS}, {_TOKENS}, {_stems()} SELECT term, stem FROM stems",
+        "fts_stemmed": _search(
+            "f0 > 0 OR f1 > 0",
+            [f"SELECT url FROM tokens JOIN stems USING (term) WHERE stem = '{stem}'" for stem in ("ing", "er")],
+            extra=f", {_stems()}",
+        ),
         "stream_word_index": outcome_words,
         "stream_page_upsert": f"""{from_pages} SELECT url, origin_url, depth, shown_title AS title, status_code::INTEGER AS status_code,
   error, {_n_tokens('content')} AS n_tokens FROM rows""",

@@ -60,15 +60,16 @@ def build_text_index(pages: DataFrame, stem: bool = True) -> TextIndex:
 def save_text_index(index: TextIndex, root: str) -> TextIndex:
     """Write the index, sorted by term so that a term filter skips row groups, and return the stored form.
 
-    The range split is on term and url: a term found in most documents spreads over many files.
+    The tokens are shuffled once, by term; the rebalance hint has adaptive execution cut the partition of
+    a term that is in most documents into files of normal size.
     """
     spark = index.documents.sparkSession
     index.documents.write.parquet(f"{root}/documents")
     for name in ("postings", "frequencies"):
-        table = getattr(index, name)
-        table.repartitionByRange("term", "url").sortWithinPartitions("term", "url").write.parquet(f"{root}/{name}")
+        table = getattr(index, name).hint("rebalance", "term")
+        table.sortWithinPartitions("term", "url").write.parquet(f"{root}/{name}")
     if index.vocabulary is not None:
-        index.vocabulary.repartitionByRange("stem").sortWithinPartitions("stem").write.parquet(f"{root}/vocabulary")
+        index.vocabulary.sortWithinPartitions("stem").write.parquet(f"{root}/vocabulary")
     return load_text_index(spark, root, stem=index.vocabulary is not None)
 
 

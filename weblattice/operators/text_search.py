@@ -122,8 +122,9 @@ def _with_stems(index: TextIndex, stems: DataFrame) -> DataFrame:
     return postings.join(stems, "_raw")
 
 
-def _hits(index: TextIndex, phrases: list[Phrase], tokens: list[list[str]]) -> DataFrame:
-    """``(url, n_tokens, phrase, field, start)``: one row per occurrence of a phrase."""
+def _hits(index: TextIndex, phrases: list[Phrase], tokens: list[list[str]], together: bool) -> DataFrame:
+    """``(url, n_tokens, phrase, field, start)``: one row per occurrence of a phrase, those of one url
+    in one partition if asked for."""
     exact = sorted({t for p, words in zip(phrases, tokens) for t in (words[:-1] if p.prefix else words)})
     prefixes = sorted({words[-1] for p, words in zip(phrases, tokens) if p.prefix and words})
     wanted = reduce(or_, [F.col("term").isin(exact)] * bool(exact) + [F.col("term").startswith(p) for p in prefixes])
@@ -146,7 +147,7 @@ def _hits(index: TextIndex, phrases: list[Phrase], tokens: list[list[str]]) -> D
         "url", "n_tokens", "field", "pos", F.explode(F.array_compact(F.array(*places))).alias("_p")
     ).select("url", "n_tokens", F.col("_p.phrase").alias("phrase"), "field", (F.col("pos") - F.col("_p.offset")).alias("start"))
     if all(len(words) == 1 for words in tokens):
-        return found
+        return found.repartition("url") if together else found
     # One shuffle by url serves this and all later steps on a document.
     lengths = F.array(*[F.lit(len(words)) for words in tokens])
     return (
@@ -212,8 +213,8 @@ def search_text(index: TextIndex, query, limit: int | None = DEFAULT_LIMIT) -> D
     if not any(tokens):
         return index.documents.select("url", "origin_url", "depth", F.lit(0.0).alias("rank")).limit(0)
 
-    hits = _hits(index, phrases, tokens)
     groups = _near_groups(query)
+    hits = _hits(index, phrases, tokens, together=bool(groups))
     hits = _mark_near(hits, groups, phrases, tokens) if groups else hits
     numbers = range(len(phrases))
     kept = F.col("near_ok") if groups else F.lit(True)

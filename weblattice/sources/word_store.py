@@ -46,12 +46,13 @@ def parse_posting_lines(lines: DataFrame, column: str = "value") -> DataFrame:
 
 
 def write_postings(postings: DataFrame, path: str, mode: str = "append") -> None:
-    """Parquet sorted by word, so that a word filter skips row groups. The range split is on word and
-    url: a word found on a third of all pages still spreads over many files."""
-    (
-        keep_valid(postings).repartitionByRange("word", "url").sortWithinPartitions("word", "url")
-        .write.mode(mode).parquet(path)
-    )
+    """Parquet sorted by word, so that a word filter skips row groups.
+
+    The rebalance hint has adaptive execution cut the partition of a word that is on most pages into
+    files of normal size.
+    """
+    rows = keep_valid(postings).hint("rebalance", "word").sortWithinPartitions("word", "url")
+    rows.write.mode(mode).parquet(path)
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:
