@@ -71,12 +71,17 @@ def test_page_upsert(spark, tmp_path):
     arrive(spark, folder, 0, 12, 3)
     arrive(spark, folder, 6, 20, 1)
     jobs.stream_page_upsert(source(spark, folder), root, state).awaitTermination()
+    assert jobs.compact_page_store(spark, root) == 1  # after batches 0 and 1
     arrive(spark, folder, 9, 15, 5)
+    arrive(spark, folder, 2, 8, 6)
     jobs.stream_page_upsert(source(spark, folder), root, state).awaitTermination()
     store = jobs.read_page_store(spark, root)
     pages = with_outcome(extract_pages(batch(spark, folder))).select(*store.columns)
     assert rows(store.fillna("-")) == rows(upsert_pages(pages.limit(0), pages).fillna("-"))
     assert store.count() == store.select("url").distinct().count()
+    last = jobs.compact_page_store(spark, root)
+    assert last == 3 and jobs.compact_page_store(spark, root) is None
+    assert rows(jobs.read_page_store(spark, root).fillna("-")) == rows(store.fillna("-"))
 
 
 def test_url_dedupe(spark, tmp_path):

@@ -80,24 +80,26 @@ def robots_rules(robots: DataFrame, user_agent: str = DEFAULT_USER_AGENT) -> Dat
     )
 
 
+def rules_by_host(rules: DataFrame) -> DataFrame:
+    """The rules of each host as one array, in order. A host has the rules of one robots.txt."""
+    return rules.groupBy("host_key").agg(F.sort_array(F.collect_list(F.struct("ord", "allow", "path"))).alias("rules"))
+
+
 def with_robots(urls: DataFrame, rules: DataFrame, url: str = "url") -> DataFrame:
     """Add ``allowed``. A host without rules, or a url no rule matches, is allowed.
 
     The rules of a host travel as one array, so the join gives one row per url instead of one per url
-    and rule. That table is written out first: the planner broadcasts it only if it is small, and else
-    both sides of the join are plain shuffles, which the adaptive skew join splits at a hot host.
+    and rule. That table is written out first, unless ``rules`` comes as one (``rules_by_host``): the
+    planner broadcasts it only if it is small, and else both sides of the join are plain shuffles, which
+    the adaptive skew join splits at a hot host.
     """
-    per_host = materialize(
-        rules.groupBy(F.col("host_key").alias("_host")).agg(
-            F.sort_array(F.collect_list(F.struct("ord", "allow", "path"))).alias("_rules")
-        ),
-        new_folder(urls.sparkSession, "robots"),
-    )
-    path = robots_url_path(F.col(url))
+    if "rules" not in rules.columns:
+        rules = materialize(rules_by_host(rules), new_folder(urls.sparkSession, "robots"))
+    per_host = rules.select(F.col("host_key").alias("_host"), F.col("rules").alias("_rules"))
     joined = urls.withColumn("_key", host_key(F.col(url))).join(per_host, F.col("_key") == F.col("_host"), "left")
     matching = F.filter("_rules", lambda rule: F.startswith(F.col("_path"), rule["path"]))
     return (
-        joined.withColumn("_path", path)
+        joined.withColumn("_path", robots_url_path(F.col(url)))
         .withColumn("allowed", F.coalesce(F.get(matching, F.lit(0))["allow"], F.lit(True)))
         .drop("_key", "_host", "_rules", "_path")
     )

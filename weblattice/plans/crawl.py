@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.reports import run_counters
-from weblattice.operators.robots import DEFAULT_USER_AGENT, robots_allowed, robots_rules
+from weblattice.operators.robots import DEFAULT_USER_AGENT, robots_allowed, robots_rules, rules_by_host
 from weblattice.plans.traversal import Traversal, traverse
 from weblattice.runtime import materialize, new_folder
 
@@ -26,18 +26,19 @@ class Crawl:
 
 
 def fetch(tasks: DataFrame, extracted: DataFrame) -> DataFrame:
-    """Page rows of the tasks. A url without a captured response is an error with status 0."""
+    """Page rows of the tasks. A url without a captured response is an error with status 0.
+
+    Found and missing urls are two joins, so page text only takes part in an inner one: there few tasks
+    can be broadcast, and many can filter the text before its shuffle. The other reads only urls.
+    """
     columns = ("title", "content", "status_code", "error", "links", "bad_links", "outcome")
-    answers = extracted.select("url", *columns, F.lit(True).alias("_found"))
-    joined = tasks.join(answers, "url", "left")
-    missing = F.col("_found").isNull()
-    return joined.withColumns({
-        "status_code": F.coalesce("status_code", F.lit(0)),
-        "error": F.when(missing, NO_RESPONSE).otherwise(F.col("error")),
-        "outcome": F.coalesce("outcome", F.lit("error")),
-        "title": F.coalesce("title", F.lit("")),
-        "content": F.coalesce("content", F.lit("")),
-    }).drop("_found")
+    found = extracted.select("url", *columns).join(tasks, "url").select("url", "origin_url", "depth", *columns)
+    missing = tasks.join(extracted.select("url"), "url", "left_anti").select(
+        "url", "origin_url", "depth", F.lit("").alias("title"), F.lit("").alias("content"), F.lit(0).alias("status_code"),
+        F.lit(NO_RESPONSE).alias("error"), F.array().cast("array<string>").alias("links"), F.lit(0).alias("bad_links"),
+        F.lit("error").alias("outcome"),
+    )
+    return found.unionByName(missing)
 
 
 def crawl(
@@ -54,20 +55,22 @@ def crawl(
     """Crawl captured ``responses`` (one per url) from the seeds to ``max_depth``.
 
     Bodies are parsed once, in one pass over all responses, and the result is written to the shared
-    folder; the levels then read only its url and link columns. A url that robots rules forbid stays in
+    folder; the levels then read only its url and link columns. The page rows are written out as well,
+    for the postings and counters to read. A url that robots rules forbid stays in
     the visited set but has no page row and no children.
     """
     spark = responses.sparkSession
     extracted = materialize(with_outcome(extract_pages(responses)), new_folder(spark, "extracted"))
-    rules = robots_rules(robots, user_agent) if robots is not None else None
+    rules = None
     expandable = extracted.filter(F.col("outcome") == "success").select("url", "links")
-    if rules is not None:
-        rules = materialize(rules, new_folder(spark, "robots"))
+    if robots is not None:
+        rules = materialize(rules_by_host(robots_rules(robots, user_agent)), new_folder(spark, "robots"))
         expandable = robots_allowed(expandable, rules)
     edges = expandable.select(F.col("url").alias("src"), F.explode("links").alias("dst"))
     run: Traversal = traverse(edges, max_depth, seeds, visited=visited, frontier=frontier, levels=levels)
     processed = run.processed if rules is None else robots_allowed(run.processed, rules)
     pages = fetch(processed, extracted).withColumn("fetched_at", F.current_timestamp())
+    pages = materialize(pages, new_folder(spark, "crawled"))
     return Crawl(
         visited=run.visited,
         frontier=run.frontier,

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.responses import seed_tasks
 
-_LEVEL = "url string, seed_ord bigint"
+_LEVEL = "url string, seed_ord bigint, depth int"
 
 
 @dataclass(frozen=True)
@@ -63,36 +63,36 @@ def traverse(
 
     # The edges are read once per level: written out, they cost a scan of two columns each time.
     links = materialize(edges.select("src", "dst"), f"{root}/edges")
-    found: dict[int, DataFrame] = {}
+    levels_found: list[int] = []
 
     def at(depth: int) -> DataFrame:
-        own = start.filter(F.col("depth") == depth).select("url", "seed_ord")
-        return own.unionByName(found[depth]) if depth in found else own
+        parts = [start.filter(F.col("depth") == depth).select("url", "seed_ord")] if depth <= last else []
+        if depth in levels_found:
+            parts.append(spark.read.schema(_LEVEL).parquet(f"{root}/level-{depth}").select("url", "seed_ord"))
+        return reduce(DataFrame.unionByName, parts)
+
+    def seen(schema: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(f"{root}/start", *[f"{root}/level-{depth}" for depth in levels_found])
 
     next_depth = first
     while next_depth is not None and next_depth <= max_depth and (levels is None or next_depth < first + levels):
-        if next_depth < max_depth:
-            known = [start.select("url"), *[level.select("url") for level in found.values()]]
+        if next_depth < max_depth and (next_depth <= last or next_depth in levels_found):
+            known = seen("url string")
             if visited is not None:
-                known.append(visited.select("url"))
-            path = f"{root}/level={next_depth + 1}"
+                known = known.unionByName(visited.select("url"))
             size = Observation()
-            _expand(at(next_depth), links, reduce(DataFrame.unionByName, known)).observe(
+            _expand(at(next_depth), links, known).withColumn("depth", F.lit(next_depth + 1)).observe(
                 size, F.count(F.lit(1)).alias("n")
-            ).write.parquet(path)
+            ).write.parquet(f"{root}/level-{next_depth + 1}")
             if size.get["n"]:
-                found[next_depth + 1] = spark.read.schema(_LEVEL).parquet(path)
+                levels_found.append(next_depth + 1)
             elif next_depth >= last:
                 next_depth = max_depth  # nothing left anywhere
         next_depth += 1
 
     origins = materialize(start.select("seed_ord", "origin_url").distinct(), f"{root}/seeds")
-    fresh = [
-        level.join(origins, "seed_ord").select("url", "origin_url", F.lit(depth).alias("depth"), "seed_ord")
-        for depth, level in found.items()
-    ]
-    tasks = reduce(DataFrame.unionByName, fresh, start)
-    discovered = reduce(DataFrame.unionByName, fresh, start.filter(F.lit(not resumed)))
+    tasks = seen(_LEVEL).join(origins, "seed_ord").select("url", "origin_url", "depth", "seed_ord")
+    discovered = tasks.join(start.select("url"), "url", "left_anti") if resumed else tasks
     done_below = max_depth + 1 if next_depth is None else next_depth
     columns = ("url", "origin_url", "depth")
     return Traversal(

@@ -24,9 +24,9 @@ def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
     return version
 
 
-def read_latest(spark: SparkSession, root: str, schema: str, before: int | None = None) -> DataFrame:
-    """The newest complete version (below ``before``, if given); no version reads as empty."""
-    known = [v for v in versions(spark, root) if before is None or v < before]
+def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
+    """The newest complete version; no version reads as empty."""
+    known = versions(spark, root)
     if not known:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/version={known[-1]}")

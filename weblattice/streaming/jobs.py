@@ -7,14 +7,14 @@ operators give on the same files.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.visited import upsert_pages
-from weblattice.sources.snapshots import read_all, read_latest, write_version
+from weblattice.sources.snapshots import read_all, read_latest, versions, write_version
 
 _PAGE_COLUMNS = ("url", "origin_url", "depth", "title", "content", "status_code", "error", "fetched_at")
 
@@ -39,27 +39,41 @@ def stream_word_index(responses: DataFrame, root: str, checkpoint: str, availabl
     return _start(postings.writeStream.foreachBatch(append), checkpoint, available_now)
 
 
-def read_word_index(spark, root: str) -> DataFrame:
+def read_word_index(spark: SparkSession, root: str) -> DataFrame:
     """Postings of all finished batches; a search beside the running stream sees whole pages."""
     return read_all(spark, root, schemas.WORD_POSTINGS)
 
 
 def stream_page_upsert(responses: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Keep the page store up to date: every batch writes the next snapshot from the one before it.
+    """Keep the page store up to date. ``responses`` carries ``fetched_at``.
 
-    ``responses`` carries ``fetched_at``. A replayed batch starts from the same older snapshot again.
+    A batch writes only its own pages, one row per url, so its cost does not grow with the store. Readers
+    let the latest fetch of a url win; ``compact_page_store`` folds the batches into one snapshot.
     """
     pages = pages_of(responses).select(*_PAGE_COLUMNS)
 
-    def merge(batch: DataFrame, batch_id: int) -> None:
-        store = read_latest(batch.sparkSession, root, schemas.PAGES, before=batch_id)
-        write_version(upsert_pages(store, batch), root, batch_id)
+    def add(batch: DataFrame, batch_id: int) -> None:
+        upsert_pages(batch.limit(0), batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
 
-    return _start(pages.writeStream.foreachBatch(merge), checkpoint, available_now)
+    return _start(pages.writeStream.foreachBatch(add), checkpoint, available_now)
 
 
-def read_page_store(spark, root: str) -> DataFrame:
-    return read_latest(spark, root, schemas.PAGES)
+def read_page_store(spark: SparkSession, root: str) -> DataFrame:
+    """The store as of the last finished batch: the newest snapshot and the batches after it."""
+    covered = max(versions(spark, root), default=-1)
+    later = [number for number in versions(spark, root, "batch") if number > covered]
+    snapshot = read_latest(spark, root, schemas.PAGES)
+    if not later:
+        return snapshot
+    return upsert_pages(snapshot, spark.read.schema(schemas.PAGES).parquet(*[f"{root}/batch={n}" for n in later]))
+
+
+def compact_page_store(spark: SparkSession, root: str) -> int | None:
+    """Write a snapshot that covers all finished batches, beside running readers, and return its number."""
+    done = versions(spark, root, "batch")
+    if not done or done[-1] <= max(versions(spark, root), default=-1):
+        return None
+    return write_version(read_page_store(spark, root), root, done[-1])
 
 
 def stream_new_urls(urls: DataFrame, root: str, checkpoint: str, available_now: bool = True, within: str | None = None) -> StreamingQuery:
@@ -87,5 +101,5 @@ def stream_counters(responses: DataFrame, root: str, checkpoint: str, available_
     return _start(counts.writeStream.outputMode("complete").foreachBatch(publish), checkpoint, available_now)
 
 
-def read_counters(spark, root: str) -> DataFrame:
+def read_counters(spark: SparkSession, root: str) -> DataFrame:
     return read_latest(spark, root, "outcome string, pages bigint")
