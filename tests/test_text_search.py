@@ -6,7 +6,7 @@ import sqlite3
 import pytest
 
 from weblattice.functions.porter import with_stem
-from weblattice.operators.text_index import build_text_index, load_text_index, replace_pages, save_text_index, stemmed_postings
+from weblattice.operators.text_index import build_text_index, replace_pages, save_text_index, stemmed_postings
 from weblattice.operators.text_search import all_of, any_of, but_not, near, phrase, search_text, search_text_batch
 
 GOLDEN_ROWS = [

@@ -275,18 +275,19 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int = DEFAULT
 
     per_term = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_matching")).crossJoin(F.broadcast(corpus_stats(index)))
     idf = inverse_frequency(F.col("n_docs"), F.col("n_matching"))
+    sizes = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_words"))
     plan = materialize(
-        asked.join(per_term.select("term", idf.alias("idf"), "avg_tokens"), "term"), new_folder(spark, "query-terms")
+        asked.join(sizes, "query_id").join(per_term.select("term", idf.alias("idf"), "avg_tokens"), "term"),
+        new_folder(spark, "query-terms"),
     )
     weight = bm25_weight(F.col("frequency"), F.col("idf"), F.col("n_tokens"), F.col("avg_tokens"))
     # Whole-number sums do not depend on the order of tasks, so equal documents tie on every run.
     units = F.round(weight * RANK_UNITS).cast("bigint") * F.col("weight")
     scores = hits.join(plan, "term").groupBy("query_id", "url").agg(
-        (-F.sum(units) / RANK_UNITS).alias("rank"), F.count(F.lit(1)).alias("_matched")
+        (-F.sum(units) / RANK_UNITS).alias("rank"), (F.count(F.lit(1)) == F.max("n_words")).alias("_all_words")
     )
     if match == "all":
-        sizes = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("_asked"))
-        scores = scores.join(sizes, "query_id").filter(F.col("_matched") == F.col("_asked"))
+        scores = scores.filter("_all_words")
     best_first = Window.partitionBy("query_id").orderBy("rank", "url")
     top = scores.withColumn("position", F.row_number().over(best_first)).filter(F.col("position") <= limit)
     return top.join(index.documents, "url").select("query_id", "position", "url", "origin_url", "depth", "rank")
