@@ -34,6 +34,8 @@ from weblattice.llm import common
 LENGTH, GRAM, BATCHES = 400, 200, 4
 #: Contexts of one rank that one task compares; further ranks are compared as rows.
 SMALL = 100
+#: Distances that are first looked at together there.
+BLOCK = 25
 #: Bytes of a text that are hashed at once.
 CHUNK = 1 << 21
 
@@ -56,7 +58,7 @@ SHAPE = Shape()
 
 
 def mixed(x: np.ndarray, salt: int) -> np.ndarray:
-    x = x + np.uint64(salt)
+    x = x + np.uint64(salt * 0x9E3779B97F4A7C15 & WORD)
     x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
     x = (x ^ (x >> np.uint64(29))) * np.uint64(0xA24BAED4963EE407)
     return x ^ (x >> np.uint64(32))
@@ -207,20 +209,27 @@ class Family:
         self.levels = {}
 
 
+def side_sums(side: np.ndarray, reach: int) -> np.ndarray:
+    """Hashes of the first 0, 1, ... bytes of each row of one side."""
+    roll = Rolling(reach + 1)
+    out = np.zeros((len(side), reach + 1), dtype=np.uint64)
+    np.cumsum(roll.codes[side] * roll.powers[:reach], axis=1, out=out[:, 1:])
+    return out
+
+
+def joint(left: np.ndarray, right: np.ndarray, rank: np.ndarray, salt: int) -> np.ndarray:
+    """The hash of a string around a gram, from its two sides and the gram's own hash."""
+    return mixed(mixed(left, 3) + mixed(right, 4) * np.uint64(MULTIPLIER) + mixed(rank, 5), salt)
+
+
 def window_hashes(rank: np.ndarray, before: np.ndarray, left: np.ndarray, after: np.ndarray, right: np.ndarray, shape: Shape) -> tuple[np.ndarray, np.ndarray]:
     """For each row and each distance d of a window's start before the gram: its hash, and whether there is such a window.
 
     ``left`` holds the bytes before the gram from near to far, ``right`` those after it, both filled up with zeros.
     """
-    roll, reach = Rolling(shape.reach + 1), shape.reach
-    sums = []
-    for side in (left, right):
-        x = np.zeros((len(rank), reach + 1), dtype=np.uint64)
-        np.cumsum(roll.codes[side] * roll.powers[:reach], axis=1, out=x[:, 1:])
-        sums.append(x)
-    distance = np.arange(reach + 1)
-    out = mixed(sums[0], 3) + mixed(sums[1][:, ::-1], 4) * np.uint64(MULTIPLIER) + mixed(rank, 5)[:, None]
-    return mixed(out, 6), (distance[None, :] <= before[:, None]) & (reach - distance[None, :] <= after[:, None])
+    reach, distance = shape.reach, np.arange(shape.reach + 1)
+    hashes = joint(side_sums(left, reach), side_sums(right, reach)[:, ::-1], rank[:, None] + distance[None, :].astype(np.uint64), 6)
+    return hashes, (distance[None, :] <= before[:, None]) & (reach - distance[None, :] <= after[:, None])
 
 
 def runs(place: int, marked: np.ndarray, shape: Shape) -> list[tuple[int, int]]:
@@ -271,6 +280,7 @@ def unpacked(frame: pa.RecordBatch, reach: int) -> tuple[np.ndarray, ...]:
 
 
 SPANS = "doc_id bigint, text_key bigint, low bigint, high bigint"
+BLOCKS = "doc_id bigint, text_key bigint, place bigint, known boolean, block int, core bigint, whole bigint, low bigint, high bigint"
 HASHED = "doc_id bigint, text_key bigint, place bigint, known boolean, distance int, window bigint"
 
 
@@ -319,25 +329,72 @@ def compared_in_task(rows: DataFrame, shape: Shape) -> DataFrame:
 
 
 def compared_as_rows(rows: DataFrame, shape: Shape) -> DataFrame:
-    """The same for ranks of many contexts: a row for each window, counted by hash."""
+    """The same for ranks of many contexts, as rows that are counted by hash.
 
-    def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for big in frames:
-            for at in range(0, big.num_rows, 1024):
-                frame = big.slice(at, 1024)
-                hashes, there = window_hashes(*[x for x in unpacked(frame, shape.reach)], shape)
-                row, distance = np.nonzero(there)
-                own = frame.select(["doc_id", "text_key", "place", "known"]).take(pa.array(row))
-                yield pa.RecordBatch.from_arrays(
-                    [*own.columns, pa.array(distance.astype(np.int32)), pa.array(hashes[row, distance].view(np.int64))],
-                    names=["doc_id", "text_key", "place", "known", "distance", "window"])
-
-    hashed = common.written(rows.mapInArrow(work, HASHED), "suffix-windows")
-    twice = common.written(
-        hashed.groupBy("window", "distance").agg(F.count("*").alias("times")).where("times > 1").select("window", "distance"), "suffix-windows-twice")
-    found = hashed.where("not known").join(twice, ["window", "distance"])
+    Distances go in blocks. The core of a block are the bytes that all its windows hold, its union all bytes that any of them holds. A core that
+    stands once has no repeated window; a union that stands twice repeats in all its windows. Only where different unions share a core, one
+    place of each is looked at window by window.
+    """
+    blocks = common.written(rows.mapInArrow(lambda frames: block_rows(frames, shape), BLOCKS), "suffix-blocks")
+    unions = common.written(blocks.groupBy("core", "whole").agg(
+        F.count("*").alias("times"), F.max("known").alias("known"), F.min(F.struct("doc_id", "text_key", "place", "block")).alias("first")), "suffix-unions")
+    twice = unions.where("times > 1").select("core", "whole")
+    in_blocks = blocks.where("not known").join(twice, ["core", "whole"]).select("doc_id", "text_key", "low", "high")
+
+    shared = common.written(unions.groupBy("core").agg(F.count("*").alias("unions")).where("unions > 1").select("core"), "suffix-cores")
+    wanted = unions.join(shared, "core").select("first.*", (F.col("known") | (F.col("times") > 1)).alias("marked")).groupBy(
+        "doc_id", "text_key", "place").agg(F.collect_list(F.struct("block", "marked")).alias("blocks"))
+    right = wanted.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("place").alias("__place"), "blocks")
+    there = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")) & (F.col("place") == F.col("__place"))
+    looked_at = rows.join(right, there).select("doc_id", "text_key", "place", "rank", "before", "after", "blocks")
+    hashed = common.written(looked_at.mapInArrow(lambda frames: window_rows(frames, shape), HASHED), "suffix-windows")
+    repeated = common.written(hashed.groupBy("window").agg(F.count("*").alias("times")).where("times > 1").select("window"), "suffix-windows-twice")
     start = F.col("place") - F.col("distance")
-    return found.select("doc_id", "text_key", start.alias("low"), (start + shape.length).alias("high"))
+    found = hashed.where("not known").join(repeated, "window")
+    return in_blocks.unionByName(found.select("doc_id", "text_key", start.alias("low"), (start + shape.length).alias("high")))
+
+
+def block_rows(frames: Iterable[pa.RecordBatch], shape: Shape) -> Iterator[pa.RecordBatch]:
+    """For each context and block of distances with a window: hashes of core and union, and the union's bytes."""
+    reach = shape.reach
+    for big in frames:
+        for at in range(0, big.num_rows, 2048):
+            frame = big.slice(at, 2048)
+            rank, before, left, after, right = unpacked(frame, reach)
+            left_sums, right_sums = side_sums(left, reach), side_sums(right, reach)
+            row = np.arange(len(rank))
+            place = frame.column("place").to_numpy(zero_copy_only=False)
+            own = frame.select(["doc_id", "text_key", "place", "known"])
+            for number, low in enumerate(range(0, reach + 1, BLOCK)):
+                high = min(low + BLOCK - 1, reach)
+                use = np.flatnonzero((before >= low) & (after >= reach - high))
+                if not len(use):
+                    continue
+                far, near = np.minimum(high, before[use]), np.minimum(reach - low, after[use])
+                core = joint(left_sums[row[use], low], right_sums[row[use], reach - high], rank[use], 7 + number)
+                whole = joint(left_sums[row[use], far], right_sums[row[use], near], rank[use] + (far * 1009 + near).astype(np.uint64), 107 + number)
+                yield pa.RecordBatch.from_arrays(
+                    [*own.take(pa.array(use)).columns, pa.array(np.full(len(use), number, dtype=np.int32)), pa.array(core.view(np.int64)),
+                     pa.array(whole.view(np.int64)), pa.array(place[use] - far), pa.array(place[use] + shape.gram + near)],
+                    names=["doc_id", "text_key", "place", "known", "block", "core", "whole", "low", "high"])
+
+
+def window_rows(frames: Iterable[pa.RecordBatch], shape: Shape) -> Iterator[pa.RecordBatch]:
+    """For each context: the hashes of its windows in the blocks that are asked for."""
+    for big in frames:
+        for at in range(0, big.num_rows, 1024):
+            frame = big.slice(at, 1024)
+            hashes, there = window_hashes(*unpacked(frame, shape.reach), shape)
+            asked, marked = np.zeros_like(there), np.zeros_like(there)
+            for i, blocks in enumerate(frame.column("blocks").to_pylist()):
+                for b in blocks:
+                    part = slice(b["block"] * BLOCK, (b["block"] + 1) * BLOCK)
+                    asked[i, part], marked[i, part] = True, b["marked"]
+            row, distance = np.nonzero(there & asked)
+            own = frame.select(["doc_id", "text_key", "place"]).take(pa.array(row))
+            yield pa.RecordBatch.from_arrays(
+                [*own.columns, pa.array(marked[row, distance]), pa.array(distance.astype(np.int32)), pa.array(hashes[row, distance].view(np.int64))],
+                names=["doc_id", "text_key", "place", "known", "distance", "window"])
 
 
 def repeated_spans(docs: DataFrame, shape: Shape = SHAPE, batches: int = BATCHES, small: int = SMALL) -> DataFrame:
