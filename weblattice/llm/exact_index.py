@@ -15,6 +15,9 @@ from weblattice.llm import common
 #: Rows of the index: one per distinct text.
 ENTRY = "digest binary, keep_id bigint, group_size bigint"
 
+#: Stands for a null id in joins.
+NO_ID = -(1 << 63)
+
 
 def digest(text: Column | str = "text") -> Column:
     """SHA-256 of the normalised text in UTF-8."""
@@ -68,8 +71,8 @@ def membership(found: DataFrame, entries: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The rows whose text no row with a smaller ``doc_id`` has, with all their columns; of rows that repeat such an id, one."""
     kept = common.written(digests(docs), "exact-digests").groupBy("digest").agg(F.min("doc_id").alias("doc_id"))
-    with_digest = docs.withColumn("__digest", digest())
-    matched = with_digest.join(
-        kept.select(F.col("digest").alias("__kept_digest"), F.col("doc_id").alias("__kept_id")),
-        (F.col("__digest") == F.col("__kept_digest")) & F.col("doc_id").eqNullSafe(F.col("__kept_id")), "left_semi")
-    return matched.dropDuplicates(["doc_id", "__digest"]).drop("__digest")
+    key = F.coalesce(F.col("doc_id").cast("bigint"), F.lit(NO_ID))
+    kept = kept.select(F.col("digest").alias("__digest"), key.alias("__id"))
+    # Both steps need the rows by the same two columns: the texts are shuffled once.
+    with_key = docs.withColumn("__digest", digest()).withColumn("__id", key)
+    return with_key.join(kept, ["__digest", "__id"], "left_semi").dropDuplicates(["__digest", "__id"]).select(*docs.columns)
