@@ -12,20 +12,26 @@ comes first in the order. Other columns play no part and stay as they are.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from weblattice import runtime
 from weblattice.llm import common
 
 GRAM, WINDOW = 2, 2
 
 
-def numbered(text: Column) -> Column:
-    """``array<struct<line, n>>``: lines with a word in normal form, with their number in the text."""
-    plain = F.transform(F.split(text, "\n"), lambda x, i: F.struct(
-        F.xxhash64(F.trim(F.regexp_replace(x, common.WHITE, " "))).alias("h"), i.alias("n"),
-        (F.length(F.translate(x, common.WHITE_CHARS, "")) > 0).alias("solid")))
-    return F.filter(plain, lambda x: x["solid"])
+def line_hashes(text: Column) -> Column:
+    """The hashes of the lines with a word, in normal form."""
+    # Most texts hold single spaces only; the pattern is run over the others.
+    odd = text.contains("  ")
+    for sign in "\t\x0b\x0c\r":
+        odd = odd | text.contains(sign)
+    plain = F.when(odd, F.regexp_replace(text, r"[\x20\x09\x0B-\x0D]+", " ")).otherwise(text)
+    return F.transform(F.filter(F.transform(F.split(plain, "\n"), lambda x: F.trim(x)), lambda x: x != ""), lambda x: F.xxhash64(x))
 
 
 def run_hashes(hashes: Column, length: int) -> Column:
@@ -40,7 +46,7 @@ def run_hashes(hashes: Column, length: int) -> Column:
 def selected_runs(docs: DataFrame, gram: int, window: int) -> DataFrame:
     """``(doc_id, text_key, gram, at, runs)`` of the selected grams; ``runs`` are the hashes of the runs around it, with their starts."""
     run = gram + window - 1
-    df = docs.select("doc_id", F.xxhash64(common.whole_text()).alias("text_key"), F.transform(numbered(common.whole_text()), lambda x: x["h"]).alias("h"))
+    df = docs.select("doc_id", F.xxhash64(common.whole_text()).alias("text_key"), line_hashes(common.whole_text()).alias("h"))
     df = df.where(F.size("h") >= run).withColumn("grams", run_hashes(F.col("h"), gram)).withColumn("runs", run_hashes(F.col("h"), run))
     least = F.transform("runs", lambda _, i: F.array_min(F.slice("grams", i + 1, F.lit(window))))
     df = df.withColumn("least", least)
@@ -74,16 +80,35 @@ def later_runs(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataF
 def deduplicated(docs: DataFrame, gram: int = GRAM, window: int = WINDOW) -> DataFrame:
     """``docs`` without the later repeats in ``text``, and with ``n_lines`` and ``n_removed`` (clashing columns are replaced)."""
     run = gram + window - 1
-    marks = later_runs(docs, gram, window).select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "starts")
-    df = docs.withColumn("__text_key", F.xxhash64(common.whole_text()))
-    df = df.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left")
-    df = df.withColumn("__lines", F.split(common.whole_text(), "\n"))
-    solid = F.transform(numbered(common.whole_text()), lambda x: x["n"])
-    # Numbers of the lines to go, from the starts of runs.
-    gone = F.array_distinct(F.flatten(F.transform("starts", lambda s: F.slice("__solid", s + 1, F.lit(run)))))
-    df = df.withColumn("__solid", F.when(F.col("starts").isNotNull(), solid)).withColumn(
-        "__gone", F.when(F.col("starts").isNotNull(), gone).otherwise(F.array().cast("array<int>")))
-    left = F.array_join(F.filter("__lines", lambda x, i: ~F.array_contains("__gone", i)), "\n")
-    return df.withColumn("n_lines", F.size("__lines").cast("bigint")).withColumn("n_removed", F.size("__gone").cast("bigint")).withColumn(
-        "text", F.when(F.size("__gone") > 0, left).otherwise(F.col("text"))).drop(
-        "__id", "__key", "__text_key", "starts", "__lines", "__solid", "__gone")
+    # The texts are shuffled, but not sorted: the marks of a partition's documents are the table to look up.
+    marks = later_runs(docs, gram, window).select(
+        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.col("starts").alias("__starts")).hint("shuffle_hash")
+    df = docs.drop("n_lines", "n_removed").withColumn("__text_key", F.xxhash64(common.whole_text()))
+    df = df.join(marks, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left").drop("__id", "__key", "__text_key")
+    kept = df.drop("__starts")
+    schema = kept.withColumn("n_lines", F.lit(0).cast("bigint")).withColumn("n_removed", F.lit(0).cast("bigint")).schema
+
+    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, sizes, removed = [], [], []
+            for text, starts in zip(batch.column("text"), batch.column("__starts"), strict=True):
+                text = text.as_py()
+                sizes.append((text or "").count("\n") + 1)
+                gone: set[int] = set()
+                if starts.is_valid:
+                    lines = text.split("\n")
+                    solid = [i for i, line in enumerate(lines) if line.strip(" \t\n\x0b\x0c\r")]
+                    for start in starts.as_py():
+                        gone.update(solid[start:start + run])
+                    text = "\n".join([line for i, line in enumerate(lines) if i not in gone])
+                texts.append(text)
+                removed.append(len(gone))
+            columns = [pa.array(texts, f.type) if f.name == "text" else batch.column(f.name) for f in batch.schema if f.name != "__starts"]
+            yield pa.RecordBatch.from_arrays(
+                [*columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64())],
+                names=[*(f.name for f in batch.schema if f.name != "__starts"), "n_lines", "n_removed"])
+
+    return df.mapInArrow(cut, schema)
+
+
+runtime.ship_by_value(__name__)
