@@ -170,7 +170,7 @@ def deduplicated(docs: DataFrame, radius: int = RADIUS, shingle: int = SHINGLE)
     """The first document of each component, with all columns. Rows that repeat its id stay together."""
     kept = grouped(docs, radius, shingle).where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(
         F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(common.written(kept, "near-kept"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
+    return docs.join(common.written(kept, "near-kept").hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__kept")), "left_semi")
 
 
 runtime.ship_by_value(__name__)

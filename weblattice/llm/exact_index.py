@@ -75,4 +75,4 @@ def deduplicate(docs: DataFrame) -> DataFrame:
     kept = kept.select(F.col("digest").alias("__digest"), key.alias("__id"))
     # Both steps need the rows by the same two columns: the texts are shuffled once.
     with_key = docs.withColumn("__digest", digest()).withColumn("__id", key)
-    return with_key.join(kept, ["__digest", "__id"], "left_semi").dropDuplicates(["__digest", "__id"]).select(*docs.columns)
+    return with_key.join(kept.hint("shuffle_hash"), ["__digest", "__id"], "left_semi").dropDuplicates(["__digest", "__id"]).select(*docs.columns)

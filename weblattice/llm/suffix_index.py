@@ -259,7 +259,7 @@ def contexts(docs: DataFrame, wanted: DataFrame, shape: Shape) -> DataFrame:
 
     text = common.whole_text()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
-    right = wanted.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "at")
+    right = wanted.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), "at").hint("shuffle_hash")
     joined = rows.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")))
     # Rows that repeat id and text give the same contexts; one is enough.
     return joined.select("doc_id", "text_key", "text", "at").mapInArrow(work, CONTEXTS).dropDuplicates(["doc_id", "text_key", "place"])
@@ -434,7 +434,8 @@ def remains(docs: DataFrame, shape: Shape = SHAPE, batches: int = BATCHES, small
     spans = common.written(repeated_spans(docs, shape, batches, small), "suffix-spans")
     text = common.whole_text()
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.cast("binary").alias("text"))
-    right = spans.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.sort_array("spans").alias("spans"))
+    # The texts are shuffled, but not sorted: the spans of a partition's documents are the table to look up.
+    right = spans.select(F.col("doc_id").alias("__id"), F.col("text_key").alias("__key"), F.sort_array("spans").alias("spans")).hint("shuffle_hash")
     joined = rows.join(right, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("text_key") == F.col("__key")), "left")
 
     def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
