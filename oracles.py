@@ -101,13 +101,12 @@ SELECT word, position, url AS manual_url, score AS manual_score, url, score,
 FROM ranked WHERE position <= 3"""
 
 _JSON = f"""{_PAGE_POSTINGS},
-best AS (
-  SELECT url, {_SCORE} AS score, frequency, depth FROM postings WHERE word = 'ing'
-  ORDER BY {_WORD_ORDER} LIMIT 25
-)
-SELECT to_json({{'query': 'ing', 'results':
-  list({{'url': url, 'score': score, 'frequency': frequency, 'depth': depth}} ORDER BY {_WORD_ORDER})}})::VARCHAR AS response
-FROM best"""
+ordered AS (
+  SELECT url, {_SCORE} AS score, frequency, depth FROM postings WHERE word = 'ing'),
+numbered AS (SELECT *, row_number() OVER (ORDER BY {_WORD_ORDER}) AS place FROM ordered)
+SELECT 'ing' AS query, (place - 1) // 100 AS page_no, to_json({{'query': 'ing', 'results':
+  list({{'url': url, 'score': score, 'frequency': frequency, 'depth': depth}} ORDER BY place)}})::VARCHAR AS response
+FROM numbered GROUP BY page_no"""
 
 # --- robots ---------------------------------------------------------------------------------
 

@@ -1,11 +1,15 @@
 """Extraction, urls, charsets, outcomes."""
 
+import encodings.aliases
 import random
+import time
 from urllib.parse import quote, unquote, urldefrag, urlsplit
 
 from pyspark.sql import functions as F
 
 from conftest import rows
+from weblattice import schemas
+from weblattice.functions.content import decode_body
 from weblattice.functions.urls import host_key, is_crawlable, normalize_url, quote as quoted, unquote as unquoted
 from weblattice.operators.extraction import extract_pages, page_links, with_outcome
 from weblattice.operators.postings import word_postings
@@ -124,3 +128,39 @@ def test_charsets(spark):
         assert got[url]["body"] == wanted and got[url]["error"] is None, url
     assert (got["g"]["status_code"], got["g"]["body"], got["g"]["error"]) == (0, "", "unknown encoding: no-such")
     assert (got["h"]["body"], got["h"]["error"]) == (None, "timed out")
+
+
+TAG_SOUP = ["<![foo[b]]>x", "<![ x", "a<![CDATA[b]]>c", "<![if !IE]>y<![endif]>z", "<!DOCTYPE [", "<![x", "<!-", "<!>", "</>", "<a href='", "<?php", "&#x110000;&#-1;&#;&x"]
+
+
+def test_no_markup_ends_the_job(spark):
+    rng = random.Random(11)
+    parts = [*TAG_SOUP, "<", ">", "<p>", "</p>", "<br>", "</br>", "<title>", "text", "<script>", "]]>", "<!", "[", "\0"]
+    bodies = TAG_SOUP + ["".join(rng.choice(parts) for _ in range(rng.randint(1, 12))) for _ in range(1500)]
+    frame = spark.createDataFrame([(f"http://h/{i}", 200, "text/html", b, None) for i, b in enumerate(bodies)], schemas.RESPONSES)
+    got = {r["url"]: r for r in with_outcome(extract_pages(frame)).collect()}
+    assert len(got) == len(bodies)
+    assert got["http://h/0"]["content"] == "x" and got["http://h/2"]["content"] == "a b c"
+    assert all(r["outcome"] == ("success" if r["error"] is None else "error") for r in got.values())
+
+
+def test_parse_time_follows_the_size(spark):
+    def seconds(body):
+        frame = spark.createDataFrame([("http://h/", 200, "text/html", body, None)], schemas.RESPONSES)
+        began = time.perf_counter()
+        extract_pages(frame).collect()
+        return time.perf_counter() - began
+
+    seconds("<p>x")
+    assert seconds("<p>x" * 60_000 + "</i>" * 60_000) < 10
+    assert seconds("<br><b>x</b>" * 60_000) < 10
+
+
+def test_no_charset_ends_the_job(spark):
+    names = sorted({*encodings.aliases.aliases, *encodings.aliases.aliases.values(), "base64", "hex", "rot13", "idna", "undefined", "no-such", "latin-1"})
+    frame = spark.createDataFrame([(n, bytearray(b"caf\xe9 \xff\x00 abc"), f"text/html; charset={n}") for n in names], "name string, body binary, ct string")
+    got = {r["name"]: (r["d"]["text"], r["d"]["error"]) for r in frame.select("name", decode_body(frame["body"], frame["ct"]).alias("d")).collect()}
+    assert len(got) == len(names)
+    for name in ("base64", "hex", "rot13", "no-such"):
+        assert got[name][0] == "" and got[name][1]
+    assert got["latin-1"] == ("caf\xe9 \xff\x00 abc", None) and got["ascii"] == ("caf� �\x00 abc", None)

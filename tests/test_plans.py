@@ -104,8 +104,8 @@ def test_hot_host_is_split(spark, small_skew_limits):
     assert "skew=true" in executed(frame)
 
 
-def test_hot_word(spark, small_skew_limits, monkeypatch):
-    """A word most postings hold and most queries ask for, with the words broadcast and without."""
+def test_hot_word(spark, small_skew_limits):
+    """A word most postings hold and most queries ask for: no join takes it to one task."""
     postings = spark.range(60000, numPartitions=8).selectExpr(
         "if(id % 10 < 7, 'hot', concat('w', id % 1000)) AS word", "concat('u', id) AS url", "'o' AS origin_url", "1 AS depth",
         "cast(id % 50 AS int) AS frequency",
@@ -114,11 +114,10 @@ def test_hot_word(spark, small_skew_limits, monkeypatch):
     frame = search_words_batch(postings, queries, limit=3)
     assert "skew=true" in executed(frame)  # the queries of the hot word
     few = rows(frame)
-    monkeypatch.setattr(word_search, "MAX_BROADCAST_BYTES", 0)
-    many = search_words_batch(postings, queries, limit=3)
-    assert rows(many) == few and len(few) == 30000 * 3
-    ranked = word_search._of_words(postings, queries.selectExpr("query AS word"))
-    assert "Join" not in plan(ranked)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760")
+    assert rows(search_words_batch(postings, queries, limit=3)) == few and len(few) == 30000 * 3
+    everything = search_words_batch(postings, queries.limit(5), limit=None)
+    assert everything.filter("position is not null").count() == 0 and everything.count() > 5 * 3
 
 
 def test_hot_source_is_split(spark, small_skew_limits):

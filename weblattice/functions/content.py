@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import codecs
-
 import pyarrow as pa
 from pyspark.sql import Column, functions as F, types as T
 from pyspark.sql.functions import arrow_udf
@@ -33,6 +31,14 @@ def is_utf8(name: Column) -> Column:
     return name.isin("utf-8", "utf8")
 
 
+def is_latin1(name: Column) -> Column:
+    return name.isin("iso-8859-1", "iso8859-1", "latin-1", "latin1")
+
+
+def is_ascii(name: Column) -> Column:
+    return name.isin("us-ascii", "ascii")
+
+
 DECODED_TYPE = T.StructType([T.StructField("text", T.StringType()), T.StructField("error", T.StringType())])
 
 ship_by_value(__name__)
@@ -46,11 +52,11 @@ def _decode_other(body: pa.Array, name: pa.Array) -> pa.Array:
         text = error = None
         if raw is not None:
             try:
-                text = codecs.decode(raw, label, "replace")
+                text = bytes(raw).decode(label, "replace")
                 # Lone surrogates (utf-7, utf-16 variants) cannot travel in an Arrow string.
                 text = text.encode("utf-8", "replace").decode("utf-8")
-            except LookupError:
-                text, error = "", f"unknown encoding: {label}"
+            except Exception as failure:  # an unknown name, a codec that is not a text encoding, or one that does not take "replace"
+                text, error = "", str(failure) or type(failure).__name__
         texts.append(text)
         errors.append(error)
     columns = [pa.array(texts, pa.string()), pa.array(errors, pa.string())]
@@ -60,11 +66,15 @@ def _decode_other(body: pa.Array, name: pa.Array) -> pa.Array:
 def decode_body(body: Column, content_type: Column) -> Column:
     """``struct<text, error>`` of a binary body: bad bytes become U+FFFD, an unknown charset an error.
 
-    utf-8 stays on the JVM; only bodies in another charset are sent to Python.
+    utf-8 and Latin-1 stay on the JVM, and so does US-ASCII without bytes above 127; only other bodies are sent to Python. A
+    body that cannot be decoded is an error of its row.
     """
     name = charset(content_type)
-    other = _decode_other(F.when(~is_utf8(name), body), name)
+    ascii_only = is_ascii(name) & (F.octet_length(body) == F.length(F.make_valid_utf8(body.cast("string"))))
+    here = is_utf8(name) | is_latin1(name) | ascii_only
+    other = _decode_other(F.when(~here, body), name)
     return F.struct(
-        F.when(is_utf8(name), F.make_valid_utf8(body.cast("string"))).otherwise(other["text"]).alias("text"),
-        F.when(~is_utf8(name), other["error"]).alias("error"),
+        F.when(is_utf8(name) | ascii_only, F.make_valid_utf8(body.cast("string")))
+        .when(is_latin1(name), F.decode(body, "ISO-8859-1")).otherwise(other["text"]).alias("text"),
+        F.when(~here, other["error"]).alias("error"),
     )

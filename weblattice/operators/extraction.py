@@ -7,6 +7,7 @@ an end tag closes up to the nearest open tag of that name, an unmatched one clos
 
 from __future__ import annotations
 
+from collections import Counter
 from html.entities import html5
 from html.parser import HTMLParser
 from urllib.parse import urldefrag, urljoin, urlsplit
@@ -32,6 +33,7 @@ EXTRACT_TYPE = T.StructType([
     T.StructField("content", T.StringType()),
     T.StructField("links", T.ArrayType(T.StringType())),
     T.StructField("bad_links", T.IntegerType()),
+    T.StructField("failure", T.StringType()),
 ])
 
 ship_by_value(__name__)
@@ -41,7 +43,8 @@ class _PageReader(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=False)
         self.open_tags: list[str] = []
-        self.void_closed: list[str] = []  # void elements whose own end tag may still follow
+        self.open_count: Counter[str] = Counter()  # of each name on the stack, so an end tag without a start costs nothing
+        self.void_closed: Counter[str] = Counter()  # void elements whose own end tag may still follow
         self.hidden = 0  # open dropped subtrees
         self.muted = 0  # open containers with uncounted text
         self.pending: list[str] = []
@@ -63,21 +66,22 @@ class _PageReader(HTMLParser):
         self._open(tag, attrs)
         if tag in VOID:
             self._close(tag)
-            self.void_closed.append(tag)
+            self.void_closed[tag] += 1
 
     def handle_startendtag(self, tag, attrs):
         self._open(tag, attrs)
         self.handle_endtag(tag)
 
     def handle_endtag(self, tag):
-        if tag in self.void_closed:
-            self.void_closed.remove(tag)
+        if self.void_closed[tag]:
+            self.void_closed[tag] -= 1
         else:
             self._close(tag)
 
     def _open(self, tag, attrs):
         self._flush()
         self.open_tags.append(tag)
+        self.open_count[tag] += 1
         self.hidden += tag in DROPPED
         self.muted += tag in UNCOUNTED
         if self.hidden:
@@ -91,10 +95,11 @@ class _PageReader(HTMLParser):
 
     def _close(self, tag):
         self._flush()
-        if tag not in self.open_tags:
+        if not self.open_count[tag]:
             return
         while True:
             closed = self.open_tags.pop()
+            self.open_count[closed] -= 1
             self.hidden -= closed in DROPPED
             self.muted -= closed in UNCOUNTED
             if len(self.open_tags) < self.title_depth:
@@ -127,6 +132,16 @@ class _PageReader(HTMLParser):
             self.pending.append(data[6:])
             self._flush()
 
+    def parse_html_declaration(self, i):
+        """An unknown marked section (``<![foo[``) is a comment up to the next ``>``, as in a browser."""
+        if self.rawdata.startswith("<![", i) and not self.rawdata.startswith("<![CDATA[", i):
+            end = self.rawdata.find(">", i + 3)
+            if end < 0:
+                return -1
+            self.handle_comment(self.rawdata[i + 2:end])
+            return end + 1
+        return super().parse_html_declaration(i)
+
     def _boundary(self, data):
         self._flush()
 
@@ -152,7 +167,7 @@ def _resolve(base: str, hrefs: list[str]) -> tuple[list[str], int]:
 
 @arrow_udf(EXTRACT_TYPE)
 def _extract_html(html: pa.Array, url: pa.Array) -> pa.Array:
-    titles, texts, links, bad_links = [], [], [], []
+    titles, texts, links, bad_links, failures = [], [], [], [], []
     for markup, base in zip(html, url):
         body = markup.as_py()
         if body is None:
@@ -160,10 +175,15 @@ def _extract_html(html: pa.Array, url: pa.Array) -> pa.Array:
             texts.append(None)
             links.append(None)
             bad_links.append(None)
+            failures.append(None)
             continue
-        reader = _PageReader()
-        reader.feed(body)
-        reader.finish()
+        reader, failure = _PageReader(), None
+        try:
+            reader.feed(body)
+            reader.finish()
+        except Exception as error:  # one page must not end the job: it is an error row
+            reader, failure = _PageReader(), f"{type(error).__name__}: {error}"
+        failures.append(failure)
         found, bad = _resolve(base.as_py() or "", reader.hrefs)
         titles.append(" ".join(reader.title or ()))
         texts.append(" ".join(reader.strings))
@@ -171,13 +191,13 @@ def _extract_html(html: pa.Array, url: pa.Array) -> pa.Array:
         bad_links.append(bad)
     columns = [
         pa.array(titles, pa.string()), pa.array(texts, pa.string()),
-        pa.array(links, pa.list_(pa.string())), pa.array(bad_links, pa.int32()),
+        pa.array(links, pa.list_(pa.string())), pa.array(bad_links, pa.int32()), pa.array(failures, pa.string()),
     ]
-    return pa.StructArray.from_arrays(columns, names=["title", "content", "links", "bad_links"])
+    return pa.StructArray.from_arrays(columns, names=["title", "content", "links", "bad_links", "failure"])
 
 
 def extract_html(html: Column, url: Column) -> Column:
-    """``struct<title, content, links, bad_links>``; null for a null body."""
+    """``struct<title, content, links, bad_links, failure>``; null for a null body. ``failure`` says why a page cannot be parsed."""
     return _extract_html(html, url)
 
 
@@ -185,14 +205,14 @@ def extract_pages(responses: DataFrame) -> DataFrame:
     """Replace ``body`` by ``title``, ``content``, ``links`` and ``bad_links``.
 
     HTML is parsed; another type gives a 1,000-character excerpt without title or links; a response
-    with an error gives empty text.
+    with an error gives empty text. A page that cannot be parsed becomes one with an error and empty text.
     """
     html = is_html(F.col("content_type"))
     clean = F.col("error").isNull()
     parsed = responses.withColumn("_page", extract_html(F.when(html & clean, F.col("body")), F.col("url")))
     no_links = F.array().cast("array<string>")
     return parsed.select(
-        *[c for c in responses.columns if c != "body"],
+        *[F.coalesce("error", "_page.failure").alias("error") if c == "error" else F.col(c) for c in responses.columns if c != "body"],
         F.when(clean & html, F.coalesce("_page.title", F.lit(""))).otherwise("").alias("title"),
         F.when(~clean, "").when(html, F.coalesce("_page.content", F.lit("")))
         .otherwise(F.coalesce(excerpt(F.col("body")), F.lit(""))).alias("content"),

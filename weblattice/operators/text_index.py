@@ -10,6 +10,7 @@ from weblattice import schemas
 from weblattice.functions.porter import with_stem
 from weblattice.functions.text import text_tokens
 from weblattice.functions.words import repeat_runs, run_length, run_token
+from weblattice.operators.visited import upsert_pages
 
 _FREQUENCIES = "term string, url string, n_tokens int, frequency int"
 _VOCABULARY = "term string, stem string"
@@ -60,16 +61,20 @@ def build_text_index(pages: DataFrame, stem: bool = True) -> TextIndex:
 def save_text_index(index: TextIndex, root: str) -> TextIndex:
     """Write the index, sorted by term so that a term filter skips row groups, and return the stored form.
 
+    The postings of a stemmed index carry their stem and are sorted by it, so a stem or the prefix of one is a filter that reaches the scan.
+
     The tokens are shuffled once, by term; the rebalance hint has adaptive execution cut the partition of
     a term that is in most documents into files of normal size.
     """
     spark = index.documents.sparkSession
     index.documents.write.parquet(f"{root}/documents")
-    for name in ("postings", "frequencies"):
-        table = getattr(index, name).hint("rebalance", "term")
-        table.sortWithinPartitions("term", "url").write.parquet(f"{root}/{name}")
+    postings, key = index.postings.drop("stem"), "term"
     if index.vocabulary is not None:
         index.vocabulary.sortWithinPartitions("stem").write.parquet(f"{root}/vocabulary")
+        vocabulary = spark.read.schema(_VOCABULARY).parquet(f"{root}/vocabulary")
+        postings, key = postings.join(vocabulary, "term").select(*postings.columns, "stem"), "stem"
+    for name, table, by in (("postings", postings, key), ("frequencies", index.frequencies, "term")):
+        table.hint("rebalance", by).sortWithinPartitions(by, "url").write.parquet(f"{root}/{name}")
     return load_text_index(spark, root, stem=index.vocabulary is not None)
 
 
@@ -78,13 +83,18 @@ def load_text_index(spark: SparkSession, root: str, stem: bool = True) -> TextIn
         return spark.read.schema(schema).parquet(f"{root}/{name}")
 
     return TextIndex(
-        table("documents", schemas.TEXT_DOCUMENTS), table("postings", schemas.TEXT_POSTINGS),
+        table("documents", schemas.TEXT_DOCUMENTS), table("postings", schemas.TEXT_POSTINGS + (", stem string" if stem else "")),
         table("frequencies", _FREQUENCIES), table("vocabulary", _VOCABULARY) if stem else None,
     )
 
 
 def replace_pages(index: TextIndex, pages: DataFrame) -> TextIndex:
-    """The index with the entries of the given pages replaced: one authoritative entry per url."""
+    """The index with the entries of the given pages replaced: one entry per url, of the latest ``fetched_at`` if pages repeat a url."""
+    if "fetched_at" in pages.columns:
+        pages = upsert_pages(pages.limit(0), pages)
+    else:  # nothing tells repeats apart but their content
+        pages = upsert_pages(
+            pages.limit(0).withColumn("fetched_at", F.lit(0)), pages.withColumn("fetched_at", F.lit(0))).drop("fetched_at")
     changed = pages.select("url").distinct()
     fresh = build_text_index(pages, stem=index.vocabulary is not None)
 
@@ -96,14 +106,14 @@ def replace_pages(index: TextIndex, pages: DataFrame) -> TextIndex:
         # Terms that only replaced pages had may stay: without postings they match nothing.
         vocabulary = index.vocabulary.unionByName(fresh.vocabulary).distinct()
     return TextIndex(
-        swap(index.documents, fresh.documents), swap(index.postings, fresh.postings),
+        swap(index.documents, fresh.documents), swap(index.postings.drop("stem"), fresh.postings),
         swap(index.frequencies, fresh.frequencies), vocabulary,
     )
 
 
 def stemmed_postings(index: TextIndex) -> DataFrame:
     """Positional postings with stems in place of terms, as a table of its own."""
-    return index.postings.join(index.vocabulary, "term").withColumn("term", F.col("stem")).drop("stem")
+    return index.postings.drop("stem").join(index.vocabulary, "term").withColumn("term", F.col("stem")).drop("stem")
 
 
 def corpus_stats(index: TextIndex) -> DataFrame:

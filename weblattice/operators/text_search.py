@@ -21,7 +21,7 @@ from weblattice.runtime import materialize, new_folder
 
 DEFAULT_LIMIT = 25
 DEFAULT_DISTANCE = 10
-MAX_LITERAL_TERMS = 500
+FIELDS = ("title", "content")
 RANK_UNITS = 1e12
 
 
@@ -57,6 +57,9 @@ class ButNot:
 
 def phrase(text: str, *, prefix: bool = False, columns: tuple[str, ...] | str = (), initial: bool = False) -> Phrase:
     """Tokens in a row; one token is a plain term."""
+    unknown = set((columns,) if isinstance(columns, str) else columns) - set(FIELDS)
+    if unknown:
+        raise ValueError(f"unknown columns {sorted(unknown)}; there are {list(FIELDS)}")
     return Phrase(text, prefix, (columns,) if isinstance(columns, str) else tuple(columns), initial)
 
 
@@ -109,19 +112,6 @@ def _query_tokens(spark: SparkSession, phrases: list[Phrase], stem: bool) -> lis
     return [[r["stem"] for r in sorted(rows, key=lambda r: r["at"]) if r["id"] == i] for i in range(len(phrases))]
 
 
-def _with_stems(index: TextIndex, stems: DataFrame) -> DataFrame:
-    """Postings of the terms behind the given ``(_raw, term)`` pairs, with the stem as ``term``.
-
-    A stem has a handful of terms, so these normally become a literal filter that reaches the scan. Above
-    ``MAX_LITERAL_TERMS`` (short prefixes) the planner joins instead.
-    """
-    postings = index.postings.withColumnRenamed("term", "_raw")
-    few = stems.limit(MAX_LITERAL_TERMS + 1).collect()
-    if len(few) <= MAX_LITERAL_TERMS:
-        postings = postings.filter(F.col("_raw").isin([row["_raw"] for row in few]))
-    return postings.join(stems, "_raw")
-
-
 def _hits(index: TextIndex, phrases: list[Phrase], tokens: list[list[str]], together: bool) -> DataFrame:
     """``(url, n_tokens, phrase, field, start)``: one row per occurrence of a phrase, those of one url
     in one partition if asked for."""
@@ -130,8 +120,11 @@ def _hits(index: TextIndex, phrases: list[Phrase], tokens: list[list[str]], toge
     wanted = reduce(or_, [F.col("term").isin(exact)] * bool(exact) + [F.col("term").startswith(p) for p in prefixes])
     if index.vocabulary is None:
         postings = index.postings.filter(wanted)
+    elif "stem" in index.postings.columns:  # stored: the filter on the stem reaches the scan
+        postings = index.postings.withColumn("term", F.col("stem")).filter(wanted)
     else:
-        postings = _with_stems(index, index.vocabulary.withColumnsRenamed({"term": "_raw", "stem": "term"}).filter(wanted))
+        stems = index.vocabulary.withColumnsRenamed({"term": "_raw", "stem": "term"}).filter(wanted)
+        postings = index.postings.withColumnRenamed("term", "_raw").join(stems, "_raw")
 
     places = []
     for number, (leaf, words) in enumerate(zip(phrases, tokens)):

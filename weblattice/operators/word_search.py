@@ -9,7 +9,6 @@ from weblattice.functions.words import normalize_query
 from weblattice.runtime import materialize, new_folder
 
 RESULT_COLUMNS = ("url", "score", "frequency", "depth")
-MAX_BROADCAST_BYTES = 8 * 1024 * 1024
 
 
 def sort_keys(sort_by: str) -> list[Column]:
@@ -35,33 +34,33 @@ def search_words(postings: DataFrame, query: str, sort_by: str = "relevance", li
 
 
 def _of_words(postings: DataFrame, words: DataFrame) -> DataFrame:
-    """Keep the postings of the words, if these are few enough to broadcast; else all postings.
+    """The postings of the words, written out.
 
-    A shuffled join would put a hot word into one task, and the ranking by word after it could not be
-    split. With that many words little would be filtered out anyway.
+    The join is the last step of its job, so the planner may broadcast few words, and adaptive execution may split
+    a hot word between tasks where there are many.
     """
-    size = words.agg(F.coalesce(F.sum(F.octet_length("word") + 16), F.lit(0))).first()[0]
-    if size > MAX_BROADCAST_BYTES:
-        return postings
-    return postings.join(F.broadcast(words), "word", "left_semi")
+    return materialize(postings.join(words, "word", "left_semi"), new_folder(postings.sparkSession, "word-postings"))
 
 
-def search_words_batch(postings: DataFrame, queries: DataFrame, limit: int = 25, sort_by: str = "relevance") -> DataFrame:
+def search_words_batch(postings: DataFrame, queries: DataFrame, limit: int | None = 25, sort_by: str = "relevance") -> DataFrame:
     """Top results for a table ``(query_id, query)``: ``(query_id, query, position, url, score, ...)``.
 
     Each distinct word is ranked once. The row_number filter lets Spark cut every map partition to the
     best ``limit`` rows per word before the shuffle, so a hot word sends few rows to its task. The
     queries join the ranked lists, never the postings; the lists are written out, so that join is a
     broadcast if they are small and can be split at a word that very many queries ask for.
+
+    Without a limit all postings are returned; they are not numbered then (``position`` is null), as that would take all of
+    a word to one task.
     """
     spark = postings.sparkSession
     asked = queries.withColumn("word", normalize_query(F.col("query"))).filter(F.col("word") != "")
     words = materialize(asked.select("word").distinct(), new_folder(spark, "query-words"))
+    found = scored(_of_words(postings, words)).select("word", *RESULT_COLUMNS)
+    if limit is None:
+        return asked.join(found, "word").select("query_id", "query", F.lit(None).cast("int").alias("position"), *RESULT_COLUMNS)
     best_first = Window.partitionBy("word").orderBy(*result_order(sort_by))
-    top = (
-        scored(_of_words(postings, words)).select("word", *RESULT_COLUMNS)
-        .withColumn("position", F.row_number().over(best_first)).filter(F.col("position") <= limit)
-    )
+    top = found.withColumn("position", F.row_number().over(best_first)).filter(F.col("position") <= limit)
     top = materialize(top, new_folder(spark, "ranked-words"))
     return asked.join(top, "word").select("query_id", "query", "position", *RESULT_COLUMNS)
 
@@ -74,13 +73,13 @@ def audit_scores(postings: DataFrame, results: DataFrame, top: int = 3, words: D
     """
     by_formula = F.col("frequency") * 10 + 1000 - F.col("depth") * 5
     order = Window.partitionBy("word").orderBy(F.desc("manual_score"), "url", F.desc("frequency"))
+    # Few words are wanted as a rule: take their postings before any is ranked.
+    wanted = postings if words is None else _of_words(postings, words.select("word").distinct())
     manual = (
-        postings.select("word", "url", "frequency", by_formula.alias("manual_score"))
+        wanted.select("word", "url", "frequency", by_formula.alias("manual_score"))
         .withColumn("position", F.row_number().over(order)).filter(F.col("position") <= top)
         .select("word", "position", F.col("url").alias("manual_url"), "manual_score")
     )
-    if words is not None:
-        manual = manual.join(words.select("word"), "word", "left_semi")
     reported = results.filter(F.col("position") <= top)
     joined = manual.join(reported, ["word", "position"], "full_outer")
     complete = F.col("frequency").isNotNull() & F.col("depth").isNotNull() & F.col("url").isNotNull()

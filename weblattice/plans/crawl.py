@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
@@ -41,6 +41,20 @@ def fetch(tasks: DataFrame, extracted: DataFrame) -> DataFrame:
     return found.unionByName(missing)
 
 
+def one_capture(responses: DataFrame) -> DataFrame:
+    """One response per url, as a fetch takes place once: the latest ``captured_at`` if there is such a column; ties by the other columns.
+
+    Captures are compared by their narrow columns and a hash of the body, and cut in the map tasks; bodies are only shuffled if some url repeats.
+    """
+    columns = [F.desc(c) for c in ("captured_at", "status_code", "content_type", "error") if c in responses.columns]
+    narrow = responses.withColumn("_body", F.xxhash64("body")).drop("body")
+    if not narrow.groupBy("url").count().filter("count > 1").limit(1).count():
+        return responses
+    latest = Window.partitionBy("url").orderBy(*columns, "_body")
+    chosen = responses.withColumn("_body", F.xxhash64("body")).withColumn("_n", F.row_number().over(latest))
+    return chosen.filter("_n = 1").drop("_n", "_body")
+
+
 def crawl(
     responses: DataFrame,
     seeds: DataFrame | None,
@@ -52,7 +66,7 @@ def crawl(
     frontier: DataFrame | None = None,
     levels: int | None = None,
 ) -> Crawl:
-    """Crawl captured ``responses`` (one per url) from the seeds to ``max_depth``.
+    """Crawl captured ``responses`` from the seeds to ``max_depth``. Of several captures of a url, one is taken (``one_capture``).
 
     Bodies are parsed once, in one pass over all responses, and the result is written to the shared
     folder; the levels then read only its url and link columns. The page rows are written out as well,
@@ -60,7 +74,7 @@ def crawl(
     the visited set but has no page row and no children.
     """
     spark = responses.sparkSession
-    extracted = materialize(with_outcome(extract_pages(responses)), new_folder(spark, "extracted"))
+    extracted = materialize(with_outcome(extract_pages(one_capture(responses))), new_folder(spark, "extracted"))
     rules = None
     expandable = extracted.filter(F.col("outcome") == "success").select("url", "links")
     if robots is not None:

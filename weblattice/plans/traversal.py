@@ -41,7 +41,7 @@ def traverse(
     A url that several seeds reach at one depth belongs to the first seed.
     """
     if max_depth < 0:
-        raise ValueError("k must be >= 0")
+        raise ValueError("max_depth must not be negative")
     spark = edges.sparkSession
     root = new_folder(spark, "traversal")
     resumed = frontier is not None and not frontier.isEmpty()

@@ -31,7 +31,7 @@ def decode_responses(responses: DataFrame) -> DataFrame:
 def seed_tasks(seeds: DataFrame, max_depth: int) -> DataFrame:
     """Seeds ``(seed_ord, url)`` as depth-0 tasks, each its own origin; the first of equal urls stays."""
     if max_depth < 0:
-        raise ValueError("k must be >= 0")
+        raise ValueError("max_depth must not be negative")
     url = normalize_url(F.col("url"))
     return (
         seeds.groupBy(url.alias("url")).agg(F.min("seed_ord").alias("seed_ord"))

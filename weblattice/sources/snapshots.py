@@ -16,11 +16,18 @@ def versions(spark: SparkSession, root: str, prefix: str = "version") -> list[in
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
 
+def write_once(df: DataFrame, path: str) -> None:
+    """Write a folder, unless it is complete already: a replayed batch has the same rows, and readers may be using it."""
+    marker = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
+    if not marker.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(marker):
+        df.write.mode("overwrite").parquet(path)
+
+
 def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
-    """Write the next version, or a given one again: a replayed batch replaces its own output."""
+    """Write the next version, or a given one: a replayed batch leaves its complete output as it is."""
     if version is None:
         version = max(versions(df.sparkSession, root), default=-1) + 1
-    df.write.mode("overwrite").parquet(f"{root}/version={version}")
+    write_once(df, f"{root}/version={version}")
     return version
 
 

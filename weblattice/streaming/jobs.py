@@ -1,7 +1,7 @@
 """Streams over arriving responses: word index, page store, url dedupe, counters.
 
-Sinks write one folder per batch id, so a batch that is replayed after a lost driver or executor replaces
-its own output. With ``available_now`` a stream takes what is there and ends, and gives what the batch
+Sinks write one folder per batch id. A batch that is replayed after a lost driver finds its finished folder and leaves it as it is,
+so readers never lose a file; an unfinished one is written again. With ``available_now`` a stream takes what is there and ends, and gives what the batch
 operators give on the same files.
 """
 
@@ -14,7 +14,7 @@ from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.visited import upsert_pages
-from weblattice.sources.snapshots import read_all, read_latest, versions, write_version
+from weblattice.sources.snapshots import read_all, read_latest, versions, write_once, write_version
 
 _PAGE_COLUMNS = ("url", "origin_url", "depth", "title", "content", "status_code", "error", "fetched_at")
 
@@ -34,7 +34,7 @@ def stream_word_index(responses: DataFrame, root: str, checkpoint: str, availabl
     postings = word_postings(pages_of(responses))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        write_once(batch, f"{root}/batch={batch_id}")
 
     return _start(postings.writeStream.foreachBatch(append), checkpoint, available_now)
 
@@ -53,7 +53,7 @@ def stream_page_upsert(responses: DataFrame, root: str, checkpoint: str, availab
     pages = pages_of(responses).select(*_PAGE_COLUMNS)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        upsert_pages(batch.limit(0), batch).write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+        write_once(upsert_pages(batch.limit(0), batch), f"{root}/batch={batch_id}")
 
     return _start(pages.writeStream.foreachBatch(add), checkpoint, available_now)
 
