@@ -1,7 +1,9 @@
 """Plan shapes that matter at scale."""
 
 import contextlib
+import datetime
 import io
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -12,10 +14,11 @@ from weblattice.operators.postings import word_postings
 from weblattice.operators import word_search
 from weblattice.operators.robots import robots_rules, with_robots
 from weblattice.operators.text_index import build_text_index, save_text_index
-from weblattice.operators.text_search import all_of, search_text, search_text_batch
+from weblattice.operators.text_search import all_of, phrase, search_text, search_text_batch
 from weblattice.operators.visited import new_urls, upsert_pages
 from weblattice.operators.word_search import search_words, search_words_batch
 from weblattice.plans.traversal import _expand
+from weblattice.runtime import materialize, new_folder
 from weblattice.sources.word_store import read_postings, write_postings
 
 
@@ -144,3 +147,30 @@ def test_schemas_match(spark, pages):
         (index.documents, schemas.TEXT_DOCUMENTS), (index.postings, schemas.TEXT_POSTINGS), (word_postings(pages), schemas.WORD_POSTINGS)
     ):
         assert frame.schema.simpleString() == spark.createDataFrame([], schema).schema.simpleString()
+
+
+def test_upsert_leaves_the_text_of_the_store_where_it_is(spark):
+    """A small batch: no exchange below the store's side, and the right rows."""
+    columns = "url string, origin_url string, depth int, title string, content string, status_code int, error string, fetched_at timestamp"
+    store = spark.range(2000).selectExpr(
+        "concat('u', id) AS url", "'o' AS origin_url", "0 AS depth", "'t' AS title", "concat('old ', id) AS content", "200 AS status_code",
+        "cast(null AS string) AS error", "timestamp '2024-01-02 00:00:00' AS fetched_at")
+    path = new_folder(spark, "test-store")
+    store = materialize(store, path)
+    day = lambda d: datetime.datetime(2024, 1, d)
+    batch = spark.createDataFrame([
+        ("u1", "o", 0, "t", "new", 200, None, day(3)), ("u1", "o", 0, "t", "newer", 200, None, day(4)), ("u2", "o", 0, "t", "stale", 200, None, day(1)),
+        ("u3", "o", 0, "t", "same time", 200, None, day(2)), ("x", "o", 0, "t", "fresh", 200, None, None)], columns)
+    merged = upsert_pages(store, batch)
+    got = {r["url"]: r["content"] for r in merged.collect()}
+    assert len(got) == merged.count() == 2001
+    assert (got["u1"], got["u2"], got["u3"], got["u4"], got["x"]) == ("newer", "old 2", "same time", "old 4", "fresh")
+    shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan(upsert_pages(store, batch)))
+    assert sum("content" in columns for columns in shuffled) == 1  # the batch's own rows, to find the latest of each url
+
+
+def test_saved_stems_are_a_filter_of_the_scan(spark, pages, tmp_path):
+    index = save_text_index(build_text_index(pages), str(tmp_path / "stemmed"))
+    frame = search_text(index, phrase("number", prefix=True))
+    assert "StringStartsWith(stem,number)" in plan(frame)
+    assert rows(frame) == rows(search_text(build_text_index(pages), phrase("number", prefix=True)))

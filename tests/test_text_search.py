@@ -5,6 +5,7 @@ import sqlite3
 
 import pytest
 
+from conftest import rows
 from weblattice.functions.porter import with_stem
 from weblattice.operators.text_index import build_text_index, replace_pages, save_text_index, stemmed_postings
 from weblattice.operators.text_search import all_of, any_of, but_not, near, phrase, search_text, search_text_batch
@@ -194,3 +195,17 @@ def test_batch_equals_single(spark, golden_index):
     assert got[4] == ranks(search_text(golden_index, any_of("python", "python")))
     both = search_text_batch(golden_index, spark.createDataFrame([(1, "python running")], "query_id int, query string"), match="all")
     assert [(r["url"], round(r["rank"], 6)) for r in both.orderBy("position").collect()] == ranks(search_text(golden_index, all_of("python", "running")))
+
+
+def test_replaced_pages_take_the_last_row_of_a_url(spark):
+    columns = "url string, origin_url string, depth int, title string, content string, fetched_at int"
+    old = spark.createDataFrame([("a", "o", 0, "", "one", 1), ("b", "o", 0, "", "two", 1)], columns)
+    new = spark.createDataFrame([("b", "o", 0, "", "three", 2), ("b", "o", 0, "", "four", 3)], columns)
+    index = replace_pages(build_text_index(old, stem=False), new)
+    assert rows(index.documents, "url", "n_tokens") == [("a", 1), ("b", 1)]
+    assert rows(index.postings, "term", "url") == [("four", "b"), ("one", "a")]
+
+
+def test_unknown_columns_are_refused():
+    with pytest.raises(ValueError):
+        phrase("x", columns="body")

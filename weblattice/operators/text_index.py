@@ -10,7 +10,7 @@ from weblattice import schemas
 from weblattice.functions.porter import with_stem
 from weblattice.functions.text import text_tokens
 from weblattice.functions.words import repeat_runs, run_length, run_token
-from weblattice.operators.visited import upsert_pages
+from weblattice.operators.visited import latest_pages
 
 _FREQUENCIES = "term string, url string, n_tokens int, frequency int"
 _VOCABULARY = "term string, stem string"
@@ -90,11 +90,8 @@ def load_text_index(spark: SparkSession, root: str, stem: bool = True) -> TextIn
 
 def replace_pages(index: TextIndex, pages: DataFrame) -> TextIndex:
     """The index with the entries of the given pages replaced: one entry per url, of the latest ``fetched_at`` if pages repeat a url."""
-    if "fetched_at" in pages.columns:
-        pages = upsert_pages(pages.limit(0), pages)
-    else:  # nothing tells repeats apart but their content
-        pages = upsert_pages(
-            pages.limit(0).withColumn("fetched_at", F.lit(0)), pages.withColumn("fetched_at", F.lit(0))).drop("fetched_at")
+    # Without a time, nothing tells repeats of a url apart but their content.
+    pages = latest_pages(pages) if "fetched_at" in pages.columns else latest_pages(pages.withColumn("fetched_at", F.lit(0))).drop("fetched_at")
     changed = pages.select("url").distinct()
     fresh = build_text_index(pages, stem=index.vocabulary is not None)
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from weblattice.runtime import materialize, new_folder
+
 
 def new_urls(discovered: DataFrame, visited: DataFrame) -> DataFrame:
     """Urls not visited before, once each: ``(url, origin_url, depth)`` of the first discovery.
@@ -30,12 +32,28 @@ def pending(discovered: DataFrame, processed: DataFrame) -> DataFrame:
     return discovered.join(processed.select("url"), "url", "left_anti")
 
 
+def _at(column: str):
+    """The time of a fetch; none is before all others."""
+    return F.coalesce(column, F.lit("0001-01-01").cast("timestamp"))
+
+
+def latest_pages(fetched: DataFrame) -> DataFrame:
+    """One row per url, all columns from the latest fetch; rows of equal time are told apart by their other columns."""
+    rest = [c for c in fetched.columns if c not in ("url", "fetched_at")]
+    latest = Window.partitionBy("url").orderBy(F.desc("fetched_at"), *[F.desc(c) for c in rest])
+    return fetched.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
+
+
 def upsert_pages(store: DataFrame, fetched: DataFrame) -> DataFrame:
-    """New snapshot of the page store: one row per url, all columns from the latest fetch.
+    """New snapshot of the page store (one row per url): the latest fetch of a url wins, and of equal times the new one.
 
-    Rows of equal time are told apart by their other columns, so the result is the same on every run.
+    The store is compared by url and time only. The urls to replace are written out, so the planner knows their size: its
+    text is filtered in place as long as they can be broadcast, and shuffled only for a batch that is as large as the store.
     """
-    both = store.unionByName(fetched)
-    rest = [c for c in both.columns if c not in ("url", "fetched_at")]
-    latest = Window.partitionBy("url").orderBy(F.desc("fetched_at"), *[F.desc(c) for c in rest])
-    return both.withColumn("_n", F.row_number().over(latest)).filter("_n = 1").drop("_n")
+    spark = store.sparkSession
+    new = latest_pages(fetched).select(*store.columns)
+    times = materialize(new.select("url", _at("fetched_at").alias("_new")), new_folder(spark, "fetched-urls"))
+    known = store.select("url", _at("fetched_at").alias("_old")).join(times, "url")
+    known = materialize(known.select("url", (F.col("_new") >= F.col("_old")).alias("_replaced")), new_folder(spark, "known-urls"))
+    kept = store.join(known.filter("_replaced").select("url"), "url", "left_anti")
+    return kept.unionByName(new.join(known.filter("NOT _replaced").select("url"), "url", "left_anti"))

@@ -13,7 +13,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
-from weblattice.operators.visited import upsert_pages
+from weblattice.operators.visited import latest_pages, upsert_pages
 from weblattice.sources.snapshots import read_all, read_latest, versions, write_once, write_version
 
 _PAGE_COLUMNS = ("url", "origin_url", "depth", "title", "content", "status_code", "error", "fetched_at")
@@ -53,7 +53,7 @@ def stream_page_upsert(responses: DataFrame, root: str, checkpoint: str, availab
     pages = pages_of(responses).select(*_PAGE_COLUMNS)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_once(upsert_pages(batch.limit(0), batch), f"{root}/batch={batch_id}")
+        write_once(latest_pages(batch), f"{root}/batch={batch_id}")
 
     return _start(pages.writeStream.foreachBatch(add), checkpoint, available_now)
 
