@@ -6,7 +6,7 @@ trained toxic part would otherwise differ in common syllables too, and that nois
 compressed against the ordinary part alone and against both parts, so the difference is what the toxic part alone saves. Each
 window comes after a piece of the ordinary dictionary, so that even a short one is a compressed block and not a raw one.
 
-**Thresholds.** A text is described by its largest savings, the numbers of windows above two thresholds and its length; a logistic
+**Thresholds.** A text is described by its largest savings, the numbers of windows at or above four thresholds and its length; a logistic
 curve over these is fitted on labelled texts that the dictionaries were not made from.
 
 Samples are bounded by ``Settings``: the labelled training rows with the smallest hashes of ``doc_id``, and of them those of at most
@@ -53,7 +53,7 @@ SETTINGS = Settings()
 LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 4, 0.02, 25
 LENGTHS = (5, 6, 7, 8)
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
-SAVED = (2, 3)
+SAVED = (1, 2, 3, 4)
 
 
 def beginnings(text: bytes) -> set[bytes]:
@@ -114,7 +114,7 @@ class Compressors:
         return [float(top[0]), float(top[:2].sum()), float(top[:3].sum()), float(top.sum()), *counts, float(np.log(len(parts)))]
 
 
-DESCRIBED = 7
+DESCRIBED = 5 + len(SAVED)
 
 
 def sigmoid(x: np.ndarray) -> np.ndarray:
