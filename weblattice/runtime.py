@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import sys
 import tempfile
 import uuid
@@ -29,11 +30,11 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder. Only a local session may go without one."""
+    """The cluster's shared checkpoint folder. Only a local session, as in tests, may go without one: it gets a temporary folder."""
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
     root = tempfile.mkdtemp(prefix="weblattice-")
     spark.conf.set(CHECKPOINT_DIR, root)
