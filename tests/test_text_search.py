@@ -209,3 +209,10 @@ def test_replaced_pages_take_the_last_row_of_a_url(spark):
 def test_unknown_columns_are_refused():
     with pytest.raises(ValueError):
         phrase("x", columns="body")
+
+
+def test_near_ignores_members_without_a_token(spark):
+    pages = spark.createDataFrame([("a", "o", 0, "", "cats and dogs"), ("b", "o", 0, "", "dogs")], "url string, origin_url string, depth int, title string, content string")
+    index = build_text_index(pages, stem=False)
+    assert rows(search_text(index, near("cats", " "))) == rows(search_text(index, near("cats"))) != []
+    assert rows(search_text(index, any_of(near(" ", ""), "dogs")), "url") == [("a",), ("b",)]

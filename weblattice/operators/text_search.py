@@ -157,7 +157,9 @@ def _mark_near(hits: DataFrame, groups: list[Near], phrases: list[Phrase], token
     """
     hits = hits.withColumn("near_ok", F.lit(True))
     for group in groups:
-        members = [i for i, leaf in enumerate(phrases) if any(leaf is p for p in group.phrases)]
+        members = [i for i, leaf in enumerate(phrases) if tokens[i] and any(leaf is p for p in group.phrases)]
+        if not members:
+            continue
         reach = {i: len(tokens[i]) + group.distance for i in members}
         field = Window.partitionBy("url", "field", "_in_group").orderBy("start")
         hits = hits.withColumn("_in_group", F.col("phrase").isin(*members))
@@ -179,8 +181,9 @@ def _matches(node, leaf_id: dict[int, int]) -> Column:
         return (F.col(f"f{number}") > 0) & (F.col(f"c{number}") > 0)
     if isinstance(node, ButNot):
         return _matches(node.keep, leaf_id) & ~_matches(node.drop, leaf_id)
-    parts = node.phrases if isinstance(node, Near) else node.parts
-    return reduce(or_ if isinstance(node, AnyOf) else and_, [_matches(part, leaf_id) for part in parts])
+    # Members of NEAR without a token have no number and are ignored.
+    parts = [p for p in node.phrases if id(p) in leaf_id] if isinstance(node, Near) else node.parts
+    return reduce(or_ if isinstance(node, AnyOf) else and_, [_matches(part, leaf_id) for part in parts]) if parts else F.lit(False)
 
 
 def _counted(node, leaf_id: dict[int, int], gate: Column) -> list[tuple[int, Column]]:
@@ -190,7 +193,7 @@ def _counted(node, leaf_id: dict[int, int], gate: Column) -> list[tuple[int, Col
         return [(leaf_id[id(node)], gate)]
     if isinstance(node, ButNot):
         return _counted(node.keep, leaf_id, gate)
-    parts = node.phrases if isinstance(node, Near) else node.parts
+    parts = [p for p in node.phrases if id(p) in leaf_id] if isinstance(node, Near) else node.parts
     return [item for part in parts for item in _counted(part, leaf_id, gate)]
 
 
@@ -218,7 +221,8 @@ def search_text(index: TextIndex, query, limit: int | None = DEFAULT_LIMIT) -> D
     # Document counts and ranks read the same columns of the same aggregate, so Spark runs its shuffle
     # once and reuses it. One row each, so both crosses below are broadcasts of a fixed size.
     found = per_document.agg(*[F.count_if((F.col(f"c{i}") > 0) | (F.col(f"f{i}") > 0)).alias(f"n{i}") for i in numbers])
-    leaf_id = {id(leaf): i for i, leaf in enumerate(phrases)}
+    in_near = {id(p) for group in groups for p in group.phrases}
+    leaf_id = {id(leaf): i for i, leaf in enumerate(phrases) if tokens[i] or id(leaf) not in in_near}
     weights = [
         F.when(gate, bm25_weight(
             F.col(f"f{i}"), inverse_frequency(F.col("n_docs"), F.col(f"n{i}")), F.col("n_tokens"), F.col("avg_tokens")
