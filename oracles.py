@@ -405,4 +405,6 @@ UNION ALL SELECT NULL, sum(crawled_pages)::BIGINT, sum(error_pages)::BIGINT, sum
         "stream_counters": f"{from_pages} SELECT outcome, count(*) AS pages FROM rows GROUP BY outcome",
         "stream_search_snapshot": _word_search(_OUTCOME_POSTINGS, "ing"),
         "stream_restart": outcome_words,
+        "stream_text_index": f"{_REPLACED_CORPUS}, {_TOKENS} SELECT term, count(DISTINCT url) AS n_docs FROM tokens GROUP BY term",
+        "stream_text_search": _search("f0 > 0", [_term("ing")], corpus=_REPLACED_CORPUS),
     }

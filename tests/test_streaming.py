@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 from conftest import rows
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
-from weblattice.operators.visited import upsert_pages
+from weblattice.operators.text_index import build_text_index, compact_text_index, load_text_index
+from weblattice.operators.text_search import any_of, search_text
+from weblattice.operators.visited import latest_pages, upsert_pages
 from weblattice.operators.word_search import search_words
 from weblattice.sources.responses import stream_responses
 from weblattice.streaming import jobs
@@ -44,6 +46,10 @@ def test_word_index_equals_batch_and_survives_restart(spark, tmp_path):
         found = jobs.read_word_index(spark, root)
         counts.append(search_words(found, "python").count())
         assert rows(found) == rows(word_postings(with_outcome(extract_pages(batch(spark, folder)))), *found.columns)
+        if turn == 0:
+            last = jobs.compact_word_index(spark, root)
+            assert last == 1 and jobs.compact_word_index(spark, root) is None
+            assert search_words(jobs.read_word_index(spark, root), "python").count() == counts[0]
     assert 0 < counts[0] < counts[1]
     jobs.stream_word_index(source(spark, folder), root, state).awaitTermination()  # nothing new
     assert search_words(jobs.read_word_index(spark, root), "python").count() == counts[1]
@@ -109,3 +115,35 @@ def test_counters(spark, tmp_path):
         jobs.stream_counters(source(spark, folder), root, state).awaitTermination()
         expected = with_outcome(batch(spark, folder)).groupBy("outcome").count()
         assert rows(jobs.read_counters(spark, root)) == rows(expected)
+
+
+def test_text_index_grows_by_segments(spark, tmp_path):
+    """Pages fetched again replace their entries; a reader beside the stream sees whole segments; a merged index is the same."""
+    folder, root, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    arrive(spark, folder, 0, 12, 1)
+    arrive(spark, folder, 6, 20, 2)
+    jobs.stream_text_index(source(spark, folder), root, state).awaitTermination()
+    seen = [search_text(load_text_index(spark, root), "python", limit=None).count()]
+    assert compact_text_index(spark, root) == 1
+    arrive(spark, folder, 9, 30, 5)
+    jobs.stream_text_index(source(spark, folder), root, state).awaitTermination()
+    seen.append(search_text(load_text_index(spark, root), "python", limit=None).count())
+    assert 0 < seen[0] < seen[1]
+    whole = build_text_index(latest_pages(with_outcome(extract_pages(batch(spark, folder)))))
+    for make in (lambda: any_of("python", "w3"), lambda: "w1 w1"):
+        assert rows(search_text(load_text_index(spark, root), make(), None)) == rows(search_text(whole, make(), None))
+
+
+def test_replayed_batch_keeps_finished_folders(spark, tmp_path):
+    """A stream whose commit was lost runs its last batch again: the reader's count never falls."""
+    folder, root, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    arrive(spark, folder, 0, 12, 1)
+    for start in (jobs.stream_text_index, jobs.stream_word_index):
+        out, log = f"{root}-{start.__name__}", f"{state}-{start.__name__}"
+        start(source(spark, folder), out, log).awaitTermination()
+        files = sorted(p for p in (tmp_path / f"out-{start.__name__}").rglob("*.parquet"))
+        commits = sorted((tmp_path / f"state-{start.__name__}" / "commits").glob("[0-9]*"))
+        commits[-1].unlink()
+        (commits[-1].parent / f".{commits[-1].name}.crc").unlink(missing_ok=True)
+        start(source(spark, folder), out, log).awaitTermination()
+        assert sorted(p for p in (tmp_path / f"out-{start.__name__}").rglob("*.parquet")) == files

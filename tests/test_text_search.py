@@ -7,7 +7,10 @@ import pytest
 
 from conftest import rows
 from weblattice.functions.porter import with_stem
-from weblattice.operators.text_index import build_text_index, replace_pages, save_text_index, stemmed_postings
+from weblattice.operators.text_index import (
+    add_to_text_index, build_text_index, compact_text_index, corpus_stats, document_frequency, load_text_index, replace_pages,
+    save_text_index, stemmed_postings,
+)
 from weblattice.operators.text_search import all_of, any_of, but_not, near, phrase, search_text, search_text_batch
 
 GOLDEN_ROWS = [
@@ -216,3 +219,78 @@ def test_near_ignores_members_without_a_token(spark):
     index = build_text_index(pages, stem=False)
     assert rows(search_text(index, near("cats", " "))) == rows(search_text(index, near("cats"))) != []
     assert rows(search_text(index, any_of(near(" ", ""), "dogs")), "url") == [("a",), ("b",)]
+
+
+def _best(found, limit):
+    """Position, url and rank per query, from all matches."""
+    lists = {}
+    for r in sorted(found.collect(), key=lambda r: (r["query_id"], r["rank"], r["url"])):
+        lists.setdefault(r["query_id"], []).append((r["url"], r["rank"]))
+    return {q: [(i + 1, *row) for i, row in enumerate(rows_[:limit])] for q, rows_ in lists.items()}
+
+
+def test_pruned_batch_equals_all_matches(spark):
+    """Hot words, ties, repeated query words, and queries with fewer than ``limit`` matches."""
+    random.seed(5)
+    words = ["the", "of"] * 40 + [f"w{i}" for i in range(60)] + ["rare1"]
+    pages = [(f"d{i:03}", "", " ".join(random.choices(words, k=random.randint(0, 30)))) for i in range(300)]
+    pages += [(f"t{i}", "", "the of w1 tied") for i in range(40)] + [("x1", "", "lonely the"), ("x2", "", "lonely")]
+    index = build_text_index(pages_frame(spark, pages), stem=False)
+    asked = [(i, " ".join(random.choices(words, k=random.randint(1, 12)))) for i in range(40)]
+    asked += [(100, "tied the of"), (101, "lonely nowhere"), (102, "nowhere"), (103, "the the the w2"), (104, ""), (105, "the of w1 tied")]
+    queries = spark.createDataFrame(asked, "query_id int, query string")
+    for match, limits in (("any", (1, 5, 25)), ("all", (5,))):
+        complete = search_text_batch(index, queries, limit=None, match=match)
+        for limit in limits:
+            found = {}
+            for r in search_text_batch(index, queries, limit=limit, match=match).collect():
+                found.setdefault(r["query_id"], []).append((r["position"], r["url"], r["rank"]))
+            assert {q: sorted(rows_) for q, rows_ in found.items()} == _best(complete, limit)
+
+
+def test_batch_all_words_needs_every_word(spark, golden_index):
+    queries = spark.createDataFrame([(1, "python running"), (2, "python nowhere"), (3, "run run cats")], "query_id int, query string")
+    for limit in (None, 5):
+        found = search_text_batch(golden_index, queries, limit=limit, match="all")
+        assert rows(found, "query_id", "url") == [(1, "u1"), (1, "u4"), (3, "u4")]
+
+
+def test_segments_equal_one_index(spark, tmp_path, stem=True):
+    """Pages added in segments, replaced, merged and added again: as one index over the latest rows."""
+    random.seed(9)
+    root, latest = str(tmp_path / "index"), {}
+    queries = spark.createDataFrame([(1, "cat running"), (2, "dog bird the")], "query_id int, query string")
+    for turn in range(3):
+        pages = [(f"u{random.randrange(12)}", "t" * (i % 2), " ".join(random.choices("cat dog cats run running the bird".split(), k=i))) for i in range(6)]
+        pages = list({url: (url, title, text) for url, title, text in pages}.values())
+        latest.update({url: (url, title, text) for url, title, text in pages})
+        index = add_to_text_index(spark, root, pages_frame(spark, pages), stem)
+        if turn == 1:
+            before = ranks(search_text(index, any_of("cat", "run")))
+            assert compact_text_index(spark, root, stem) == 1 and compact_text_index(spark, root, stem) is None
+            index = load_text_index(spark, root, stem)
+            assert index.replaced is None and ranks(search_text(index, any_of("cat", "run"))) == before
+        whole = build_text_index(pages_frame(spark, list(latest.values())), stem)
+        assert rows(corpus_stats(index)) == rows(corpus_stats(whole))
+        assert rows(index.live(index.documents)) == rows(whole.documents)
+        assert rows(document_frequency(index)) == rows(document_frequency(whole))
+        assert rows(stemmed_postings(index) if stem else index.live(index.postings)) == rows(stemmed_postings(whole) if stem else whole.postings)
+        for make in (lambda: any_of("cat", "run"), lambda: "the bird"):
+            assert ranks(search_text(index, make())) == ranks(search_text(whole, make()))
+    assert rows(search_text_batch(index, queries)) == rows(search_text_batch(whole, queries))
+
+
+def test_finished_segment_is_left_alone(spark, tmp_path):
+    root = str(tmp_path / "index")
+    add_to_text_index(spark, root, pages_frame(spark, GOLDEN_ROWS), segment=0)
+    files = sorted(p for p in (tmp_path / "index").rglob("*.parquet"))
+    index = add_to_text_index(spark, root, pages_frame(spark, GOLDEN_ROWS[:2]), segment=0)
+    assert sorted(p for p in (tmp_path / "index").rglob("*.parquet")) == files and index.documents.count() == len(GOLDEN_ROWS)
+
+
+def test_segment_search_filters_the_scan_and_reads_stored_sizes(spark, tmp_path):
+    root = str(tmp_path / "index")
+    for pages in (GOLDEN_ROWS, GOLDEN_ROWS[3:5]):
+        index = add_to_text_index(spark, root, pages_frame(spark, pages))
+    plan = search_text(index, "python")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(stem,python)" in plan and "avg(" not in plan

@@ -11,9 +11,11 @@ from weblattice.functions.porter import with_stem
 from weblattice.functions.text import text_tokens
 from weblattice.functions.words import repeat_runs, run_length, run_token
 from weblattice.operators.visited import latest_pages
+from weblattice.sources.snapshots import versions, write_once
 
 _FREQUENCIES = "term string, url string, n_tokens int, frequency int"
 _VOCABULARY = "term string, stem string"
+_SIZES = "n_docs bigint, avg_tokens double"
 
 
 @dataclass(frozen=True)
@@ -30,6 +32,15 @@ class TextIndex:
     postings: DataFrame
     frequencies: DataFrame
     vocabulary: DataFrame | None = None
+    replaced: DataFrame | None = None  # (url, _last): urls of later segments of a stored index
+    sizes: DataFrame | None = None  # (n_docs, avg_tokens) as stored
+
+    def live(self, table: DataFrame) -> DataFrame:
+        """A table of the index, or hits taken from one, without what a later segment replaced."""
+        if self.replaced is None:
+            return table.drop("segment")
+        later = self.replaced.withColumnRenamed("url", "_url")
+        return table.join(later, (F.col("url") == F.col("_url")) & (F.col("segment") < F.col("_last")), "left_anti").drop("segment")
 
 
 def build_text_index(pages: DataFrame, stem: bool = True) -> TextIndex:
@@ -58,45 +69,126 @@ def build_text_index(pages: DataFrame, stem: bool = True) -> TextIndex:
     return TextIndex(documents, postings, frequencies, vocabulary)
 
 
-def save_text_index(index: TextIndex, root: str) -> TextIndex:
-    """Write the index, sorted by term so that a term filter skips row groups, and return the stored form.
+def save_text_index(index: TextIndex, root: str, segment: int = 0) -> TextIndex:
+    """Write the index as a segment of ``root`` and return the stored form.
 
-    The postings of a stemmed index carry their stem and are sorted by it, so a stem or the prefix of one is a filter that reaches the scan.
+    Tables are sorted by term so that a term filter skips row groups. The postings of a stemmed index carry their stem and are
+    sorted by it, so a stem or the prefix of one is a filter that reaches the scan.
 
     The tokens are shuffled once, by term; the rebalance hint has adaptive execution cut the partition of
-    a term that is in most documents into files of normal size.
+    a term that is in most documents into files of normal size. The size of the corpus is written last: with it the segment
+    counts. A segment that is complete is left as it is, so a replayed batch takes no file from a reader.
     """
+    spark, stem = index.documents.sparkSession, index.vocabulary is not None
+    if segment not in versions(spark, f"{root}/sizes"):
+        # Of the whole index: what the segments before hold, less the documents replaced, and the new ones.
+        before = load_text_index(spark, root, stem, below=segment)
+        _write_tables(index, root, f"segment={segment}")
+        new = _table(spark, root, "documents", schemas.TEXT_DOCUMENTS, [f"segment={segment}"])
+        old = before.live(before.documents)
+        kept = old.join(new.select("url"), "url", "left_anti").unionByName(new.drop("segment"))
+        write_once(_measured(kept if before.sizes is not None else new), f"{root}/sizes/version={segment}")
+    return load_text_index(spark, root, stem)
+
+
+def _measured(documents: DataFrame) -> DataFrame:
+    return documents.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("n_tokens").alias("avg_tokens"))
+
+
+def _write_tables(index: TextIndex, root: str, part: str) -> None:
     spark = index.documents.sparkSession
-    index.documents.write.parquet(f"{root}/documents")
+
+    def write(table: DataFrame, name: str) -> None:
+        table.write.mode("overwrite").parquet(f"{root}/{name}/{part}")
+
+    write(index.documents, "documents")
     postings, key = index.postings.drop("stem"), "term"
     if index.vocabulary is not None:
-        index.vocabulary.sortWithinPartitions("stem").write.parquet(f"{root}/vocabulary")
-        vocabulary = spark.read.schema(_VOCABULARY).parquet(f"{root}/vocabulary")
+        write(index.vocabulary.sortWithinPartitions("stem"), "vocabulary")
+        vocabulary = spark.read.schema(_VOCABULARY).parquet(f"{root}/vocabulary/{part}")
         postings, key = postings.join(vocabulary, "term").select(*postings.columns, "stem"), "stem"
     for name, table, by in (("postings", postings, key), ("frequencies", index.frequencies, "term")):
-        table.hint("rebalance", by).sortWithinPartitions(by, "url").write.parquet(f"{root}/{name}")
-    return load_text_index(spark, root, stem=index.vocabulary is not None)
+        write(table.hint("rebalance", by).sortWithinPartitions(by, "url"), name)
 
 
-def load_text_index(spark: SparkSession, root: str, stem: bool = True) -> TextIndex:
-    def table(name: str, schema: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(f"{root}/{name}")
+def _table(spark: SparkSession, root: str, name: str, schema: str, parts: list[str]) -> DataFrame:
+    """Parts of a table with their ``segment``, which is a folder name and costs no column."""
+    if not parts:
+        return spark.createDataFrame([], f"{schema}, segment int")
+    reader = spark.read.schema(f"{schema}, segment int").option("basePath", f"{root}/{name}")
+    return reader.parquet(*[f"{root}/{name}/{part}" for part in parts])
+
+
+def load_text_index(spark: SparkSession, root: str, stem: bool = True, below: int | None = None) -> TextIndex:
+    """The stored index as of its last complete segment: the newest merged one and those after it.
 
+    Nothing of the old segments is rewritten when a page is replaced: a hit is dropped if a later segment holds its url (``TextIndex.live``).
+    """
+    done = [n for n in versions(spark, f"{root}/sizes") if below is None or n < below]
+    covered = max((n for n in versions(spark, f"{root}/merged") if n in done), default=-1)
+    later = [n for n in done if n > covered]
+    parts = [f"merged-{covered}/segment={covered}"] * (covered >= 0) + [f"segment={n}" for n in later]
+
+    def table(name: str, schema: str) -> DataFrame:
+        merged, single = [p for p in parts if p.startswith("merged")], [p for p in parts if not p.startswith("merged")]
+        frame = _table(spark, root, name, schema, single)
+        if merged:
+            folder = spark.read.schema(schema).parquet(f"{root}/{name}/{merged[0]}").withColumn("segment", F.lit(covered))
+            frame = folder.unionByName(frame) if single else folder
+        return frame
+
+    documents = table("documents", schemas.TEXT_DOCUMENTS)
+    several = len(parts) > 1
+    vocabulary = table("vocabulary", _VOCABULARY).drop("segment") if stem else None
     return TextIndex(
-        table("documents", schemas.TEXT_DOCUMENTS), table("postings", schemas.TEXT_POSTINGS + (", stem string" if stem else "")),
-        table("frequencies", _FREQUENCIES), table("vocabulary", _VOCABULARY) if stem else None,
+        documents, table("postings", schemas.TEXT_POSTINGS + (", stem string" if stem else "")), table("frequencies", _FREQUENCIES),
+        vocabulary.distinct() if stem and several else vocabulary,
+        documents.filter(F.col("segment") > min([covered] if covered >= 0 else later))
+        .groupBy("url").agg(F.max("segment").alias("_last")) if several else None,
+        spark.read.schema(_SIZES).parquet(f"{root}/sizes/version={done[-1]}") if done else None,
     )
 
 
+def add_to_text_index(spark: SparkSession, root: str, pages: DataFrame, stem: bool = True, segment: int | None = None) -> TextIndex:
+    """Store the entries of the pages as the next segment of the index at ``root`` (or a given one, as a stream batch does).
+
+    A page replaces an older entry of its url; of a url that the pages repeat, the latest counts, as in ``replace_pages``.
+    """
+    if segment is None:
+        segment = max(versions(spark, f"{root}/sizes"), default=-1) + 1
+    return save_text_index(build_text_index(_one_per_url(pages), stem), root, segment)
+
+
+def compact_text_index(spark: SparkSession, root: str, stem: bool = True) -> int | None:
+    """Merge all complete segments into one, beside running readers, and return the number it covers.
+
+    Old segments stay for readers that have begun; delete them when none are left.
+    """
+    done = versions(spark, f"{root}/sizes")
+    if not done or done[-1] <= max(versions(spark, f"{root}/merged"), default=-1):
+        return None
+    index = load_text_index(spark, root, stem)
+    merged = TextIndex(
+        *(index.live(table) for table in (index.documents, index.postings.drop("stem"), index.frequencies)), index.vocabulary
+    )
+    _write_tables(merged, root, f"merged-{done[-1]}/segment={done[-1]}")
+    write_once(index.sizes, f"{root}/merged/version={done[-1]}")
+    return done[-1]
+
+
+def _one_per_url(pages: DataFrame) -> DataFrame:
+    # Without a time, nothing tells repeats of a url apart but their content.
+    return latest_pages(pages) if "fetched_at" in pages.columns else latest_pages(pages.withColumn("fetched_at", F.lit(0))).drop("fetched_at")
+
+
 def replace_pages(index: TextIndex, pages: DataFrame) -> TextIndex:
     """The index with the entries of the given pages replaced: one entry per url, of the latest ``fetched_at`` if pages repeat a url."""
-    # Without a time, nothing tells repeats of a url apart but their content.
-    pages = latest_pages(pages) if "fetched_at" in pages.columns else latest_pages(pages.withColumn("fetched_at", F.lit(0))).drop("fetched_at")
+    pages = _one_per_url(pages)
     changed = pages.select("url").distinct()
     fresh = build_text_index(pages, stem=index.vocabulary is not None)
 
     def swap(old: DataFrame, new: DataFrame) -> DataFrame:
-        return old.join(changed, "url", "left_anti").unionByName(new)
+        return index.live(old).join(changed, "url", "left_anti").unionByName(new)
 
     vocabulary = None
     if index.vocabulary is not None:
@@ -110,14 +202,14 @@ def replace_pages(index: TextIndex, pages: DataFrame) -> TextIndex:
 
 def stemmed_postings(index: TextIndex) -> DataFrame:
     """Positional postings with stems in place of terms, as a table of its own."""
-    return index.postings.drop("stem").join(index.vocabulary, "term").withColumn("term", F.col("stem")).drop("stem")
+    return index.live(index.postings).drop("stem").join(index.vocabulary, "term").withColumn("term", F.col("stem")).drop("stem")
 
 
 def corpus_stats(index: TextIndex) -> DataFrame:
-    """One row ``(n_docs, avg_tokens)``; every row counts, error pages too."""
-    return index.documents.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("n_tokens").alias("avg_tokens"))
+    """One row ``(n_docs, avg_tokens)``; every row counts, error pages too. A stored index has it written down."""
+    return index.sizes if index.sizes is not None else _measured(index.live(index.documents))
 
 
 def document_frequency(index: TextIndex) -> DataFrame:
     """``(term, n_docs)``; frequencies hold a term once per document."""
-    return index.frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
+    return index.live(index.frequencies).groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))

@@ -125,6 +125,7 @@ def _hits(index: TextIndex, phrases: list[Phrase], tokens: list[list[str]], toge
     else:
         stems = index.vocabulary.withColumnsRenamed({"term": "_raw", "stem": "term"}).filter(wanted)
         postings = index.postings.withColumnRenamed("term", "_raw").join(stems, "_raw")
+    postings = index.live(postings)
 
     places = []
     for number, (leaf, words) in enumerate(zip(phrases, tokens)):
@@ -237,16 +238,18 @@ def search_text(index: TextIndex, query, limit: int | None = DEFAULT_LIMIT) -> D
     if limit is not None:
         ranked = ranked.orderBy("rank", "url").limit(limit)
     return (
-        ranked.join(index.documents, "url").select("url", "origin_url", "depth", "rank").orderBy("rank", "url")
+        ranked.join(index.live(index.documents), "url").select("url", "origin_url", "depth", "rank").orderBy("rank", "url")
     )
 
 
-def search_text_batch(index: TextIndex, queries: DataFrame, limit: int = DEFAULT_LIMIT, match: str = "any") -> DataFrame:
+def search_text_batch(index: TextIndex, queries: DataFrame, limit: int | None = DEFAULT_LIMIT, match: str = "any") -> DataFrame:
     """Top documents for a table ``(query_id, query)``: ``(query_id, position, url, origin_url, depth, rank)``.
 
     The words of a query are joined by OR (``match='any'``) or AND (``match='all'``). Hits of all query
     words are collected in one pass over the frequencies and written out; a word is weighted once per
-    document, however many queries ask for it.
+    document, however many queries ask for it. Pairs of a query and a document are only formed where the document
+    can still be among the best (``_any_word``, ``_every_word``). Without a limit all matches are
+    returned; they are not numbered then (``position`` is null), as that would take all of a query to one task.
     """
     if match not in ("any", "all"):
         raise ValueError("match must be 'any' or 'all'")
@@ -259,32 +262,105 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int = DEFAULT
     asked = materialize(
         words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("weight")), new_folder(spark, "query-words")
     )
+    wanted = asked.select("term").distinct()
     if index.vocabulary is None:
-        hits = index.frequencies.join(asked.select("term"), "term", "left_semi")
+        hits = index.live(index.frequencies.join(wanted, "term", "left_semi"))
     else:
-        behind = index.vocabulary.withColumnRenamed("term", "_raw").join(asked, F.col("stem") == F.col("term"), "left_semi")
+        behind = index.vocabulary.withColumnRenamed("term", "_raw").join(wanted, F.col("stem") == F.col("term"), "left_semi")
         behind = materialize(behind, new_folder(spark, "query-stems"))
         hits = (
-            index.frequencies.withColumnRenamed("term", "_raw").join(behind, "_raw")
+            index.live(index.frequencies.withColumnRenamed("term", "_raw").join(behind, "_raw"))
             .groupBy(F.col("stem").alias("term"), "url", "n_tokens").agg(F.sum("frequency").alias("frequency"))
         )
     hits = materialize(hits, new_folder(spark, "hits"))
 
     per_term = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_matching")).crossJoin(F.broadcast(corpus_stats(index)))
     idf = inverse_frequency(F.col("n_docs"), F.col("n_matching"))
-    sizes = asked.groupBy("query_id").agg(F.count(F.lit(1)).alias("n_words"))
-    plan = materialize(
-        asked.join(sizes, "query_id").join(per_term.select("term", idf.alias("idf"), "avg_tokens"), "term"),
-        new_folder(spark, "query-terms"),
-    )
+    per_term = materialize(per_term.select("term", "n_matching", idf.alias("idf"), "avg_tokens"), new_folder(spark, "query-terms"))
     weight = bm25_weight(F.col("frequency"), F.col("idf"), F.col("n_tokens"), F.col("avg_tokens"))
     # Whole-number sums do not depend on the order of tasks, so equal documents tie on every run.
-    units = F.round(weight * RANK_UNITS).cast("bigint") * F.col("weight")
-    scores = hits.join(plan, "term").groupBy("query_id", "url").agg(
-        (-F.sum(units) / RANK_UNITS).alias("rank"), (F.count(F.lit(1)) == F.max("n_words")).alias("_all_words")
-    )
+    units = F.round(weight * RANK_UNITS).cast("bigint")
+    scored = materialize(hits.join(per_term, "term").select("term", "url", units.alias("units")), new_folder(spark, "weighted-hits"))
+
     if match == "all":
-        scores = scores.filter("_all_words")
-    best_first = Window.partitionBy("query_id").orderBy("rank", "url")
-    top = scores.withColumn("position", F.row_number().over(best_first)).filter(F.col("position") <= limit)
-    return top.join(index.documents, "url").select("query_id", "position", "url", "origin_url", "depth", "rank")
+        scores = _every_word(scored, asked, per_term.select("term", "n_matching"))
+    elif limit is None:
+        scores = _total(scored.join(asked, "term"))
+    else:
+        scores = _any_word(scored, asked, limit)
+    top = scores.select("query_id", "url", (-F.col("total") / RANK_UNITS).alias("rank"))
+    if limit is None:
+        top = top.withColumn("position", F.lit(None).cast("int"))
+    else:
+        best_first = Window.partitionBy("query_id").orderBy("rank", "url")
+        top = top.withColumn("position", F.row_number().over(best_first)).filter(F.col("position") <= limit)
+        top = materialize(top, new_folder(spark, "ranked"))
+    return top.join(index.live(index.documents), "url").select("query_id", "position", "url", "origin_url", "depth", "rank")
+
+
+def _total(weighted: DataFrame) -> DataFrame:
+    """``(query_id, url, total, n_found)`` over rows with the units of a word in a document and its weight in a query."""
+    return weighted.groupBy("query_id", "url").agg(
+        F.sum(F.col("units") * F.col("weight")).alias("total"), F.count(F.lit(1)).alias("n_found")
+    )
+
+
+def _of_pairs(pairs: DataFrame, terms: DataFrame, scored: DataFrame) -> DataFrame:
+    """The weighted hits of given (query, document) pairs in given query words."""
+    looked_up = pairs.select("query_id", "url").join(terms.select("query_id", "term", "weight"), "query_id")
+    return scored.join(looked_up, ["term", "url"])
+
+
+def _every_word(scored: DataFrame, asked: DataFrame, counts: DataFrame) -> DataFrame:
+    """Totals of documents with all words of a query: those with its rarest word are looked up in the others."""
+    spark = scored.sparkSession
+    rare_first = Window.partitionBy("query_id").orderBy("n_matching", "term")
+    terms = asked.join(counts, "term", "left").fillna(0, ["n_matching"]).withColumn("_n", F.row_number().over(rare_first))
+    terms = terms.withColumn("n_words", F.count(F.lit(1)).over(Window.partitionBy("query_id")))
+    terms = materialize(terms, new_folder(spark, "query-plan"))
+    pairs = scored.join(terms.filter("_n = 1").select("query_id", "term", "n_words"), "term").select("query_id", "url")
+    found = _total(_of_pairs(materialize(pairs, new_folder(spark, "pairs")), terms, scored))
+    sizes = terms.filter("_n = 1").select("query_id", "n_words")
+    return found.join(sizes, "query_id").filter("n_found = n_words").select("query_id", "url", "total")
+
+
+def _any_word(scored: DataFrame, asked: DataFrame, limit: int) -> DataFrame:
+    """Totals of all documents that can be among the best ``limit`` of a query; exact, ties included.
+
+    1. The best ``limit`` hits of each word give a few documents per query. The lowest full total of ``limit`` of them is a
+       floor: the last total of the answer is not below it. A query with fewer such documents has the floor 0.
+    2. A word never gives more than its best hit. Words are set aside, those that give least first, as long as
+       together they stay below the floor: a document with no other word cannot be in the answer.
+    3. Documents with one of the other words are summed, and those that cannot reach the floor with all words set aside go.
+       The words set aside, usually the frequent ones, are looked up for the rest only.
+    """
+    spark = scored.sparkSession
+    best_hits = Window.partitionBy("term").orderBy(F.desc("units"), "url")
+    leaders = scored.withColumn("_n", F.row_number().over(best_hits)).filter(F.col("_n") <= limit).drop("_n")
+    leaders = materialize(leaders, new_folder(spark, "leaders"))  # cut to the limit in the map tasks already
+    most = leaders.groupBy("term").agg(F.max("units").alias("most"))
+    terms = materialize(
+        asked.join(most, "term").withColumn("bound", F.col("most") * F.col("weight")).drop("most"), new_folder(spark, "query-plan")
+    )
+
+    best_totals = Window.partitionBy("query_id").orderBy(F.desc("total"), "url")
+    promising = _total(leaders.join(terms, "term")).withColumn("_n", F.row_number().over(best_totals)).filter(F.col("_n") <= limit)
+    promising = materialize(promising.select("query_id", "url"), new_folder(spark, "promising"))
+    floors = (
+        _total(_of_pairs(promising, terms, scored)).groupBy("query_id")
+        .agg(F.min("total").alias("floor"), F.count(F.lit(1)).alias("_n"))
+        .select("query_id", F.when(F.col("_n") >= limit, F.col("floor")).otherwise(0).alias("floor"))
+    )
+    least_first = Window.partitionBy("query_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
+    planned = terms.join(floors, "query_id").withColumn("aside", F.sum("bound").over(least_first) < F.col("floor"))
+    left_out = F.sum(F.when(F.col("aside"), F.col("bound")).otherwise(0)).over(Window.partitionBy("query_id"))
+    planned = materialize(planned.withColumn("left_out", left_out), new_folder(spark, "query-split"))
+
+    leading, aside = planned.filter("NOT aside"), planned.filter("aside")
+    need = planned.groupBy("query_id").agg(F.first("floor").alias("floor"), F.first("left_out").alias("left_out"))
+    alive = _total(scored.join(leading.select("query_id", "term", "weight"), "term")).join(need, "query_id")
+    alive = materialize(
+        alive.filter(F.col("total") + F.col("left_out") >= F.col("floor")).select("query_id", "url", "total"), new_folder(spark, "alive")
+    )
+    rest = _total(_of_pairs(alive, aside, scored)).select("query_id", "url", "total")
+    return alive.unionByName(rest).groupBy("query_id", "url").agg(F.sum("total").alias("total"))

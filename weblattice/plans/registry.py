@@ -13,7 +13,7 @@ from weblattice.operators.extraction import extract_pages, page_links, with_outc
 from weblattice.operators.postings import append_postings, word_postings, words_on_many_urls
 from weblattice.operators.reports import distinct_hosts, error_pages, frontier_size, store_report
 from weblattice.operators.robots import robots_allowed, robots_rules
-from weblattice.operators.text_index import TextIndex, build_text_index, document_frequency, replace_pages, save_text_index
+from weblattice.operators.text_index import TextIndex, add_to_text_index, build_text_index, document_frequency, load_text_index, save_text_index
 from weblattice.operators.text_search import all_of, any_of, but_not, near, phrase, search_text, search_text_batch
 from weblattice.operators.visited import add_visited, new_urls, upsert_pages
 from weblattice.operators.word_search import audit_scores, search_words, search_words_batch
@@ -24,7 +24,7 @@ from weblattice.runtime import materialize, new_folder
 from weblattice.sources.frontier import load_frontier, save_frontier
 from weblattice.sources.responses import decode_responses, seed_tasks, stream_responses
 from weblattice.sources.results import search_response, text_results
-from weblattice.sources.word_store import append_posting_lines, read_posting_lines
+from weblattice.sources.word_store import append_posting_lines, read_posting_lines, read_postings, write_postings
 from weblattice.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,24 +47,31 @@ def _n_tokens() -> Column:
 # --- word index and word search -------------------------------------------------------------
 
 
+def _stored(postings: DataFrame) -> DataFrame:
+    """The word index as stored, sorted by word: a search reads the row groups of its word."""
+    path = new_folder(postings.sparkSession, "word-index")
+    write_postings(postings, path)
+    return read_postings(postings.sparkSession, path)
+
+
 @query
 def word_search_relevance(spark, sf_dir):
-    return search_words(word_postings(corpus.good_pages(spark, sf_dir)), f" {WORD.upper()} ")
+    return search_words(_stored(word_postings(corpus.good_pages(spark, sf_dir))), f" {WORD.upper()} ")
 
 
 @query
 def word_search_frequency(spark, sf_dir):
-    return search_words(word_postings(corpus.good_pages(spark, sf_dir)), "la", "frequency")
+    return search_words(_stored(word_postings(corpus.good_pages(spark, sf_dir))), "la", "frequency")
 
 
 @query
 def word_search_depth(spark, sf_dir):
-    return search_words(word_postings(corpus.good_pages(spark, sf_dir)), "und", "depth")
+    return search_words(_stored(word_postings(corpus.good_pages(spark, sf_dir))), "und", "depth")
 
 
 @query
 def word_search_documents(spark, sf_dir):
-    return search_words(word_postings(corpus.text_documents(spark, sf_dir)), WORD)
+    return search_words(_stored(word_postings(corpus.text_documents(spark, sf_dir))), WORD)
 
 
 @query
@@ -104,7 +111,7 @@ def _benchmark_words(spark, sf_dir) -> DataFrame:
 
 @query
 def word_search_batch(spark, sf_dir):
-    postings = word_postings(corpus.text_documents(spark, sf_dir))
+    postings = _stored(word_postings(corpus.text_documents(spark, sf_dir)))
     found = search_words_batch(postings, _benchmark_words(spark, sf_dir))
     return found.drop("query")
 
@@ -120,7 +127,7 @@ def score_audit(spark, sf_dir):
 
 @query
 def search_json(spark, sf_dir):
-    return search_response(search_words(word_postings(corpus.good_pages(spark, sf_dir)), WORD), WORD)
+    return search_response(search_words(_stored(word_postings(corpus.good_pages(spark, sf_dir))), WORD), WORD)
 
 
 # --- pages, links, robots -------------------------------------------------------------------
@@ -240,11 +247,12 @@ def page_upsert(spark, sf_dir):
 
 @query
 def fts_row_replace(spark, sf_dir):
-    index = _page_index(spark, sf_dir)
-    replaced = with_outcome(extract_pages(corpus.responses(spark, sf_dir))).filter(
-        F.col("error").isNotNull() | ~is_html(F.col("content_type"))
-    )
-    return _ranked(search_text(replace_pages(index, replaced), WORD, limit=None))
+    """Good fetches indexed, then fetches with errors and of plain text added as a second segment."""
+    pages = with_outcome(extract_pages(corpus.responses(spark, sf_dir)))
+    replaced = pages.filter(F.col("error").isNotNull() | ~is_html(F.col("content_type")))
+    root = new_folder(spark, "text-index")
+    save_text_index(_page_index(spark, sf_dir), root)
+    return _ranked(search_text(add_to_text_index(spark, root, replaced, stem=False), WORD, limit=None))
 
 
 # --- traversal and crawl --------------------------------------------------------------------
@@ -328,12 +336,18 @@ def _page_index(spark, sf_dir, stem: bool = False) -> TextIndex:
     return build_text_index(corpus.stored_pages(spark, sf_dir), stem)
 
 
+def _saved(index: TextIndex) -> TextIndex:
+    """The index as stored, sorted by term: a search reads the row groups of its terms, and the corpus size as written."""
+    spark = index.documents.sparkSession
+    return save_text_index(index, new_folder(spark, "text-index"))
+
+
 def _ranked(results: DataFrame) -> DataFrame:
     return results.withColumn("rank", F.round("rank", 6))
 
 
 def _page_search(spark, sf_dir, what, limit=None) -> DataFrame:
-    return _ranked(search_text(_page_index(spark, sf_dir), what, limit))
+    return _ranked(search_text(_saved(_page_index(spark, sf_dir)), what, limit))
 
 
 @query
@@ -348,7 +362,7 @@ def fts_top25(spark, sf_dir):
 
 @query
 def fts_results(spark, sf_dir):
-    return text_results(search_text(_page_index(spark, sf_dir), "Übe"))
+    return text_results(search_text(_saved(_page_index(spark, sf_dir)), "Übe"))
 
 
 @query
@@ -410,22 +424,41 @@ def fts_vocabulary(spark, sf_dir):
 
 @query
 def fts_stemmed(spark, sf_dir):
-    index = save_text_index(_page_index(spark, sf_dir, stem=True), new_folder(spark, "text-index"))
+    index = _saved(_page_index(spark, sf_dir, stem=True))
     return _ranked(search_text(index, any_of("ings", "ered"), limit=None))
 
 
 # --- streams --------------------------------------------------------------------------------
 
 
-def _page_stream(spark, sf_dir) -> DataFrame:
-    raw = stream_responses(spark, sf_dir, "page_id bigint, url string, html string", pathGlobFilter="pages.parquet")
+BATCHES = 4
+
+
+def _arriving(pages: DataFrame, name: str) -> str:
+    """The pages in files, a ``BATCHES``-th of the rows in each."""
+    folder = new_folder(pages.sparkSession, name)
+    pages.write.partitionBy("arrival").parquet(folder)
+    return folder
+
+
+def _page_stream(spark, sf_dir, folder: str | None = None) -> DataFrame:
+    """Responses that arrive in about ``BATCHES`` micro-batches."""
+    folder = folder or _arriving(_page_files(spark, sf_dir), "arriving-pages")
+    files = len(spark.read.parquet(folder).inputFiles())
+    raw = stream_responses(
+        spark, folder, "page_id bigint, url string, html string", maxFilesPerTrigger=str(-(-files // BATCHES)), recursiveFileLookup="true"
+    )
     return corpus.as_responses(raw)
 
 
-def _run(start, stream: DataFrame, name: str) -> str:
+def _page_files(spark, sf_dir) -> DataFrame:
+    return corpus.table(spark, sf_dir, "pages").select("page_id", "url", "html", (F.col("page_id") % BATCHES).alias("arrival"))
+
+
+def _run(start, stream: DataFrame, name: str, **options) -> str:
     spark = stream.sparkSession
     root = new_folder(spark, name)
-    start(stream, root, new_folder(spark, f"{name}-checkpoint")).awaitTermination()
+    start(stream, root, new_folder(spark, f"{name}-checkpoint"), **options).awaitTermination()
     return root
 
 
@@ -443,7 +476,7 @@ def stream_page_upsert(spark, sf_dir):
 
 @query
 def stream_url_dedupe(spark, sf_dir):
-    """Hosts of an arriving page stream, each passed on once."""
+    """Hosts of an arriving page stream, which all batches repeat, each passed on once."""
     urls = _page_stream(spark, sf_dir).select(F.col("origin_url").alias("url"))
     root = _run(jobs.stream_new_urls, urls, "stream-urls")
     return spark.read.schema("url string").parquet(root)
@@ -456,15 +489,36 @@ def stream_counters(spark, sf_dir):
 
 @query
 def stream_search_snapshot(spark, sf_dir):
-    """Word search on the committed batches of a stream."""
+    """Word search on the committed batches of a stream, folded into one snapshot."""
     root = _run(jobs.stream_word_index, _page_stream(spark, sf_dir), "stream-words")
+    jobs.compact_word_index(spark, root)
     return search_words(jobs.read_word_index(spark, root), WORD)
 
 
 @query
 def stream_restart(spark, sf_dir):
-    """Two runs from one checkpoint: the second finds nothing new and loses nothing."""
+    """A stream over half of the pages ends; the other half arrives, and a second run from the same checkpoint goes on."""
+    pages = _page_files(spark, sf_dir)
+    folder = _arriving(pages.filter(F.col("arrival") < BATCHES // 2), "arriving-pages")
     root, checkpoint = new_folder(spark, "stream-words"), new_folder(spark, "stream-words-checkpoint")
-    for _ in range(2):
-        jobs.stream_word_index(_page_stream(spark, sf_dir), root, checkpoint).awaitTermination()
+    jobs.stream_word_index(_page_stream(spark, sf_dir, folder), root, checkpoint).awaitTermination()
+    pages.filter(F.col("arrival") >= BATCHES // 2).write.mode("append").partitionBy("arrival").parquet(folder)
+    jobs.stream_word_index(_page_stream(spark, sf_dir, folder), root, checkpoint).awaitTermination()
     return jobs.read_word_index(spark, root)
+
+
+@query
+def stream_text_index(spark, sf_dir):
+    """Document frequencies of an index that grew by segments."""
+    return document_frequency(load_text_index(spark, _run(
+        jobs.stream_text_index, _page_stream(spark, sf_dir).withColumn("fetched_at", F.lit("2024-01-10").cast("timestamp")),
+        "stream-text", stem=False,
+    ), stem=False))
+
+
+@query
+def stream_text_search(spark, sf_dir):
+    """Full-text search on the segments of a stream."""
+    stream = _page_stream(spark, sf_dir).withColumn("fetched_at", F.lit("2024-01-10").cast("timestamp"))
+    root = _run(jobs.stream_text_index, stream, "stream-text", stem=False)
+    return _ranked(search_text(load_text_index(spark, root, stem=False), WORD, limit=None))

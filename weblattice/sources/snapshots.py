@@ -37,9 +37,3 @@ def read_latest(spark: SparkSession, root: str, schema: str) -> DataFrame:
     if not known:
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(f"{root}/version={known[-1]}")
-
-
-def read_all(spark: SparkSession, root: str, schema: str, prefix: str = "batch") -> DataFrame:
-    """All complete parts under ``root`` together."""
-    paths = [f"{root}/{prefix}={number}" for number in versions(spark, root, prefix)]
-    return spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)

@@ -45,14 +45,17 @@ def parse_posting_lines(lines: DataFrame, column: str = "value") -> DataFrame:
     )
 
 
-def write_postings(postings: DataFrame, path: str, mode: str = "append") -> None:
-    """Parquet sorted by word, so that a word filter skips row groups.
+def by_word(postings: DataFrame) -> DataFrame:
+    """Valid postings in files by word, sorted, so that a word filter skips row groups.
 
     The rebalance hint has adaptive execution cut the partition of a word that is on most pages into
     files of normal size.
     """
-    rows = keep_valid(postings).hint("rebalance", "word").sortWithinPartitions("word", "url")
-    rows.write.mode(mode).parquet(path)
+    return keep_valid(postings).hint("rebalance", "word").sortWithinPartitions("word", "url")
+
+
+def write_postings(postings: DataFrame, path: str, mode: str = "append") -> None:
+    by_word(postings).write.mode(mode).parquet(path)
 
 
 def read_postings(spark: SparkSession, path: str) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Streams over arriving responses: word index, page store, url dedupe, counters.
+"""Streams over arriving responses: word index, full-text index, page store, url dedupe, counters.
 
 Sinks write one folder per batch id. A batch that is replayed after a lost driver finds its finished folder and leaves it as it is,
 so readers never lose a file; an unfinished one is written again. With ``available_now`` a stream takes what is there and ends, and gives what the batch
@@ -13,8 +13,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
+from weblattice.operators.text_index import add_to_text_index
 from weblattice.operators.visited import latest_pages, upsert_pages
-from weblattice.sources.snapshots import read_all, read_latest, versions, write_once, write_version
+from weblattice.sources.snapshots import read_latest, versions, write_once, write_version
+from weblattice.sources.word_store import by_word
 
 _PAGE_COLUMNS = ("url", "origin_url", "depth", "title", "content", "status_code", "error", "fetched_at")
 
@@ -30,18 +32,53 @@ def pages_of(responses: DataFrame) -> DataFrame:
 
 
 def stream_word_index(responses: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
-    """Each arriving page appends its word postings. No state: the count happens inside the page row."""
+    """Each arriving page appends its word postings, sorted by word. No state: the count happens inside the page row."""
     postings = word_postings(pages_of(responses))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        write_once(batch, f"{root}/batch={batch_id}")
+        write_once(by_word(batch), f"{root}/batch={batch_id}")
 
     return _start(postings.writeStream.foreachBatch(append), checkpoint, available_now)
 
 
+def _uncovered(spark: SparkSession, root: str) -> list[int]:
+    """Finished batches after the newest snapshot."""
+    covered = max(versions(spark, root), default=-1)
+    return [number for number in versions(spark, root, "batch") if number > covered]
+
+
+def _batches(spark: SparkSession, root: str, schema: str, numbers: list[int]) -> DataFrame:
+    return spark.read.schema(schema).parquet(*[f"{root}/batch={n}" for n in numbers])
+
+
 def read_word_index(spark: SparkSession, root: str) -> DataFrame:
     """Postings of all finished batches; a search beside the running stream sees whole pages."""
-    return read_all(spark, root, schemas.WORD_POSTINGS)
+    later, snapshot = _uncovered(spark, root), read_latest(spark, root, schemas.WORD_POSTINGS)
+    return snapshot.unionByName(_batches(spark, root, schemas.WORD_POSTINGS, later)) if later else snapshot
+
+
+def compact_word_index(spark: SparkSession, root: str) -> int | None:
+    """Write one snapshot, sorted by word, that covers all finished batches, beside running readers; return its number."""
+    later = _uncovered(spark, root)
+    return write_version(by_word(read_word_index(spark, root)), root, later[-1]) if later else None
+
+
+def stream_text_index(responses: DataFrame, root: str, checkpoint: str, stem: bool = True, available_now: bool = True) -> StreamingQuery:
+    """Each batch is a segment of the full-text index at ``root`` and replaces older entries of its urls.
+
+    Search it beside the stream with ``load_text_index``; ``compact_text_index`` merges segments. ``responses`` carries ``fetched_at``;
+    a later batch wins over an earlier one, as the write of a page does.
+    """
+    pages = pages_of(responses).select(*_PAGE_COLUMNS)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        batch.persist()  # read by each table of the segment, parsed once
+        try:
+            add_to_text_index(batch.sparkSession, root, batch, stem, batch_id)
+        finally:
+            batch.unpersist()
+
+    return _start(pages.writeStream.foreachBatch(add), checkpoint, available_now)
 
 
 def stream_page_upsert(responses: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
@@ -60,20 +97,14 @@ def stream_page_upsert(responses: DataFrame, root: str, checkpoint: str, availab
 
 def read_page_store(spark: SparkSession, root: str) -> DataFrame:
     """The store as of the last finished batch: the newest snapshot and the batches after it."""
-    covered = max(versions(spark, root), default=-1)
-    later = [number for number in versions(spark, root, "batch") if number > covered]
-    snapshot = read_latest(spark, root, schemas.PAGES)
-    if not later:
-        return snapshot
-    return upsert_pages(snapshot, spark.read.schema(schemas.PAGES).parquet(*[f"{root}/batch={n}" for n in later]))
+    later, snapshot = _uncovered(spark, root), read_latest(spark, root, schemas.PAGES)
+    return upsert_pages(snapshot, _batches(spark, root, schemas.PAGES, later)) if later else snapshot
 
 
 def compact_page_store(spark: SparkSession, root: str) -> int | None:
     """Write a snapshot that covers all finished batches, beside running readers, and return its number."""
-    done = versions(spark, root, "batch")
-    if not done or done[-1] <= max(versions(spark, root), default=-1):
-        return None
-    return write_version(read_page_store(spark, root), root, done[-1])
+    later = _uncovered(spark, root)
+    return write_version(read_page_store(spark, root), root, later[-1]) if later else None
 
 
 def stream_new_urls(urls: DataFrame, root: str, checkpoint: str, available_now: bool = True, within: str | None = None) -> StreamingQuery:
