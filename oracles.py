@@ -367,6 +367,7 @@ UNION ALL SELECT url, origin_url, depth FROM base""",
         "bfs_resume": resumed,
         "bfs_pending": f"{_BFS_1} SELECT url, origin_url, depth FROM run WHERE depth = 3",
         "crawl_job": f"{_CRAWL} SELECT url, origin_url, depth, title, status_code, outcome, error, {_n_tokens('content')} AS n_tokens FROM stored",
+        "crawl_two_runs": f"{_CRAWL} SELECT url, origin_url, depth, title, status_code, error, {_n_tokens('content')} AS n_tokens FROM stored",
         "crawl_postings": f"{_CRAWL}, {_postings('content', '(FROM stored WHERE error IS NULL)')} {_ALL_COLUMNS}",
         "crawl_report": f"""{_CRAWL}, per_depth AS (
   SELECT depth, sum(c)::BIGINT AS crawled_pages, sum(e)::BIGINT AS error_pages, sum(d)::BIGINT AS discovered_urls FROM (

@@ -4,14 +4,20 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.reports import run_counters
 from weblattice.operators.robots import DEFAULT_USER_AGENT, robots_allowed, robots_rules, rules_by_host
+from weblattice.operators.text_index import add_to_text_index
+from weblattice.operators.visited import add_visited, latest_pages
 from weblattice.plans.traversal import Traversal, traverse
 from weblattice.runtime import materialize, new_folder
+from weblattice.sources.frontier import load_frontier, save_frontier
+from weblattice.sources.snapshots import versions, write_once
+from weblattice.sources.word_store import by_word
 
 NO_RESPONSE = "no response"
 
@@ -55,6 +61,12 @@ def one_capture(responses: DataFrame) -> DataFrame:
     return chosen.filter("_n = 1").drop("_n", "_body")
 
 
+def extraction(responses: DataFrame, path: str | None = None) -> DataFrame:
+    """The parsed responses, one per url, as a stored table that any number of crawls can read."""
+    path = path or new_folder(responses.sparkSession, "extracted")
+    return materialize(with_outcome(extract_pages(one_capture(responses))), path)
+
+
 def crawl(
     responses: DataFrame,
     seeds: DataFrame | None,
@@ -65,25 +77,27 @@ def crawl(
     visited: DataFrame | None = None,
     frontier: DataFrame | None = None,
     levels: int | None = None,
+    extracted: bool = False,
 ) -> Crawl:
     """Crawl captured ``responses`` from the seeds to ``max_depth``. Of several captures of a url, one is taken (``one_capture``).
 
     Bodies are parsed once, in one pass over all responses, and the result is written to the shared
     folder; the levels then read only its url and link columns. The page rows are written out as well,
     for the postings and counters to read. A url that robots rules forbid stays in
-    the visited set but has no page row and no children.
+    the visited set but has no page row and no children. ``extracted`` says that the responses are a table
+    of ``extraction``, so a resumed crawl parses nothing again.
     """
     spark = responses.sparkSession
-    extracted = materialize(with_outcome(extract_pages(one_capture(responses))), new_folder(spark, "extracted"))
+    parsed = responses if extracted else extraction(responses)
     rules = None
-    expandable = extracted.filter(F.col("outcome") == "success").select("url", "links")
+    expandable = parsed.filter(F.col("outcome") == "success").select("url", "links")
     if robots is not None:
         rules = materialize(rules_by_host(robots_rules(robots, user_agent)), new_folder(spark, "robots"))
         expandable = robots_allowed(expandable, rules)
     edges = expandable.select(F.col("url").alias("src"), F.explode("links").alias("dst"))
     run: Traversal = traverse(edges, max_depth, seeds, visited=visited, frontier=frontier, levels=levels)
     processed = run.processed if rules is None else robots_allowed(run.processed, rules)
-    pages = fetch(processed, extracted).withColumn("fetched_at", F.current_timestamp())
+    pages = fetch(processed, parsed).withColumn("fetched_at", F.current_timestamp())
     pages = materialize(pages, new_folder(spark, "crawled"))
     return Crawl(
         visited=run.visited,
@@ -92,3 +106,45 @@ def crawl(
         postings=word_postings(pages),
         counters=run_counters(run.visited, pages),
     )
+
+
+def read_visited(spark: SparkSession, root: str) -> DataFrame:
+    """``(url, origin_url, depth, discovered_at)`` of all finished runs of ``crawl_into``."""
+    done = versions(spark, f"{root}/frontier")
+    if not done:
+        return spark.createDataFrame([], schemas.VISITED)
+    return spark.read.schema(schemas.VISITED).parquet(*[f"{root}/visited/batch={n}" for n in done])
+
+
+def crawl_into(
+    root: str,
+    extracted: DataFrame,
+    seeds: DataFrame | None,
+    max_depth: int,
+    robots: DataFrame | None = None,
+    *,
+    user_agent: str = DEFAULT_USER_AGENT,
+    levels: int | None = None,
+    stem: bool = True,
+) -> Crawl:
+    """Crawl on with the stores under ``root``, and keep the result in them.
+
+    The run resumes the saved frontier if there is one, else it starts from the seeds, and never enters a url visited before. It adds
+    its pages to the page store ``pages`` (``streaming.jobs.read_page_store``), its postings to ``words`` (``read_word_index``), a segment to the
+    full-text index ``text`` and its urls to ``visited``; what is left to do replaces ``frontier``, and nothing left clears it. Each store
+    gets one new part, so a run costs what it brings. The frontier is written last and ends the run: a run that was lost before that is made again.
+    """
+    spark = extracted.sparkSession
+    number = max(versions(spark, f"{root}/frontier"), default=-1) + 1
+    visited = read_visited(spark, root)
+    run = crawl(
+        extracted, seeds, max_depth, robots, user_agent=user_agent, visited=visited,
+        frontier=load_frontier(spark, f"{root}/frontier"), levels=levels, extracted=True,
+    )
+    pages = run.pages.select(*[part.split()[0] for part in schemas.PAGES.split(", ")])
+    write_once(latest_pages(pages), f"{root}/pages/batch={number}")
+    write_once(by_word(run.postings), f"{root}/words/batch={number}")
+    add_to_text_index(spark, f"{root}/text", pages, stem, number)
+    write_once(add_visited(visited.limit(0), run.visited), f"{root}/visited/batch={number}")
+    save_frontier(run.frontier, f"{root}/frontier")
+    return run

@@ -18,7 +18,7 @@ from weblattice.operators.text_search import all_of, any_of, but_not, near, phra
 from weblattice.operators.visited import add_visited, new_urls, upsert_pages
 from weblattice.operators.word_search import audit_scores, search_words, search_words_batch
 from weblattice.plans import corpus
-from weblattice.plans.crawl import Crawl, crawl
+from weblattice.plans.crawl import Crawl, crawl, crawl_into, extraction
 from weblattice.plans.traversal import traverse, traverse_in_turn
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.frontier import load_frontier, save_frontier
@@ -321,6 +321,17 @@ def crawl_store_report(spark, sf_dir):
     return store_report(run.pages, run.visited)
 
 
+@query
+def crawl_two_runs(spark, sf_dir):
+    """A crawl stopped after two levels, resumed from its stores, and run once more, which finds nothing to do: the page store."""
+    responses, root = corpus.linked_responses(spark, sf_dir), new_folder(spark, "crawl-stores")
+    robots, seeds, parsed = corpus.robots_files(responses), corpus.chain_seeds(spark, sf_dir), extraction(responses)
+    for levels in (2, None, None):
+        crawl_into(root, parsed, seeds, CRAWL_DEPTH, robots, levels=levels, stem=False)
+    store = jobs.read_page_store(spark, f"{root}/pages")
+    return store.select("url", "origin_url", "depth", "title", "status_code", "error", _n_tokens())
+
+
 @query
 def crawl_frontier_size(spark, sf_dir):
     """Links of all pages against the captured urls: discovered, not fetched."""

@@ -32,13 +32,15 @@ def traverse(
     visited: DataFrame | None = None,
     frontier: DataFrame | None = None,
     levels: int | None = None,
+    stored: bool = False,
 ) -> Traversal:
     """Urls within ``max_depth`` hops of the seeds, each at its smallest depth.
 
     ``edges (src, dst)`` are the links of pages that may be expanded. ``visited`` holds urls of earlier
     runs, which are not entered again. A non-empty ``frontier`` (a loaded checkpoint) replaces the seeds;
     its tasks beyond ``max_depth`` are left out. ``levels`` stops after that many levels were processed.
-    A url that several seeds reach at one depth belongs to the first seed.
+    A url that several seeds reach at one depth belongs to the first seed. ``stored`` says that ``edges`` are a
+    written table already, as for several runs over the same links.
     """
     if max_depth < 0:
         raise ValueError("max_depth must not be negative")
@@ -61,8 +63,9 @@ def traverse(
     )
     first, last = start.agg(F.min("depth"), F.max("depth")).first()
 
-    # The edges are read once per level: written out, they cost a scan of two columns each time.
-    links = materialize(edges.select("src", "dst"), f"{root}/edges")
+    # The edges are read once per level: written out, they cost a scan of two columns each time. They are not bucketed by
+    # source: a bucket cannot be split, so a page with a third of all links would be one task on each level.
+    links = edges.select("src", "dst") if stored else materialize(edges.select("src", "dst"), f"{root}/edges")
     levels_found: list[int] = []
 
     def at(depth: int) -> DataFrame:
@@ -115,9 +118,10 @@ def _expand(current: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame
 def traverse_in_turn(edges: DataFrame, max_depth: int, seeds: list[DataFrame], visited: DataFrame | None = None) -> Traversal:
     """One run after another over a common visited set: the earlier run owns a shared url."""
     runs = []
+    edges = materialize(edges.select("src", "dst"), new_folder(edges.sparkSession, "edges"))
     known = visited.select("url", "origin_url", "depth") if visited is not None else None
     for run_seeds in seeds:
-        run = traverse(edges, max_depth, run_seeds, visited=known)
+        run = traverse(edges, max_depth, run_seeds, visited=known, stored=True)
         runs.append(run)
         known = run.visited if known is None else known.unionByName(run.visited)
     return Traversal(

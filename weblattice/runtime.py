@@ -11,6 +11,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
+_local_roots: dict[str, str] = {}
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -30,15 +31,19 @@ def configure(builder: SparkSession.Builder) -> SparkSession.Builder:
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder. Only a local session, as in tests, may go without one: it gets a temporary folder."""
+    """The cluster's shared checkpoint folder. Only a local session, as in tests, may go without one: it gets a temporary folder.
+
+    The setting belongs to the cluster and cannot be changed in a running session, so the folder is remembered here.
+    """
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
     if not re.match(r"local(\[|$)", spark.sparkContext.master):  # local-cluster has executors of its own
         raise ValueError(f"set {CHECKPOINT_DIR} to a folder all executors share")
-    root = tempfile.mkdtemp(prefix="weblattice-")
-    spark.conf.set(CHECKPOINT_DIR, root)
-    return root
+    application = spark.sparkContext.applicationId
+    if application not in _local_roots:
+        _local_roots[application] = tempfile.mkdtemp(prefix="weblattice-")
+    return _local_roots[application]
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
