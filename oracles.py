@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from weblattice.functions import porter
-from weblattice.functions.words import STOP_WORDS
-
-_STOP = ", ".join(f"'{word}'" for word in STOP_WORDS)
+# Words that the word index leaves out.
+_STOP = """'a', 'an', 'and', 'are', 'as', 'at', 'be', 'by', 'for', 'from', 'in', 'is', 'it', 'of', 'on', 'or', 'that', 'the',
+  'to', 'was', 'were', 'with'"""
 _SCORE = "frequency * 10 + 1000 - depth * 5"
 
 
@@ -95,10 +94,18 @@ SELECT word AS query_id, position, url, score, frequency, depth FROM ranked JOIN
 _AUDIT = f"""{_PAGE_POSTINGS},
 often AS (SELECT word FROM postings GROUP BY word HAVING count(DISTINCT url) > 1),
 scored AS (SELECT word, url, {_SCORE} AS score, frequency, depth FROM postings JOIN often USING (word)),
-ranked AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY {_WORD_ORDER})::INTEGER AS position FROM scored)
-SELECT word, position, url AS manual_url, score AS manual_score, url, score,
-       true AS score_ok, true AS order_ok, true AS fields_ok, true AS passed
-FROM ranked WHERE position <= 3"""
+reported AS (SELECT *, row_number() OVER (PARTITION BY word ORDER BY {_WORD_ORDER})::INTEGER AS position FROM scored),
+manual AS (
+  SELECT word, url AS manual_url, 1000 + 10 * frequency - 5 * depth AS manual_score,
+         row_number() OVER (PARTITION BY word ORDER BY 1000 + 10 * frequency - 5 * depth DESC, url, frequency DESC)::INTEGER AS position
+  FROM postings JOIN often USING (word)
+),
+checked AS (
+  SELECT word, position, manual_url, manual_score, url, score, score = manual_score AS score_ok, url = manual_url AS order_ok,
+         url IS NOT NULL AND frequency IS NOT NULL AND depth IS NOT NULL AS fields_ok
+  FROM manual JOIN reported USING (word, position) WHERE position <= 3
+)
+SELECT *, score_ok AND order_ok AND fields_ok AS passed FROM checked"""
 
 _JSON = f"""{_PAGE_POSTINGS},
 ordered AS (
@@ -253,10 +260,22 @@ def _cut(suffixes) -> str:
     return f"regexp_extract(w, '^(.+?)({'|'.join(suffixes)})$', {{}})"
 
 
+# Suffix tables of Porter's paper, each replaced after a measure above 0 (steps 2 and 3) or cut after one above 1 (step 4).
+_STEP_2 = dict(pair.split(":") for pair in (
+    "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous ization:ize ation:ate "
+    "ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble logi:log"
+).split())
+_STEP_3 = dict(pair.split(":") for pair in "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:".split())
+_STEP_4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize".split()
+
+
 def _stems() -> str:
     """Porter's steps as nested selects over the distinct terms."""
-    over_0, is_1, over_1 = porter._MEASURE_OVER_0, porter._MEASURE_IS_1, porter._MEASURE_OVER_1
-    vowel, cvc = porter._HAS_VOWEL, porter._ENDS_CVC
+    # A run of consonants (y is one at the start) and a run of vowels (y is one after a consonant).
+    c, v = "[^aeiou][^aeiouy]*", "[aeiouy][aeiou]*"
+    start = f"({c}{v}|[aeiou]+)"
+    over_0, is_1, over_1 = f"^{start}{c}", f"^{start}{c}({v})?$", f"^{start}{c}{v}{c}"
+    vowel, cvc = f"^{start}", "([^aeiouy]|^y|[aeiou]y)[aeiouy][bcdfghjklmnpqrstvz0-9]$"
 
     def table(pairs: dict[str, str]) -> tuple[str, str]:
         cases = " ".join(f"WHEN '{old}' THEN '{new}'" for old, new in pairs.items())
@@ -273,9 +292,9 @@ def _stems() -> str:
          "WHEN length(s) > 1 AND s[-1] = s[-2] AND regexp_matches(s, '[b-df-hj-km-np-rtv-y0-9]$') THEN left(s, length(s) - 1) "
          f"WHEN regexp_matches(s, '{is_1}') AND regexp_matches(s, '{cvc}') THEN s || 'e' ELSE s END"),
         (_cut(["y"]), f"CASE WHEN x <> '' AND regexp_matches(s, '{vowel}') THEN s || 'i' ELSE w END"),
-        table(porter._STEP_2),
-        table(porter._STEP_3),
-        (_cut(porter._STEP_4),
+        table(_STEP_2),
+        table(_STEP_3),
+        (_cut(_STEP_4),
          f"CASE WHEN x <> '' AND regexp_matches(s, '{over_1}') AND (x <> 'ion' OR regexp_matches(s, '[st]$')) THEN s ELSE w END"),
         (_cut(["e"]),
          f"CASE WHEN x <> '' AND (regexp_matches(s, '{over_1}') OR regexp_matches(s, '{is_1}') AND NOT regexp_matches(s, '{cvc}')) "
