@@ -6,14 +6,18 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from weblattice import schemas
+from weblattice import runtime, schemas
 from weblattice.operators.reports import frontier_size, run_counters, store_report
 from weblattice.operators.visited import add_visited, new_urls, pending, upsert_pages
-from weblattice.plans.crawl import crawl
+from weblattice.operators.text_index import load_text_index
+from weblattice.operators.text_search import search_text
+from weblattice.plans.crawl import crawl, crawl_into, extraction, read_visited
 from weblattice.plans.traversal import traverse, traverse_in_turn
+from weblattice.runtime import materialize
 from weblattice.sources.frontier import clear_frontier, load_frontier, save_frontier
 from weblattice.sources.responses import seeds_from
 from weblattice.sources.snapshots import read_latest, versions, write_version
+from weblattice.streaming.jobs import read_page_store, read_word_index
 
 HTML = "text/html"
 
@@ -158,3 +162,37 @@ def test_counters_of_nothing(spark):
     empty = spark.createDataFrame([], schemas.TASKS)
     pages = spark.createDataFrame([], "depth int, error string")
     assert run_counters(empty, pages).filter("depth IS NOT NULL").count() == 0
+
+
+def test_crawl_into_stores_resumes_and_reruns(spark, tmp_path):
+    """Stopped, resumed, run again and given new seeds, the stores hold what one crawl gives; a lost run is made again."""
+    root = str(tmp_path / "stores")
+    pages = [(f"http://h/{i}", 200, HTML, f'<p>word{i} common<a href="/{i + 1}">x</a><a href="/{i * 2}">y</a>', None) for i in range(12)]
+    responses = spark.createDataFrame(pages, schemas.RESPONSES)
+    parsed = extraction(responses, str(tmp_path / "parsed"))
+    seeds = seeds_from(spark, "http://h/0")
+    whole = crawl(responses, seeds, 5)
+    first = crawl_into(root, parsed, seeds, 5, levels=2)
+    assert first.frontier.count() and len(versions(spark, f"{root}/frontier")) == 1
+    crawl_into(root, parsed, seeds, 5)
+    again = crawl_into(root, parsed, seeds, 5)
+    assert again.pages.count() == 0 and load_frontier(spark, f"{root}/frontier").isEmpty()
+    assert rows(read_visited(spark, root), "url", "origin_url", "depth") == rows(whole.visited)
+    store = read_page_store(spark, f"{root}/pages")
+    assert rows(store.fillna("-"), "url", "depth", "content", "status_code") == rows(whole.pages, "url", "depth", "content", "status_code")
+    assert rows(read_word_index(spark, f"{root}/words")) == rows(whole.postings)
+    text = load_text_index(spark, f"{root}/text")
+    assert rows(search_text(text, "common", None), "url") == rows(whole.pages.filter("error IS NULL"), "url")
+    # Without its frontier, the last part, a run does not count.
+    more = seeds_from(spark, "http://h/11")
+    crawl_into(root, parsed, more, 0)
+    (tmp_path / "stores" / "frontier" / "version=3" / "_SUCCESS").unlink()
+    assert rows(read_visited(spark, root), "url") == rows(whole.visited, "url")
+    crawl_into(root, parsed, more, 0)
+    assert rows(read_visited(spark, root), "url") == sorted(set(rows(whole.visited, "url")) | {("http://h/11",)})
+
+
+def test_local_folder_without_a_setting(spark, monkeypatch):
+    monkeypatch.setattr(runtime, "CHECKPOINT_DIR", "spark.no.such.setting")
+    root = runtime.shared_root(spark)
+    assert root == runtime.shared_root(spark) and materialize(spark.range(3), runtime.new_folder(spark, "x")).count() == 3
