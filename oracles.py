@@ -365,7 +365,7 @@ FROM (SELECT page_id, CASE page_id % 6 WHEN 5 THEN '' WHEN 1 THEN html || chr(65
       WHEN 3 THEN regexp_replace(html, '[^\x00-\x7F\x{A0}-\x{FF}]', '?', 'g') ELSE html END AS body FROM pages)""",
         "robots_rule_table": f"WITH {_base()}, {_ROBOTS_HOSTS} SELECT host_key, agent, ord, allow, path FROM rules",
         "robots_filter": f"WITH {_base()}, {_ROBOTS_HOSTS}, {_ALLOWED.format(source='base')} SELECT url FROM base JOIN allowed USING (url) WHERE allowed",
-        "seed_list": f"WITH {_base()} SELECT url, url AS origin_url, 0 AS depth, min(page_id)::INTEGER AS seed_ord FROM base GROUP BY url",
+        "seed_list": f"WITH {_base()} SELECT url, url AS origin_url, 0 AS depth, min(page_id)::BIGINT AS seed_ord FROM base GROUP BY url",
         "new_page_urls": f"""WITH {_base()}, {_LINKS}, ranked AS (
   SELECT dst AS url, origin_url, depth + 1 AS depth, row_number() OVER (PARTITION BY dst ORDER BY depth, origin_url) AS n FROM links)
 SELECT url, origin_url, depth FROM ranked WHERE n = 1 AND url NOT IN (SELECT url FROM base)""",

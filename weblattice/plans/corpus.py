@@ -85,7 +85,7 @@ def key_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
 def graph_seeds(spark: SparkSession, sf_dir: str, *keys: int) -> DataFrame:
     """Nations as seeds, in key order."""
     return table(spark, sf_dir, "nation").filter(F.col("n_nationkey").isin(*keys)).select(
-        F.col("n_nationkey").cast("int").alias("seed_ord"),
+        F.col("n_nationkey").cast("bigint").alias("seed_ord"),
         F.concat(F.lit("n:"), F.col("n_nationkey").cast("string")).alias("url"),
     )
 
@@ -107,7 +107,7 @@ def robots_files(pages: DataFrame) -> DataFrame:
 
 def page_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every raw page url as a seed, in page order."""
-    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("int").alias("seed_ord"), "url")
+    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("bigint").alias("seed_ord"), "url")
 
 
 def _with_stride(pages: DataFrame) -> DataFrame:
@@ -133,4 +133,4 @@ def linked_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def chain_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first page of every chain."""
     heads = _with_stride(table(spark, sf_dir, "pages")).filter(F.col("page_id") < F.col("stride"))
-    return heads.select(F.col("page_id").cast("int").alias("seed_ord"), "url")
+    return heads.select(F.col("page_id").cast("bigint").alias("seed_ord"), "url")

@@ -1,6 +1,6 @@
 """Table schemas, as DDL strings that Spark readers take."""
 
-SEEDS = "seed_ord int, url string"
+SEEDS = "seed_ord bigint, url string"
 TASKS = "url string, origin_url string, depth int"
 RESPONSES = "url string, status_code int, content_type string, body string, error string"
 ROBOTS = "host_key string, status_code int, body string"
@@ -14,5 +14,3 @@ FRONTIER_CHECKPOINT = "url string, origin_url string, depth int, seed_ord bigint
 WORD_POSTINGS = "word string, url string, origin_url string, depth int, frequency int"
 TEXT_POSTINGS = "term string, url string, field string, pos int, n_tokens int"
 TEXT_DOCUMENTS = "url string, origin_url string, depth int, n_tokens int"
-WORD_RESULTS = "url string, score int, frequency int, depth int"
-TEXT_RESULTS = "url string, origin_url string, depth int, rank double"
