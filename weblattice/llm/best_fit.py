@@ -2,10 +2,11 @@
 
 A document is its tokens and an end token. One that is longer than a sequence is cut into pieces of full length; the first piece
 takes the rest and may be shorter. A full piece is a sequence of its own. The others are dealt by a hash of document and piece over
-tasks (a number that follows the number of pieces), and each task packs its own, longest first.
+tasks (a number that follows the number of pieces), and each task packs its own in rounds: pieces are dealt to rounds by another hash, and a round goes
+longest first. A round has fewer pieces than bins may be open, so none closes before the short pieces of its round, and what it leaves open goes on to the next.
 
 A null text is the empty text: one piece with the end token. Rows that repeat a ``doc_id`` are packed one by one. Pieces of equal
-length are taken in the order of ``doc_id`` and piece. Sequence numbers are distinct, not dense. Other columns play no part.
+length and round are taken in the order of ``doc_id`` and piece. Sequence numbers are distinct, not dense. Other columns play no part.
 
 Tokens are those of the ``tokenizers`` library. The library itself takes a quarter of a second for each MB of text. Texts of Latin letters, digits, signs and plain
 white space go through ``tiktoken`` with the same vocabulary, which gives the same tokens there in a fifth of the time; any
@@ -14,6 +15,7 @@ other text (and one that names a special token) goes to ``tokenizers``.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -32,6 +34,8 @@ END_TOKEN = 2
 OPEN_BINS = 4096
 #: Pieces that one task packs, on average.
 PIECES_A_TASK = 50_000
+#: Pieces of a round for each bin that may be open.
+ROUND_SHARE = 0.5
 
 PIECE = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, own_sequence bigint"
 PLACED = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint"
@@ -148,7 +152,8 @@ def packed(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_token:
     full = cut.where("own_sequence is not null").select(
         *PIECE_COLUMNS, F.col("own_sequence").alias("sequence_id"), F.lit(0).cast("bigint").alias("offset"))
     rest = cut.where("own_sequence is null").select(*PIECE_COLUMNS)
-    tasks = max(1, -(-rest.count() // PIECES_A_TASK))
+    count = rest.count()
+    tasks = max(1, -(-count // PIECES_A_TASK))
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -160,8 +165,11 @@ def packed(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_token:
                 [*batch.columns, pa.array([base + b for b, _ in placed], pa.int64()), pa.array([o for _, o in placed], pa.int64())],
                 names=[*PIECE_COLUMNS, "sequence_id", "offset"])
 
+    rounds = max(1, math.ceil(count / tasks / (ROUND_SHARE * open_bins)))
+    # Another hash than the one that deals to tasks, so that rounds are even in each task.
+    turn = F.pmod(F.xxhash64(F.lit("round"), "doc_id", "piece", "ids_crc32"), F.lit(rounds))
     dealt = rest.repartition(tasks, F.xxhash64("doc_id", "piece", "ids_crc32")).sortWithinPartitions(
-        F.desc("length"), "doc_id", "piece", "ids_crc32")
+        turn, F.desc("length"), "doc_id", "piece", "ids_crc32")
     return dealt.mapInArrow(pack, PLACED).unionByName(full)
 
 
