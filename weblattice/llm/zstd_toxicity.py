@@ -1,10 +1,10 @@
 """Toxicity by compression distance: windows of a text are compressed with a dictionary of ordinary text and with one of toxic text.
 
 **Dictionaries.** The ordinary dictionary is trained by zstandard on windows of ordinary documents. The toxic one holds the word beginnings
-that set toxic documents apart (many times as frequent there as in ordinary ones, in a fair share of them), as the ordinary dictionary followed by a
+that set toxic documents apart (many times as frequent there as in ordinary ones, in some texts at least), as the ordinary dictionary followed by a
 trained toxic part would otherwise differ in common syllables too, and that noise outweighs a single insult in a window. Each window is
-compressed against the ordinary part alone and against both parts, so the difference is what the toxic part alone saves. Each
-window comes after a piece of the ordinary dictionary, so that even a short one is a compressed block and not a raw one.
+compressed against the ordinary part alone and against both parts, so the difference is what the toxic part alone saves. Dictionaries and
+windows are in lower case (ASCII letters), so an insult in capitals saves as much. Each window comes after a piece of the ordinary dictionary, so that even a short one is a compressed block and not a raw one.
 
 **Thresholds.** A text is described by its largest savings, the numbers of windows at or above four thresholds and its length; a logistic
 curve over these is fitted on labelled texts that the dictionaries were not made from.
@@ -48,9 +48,9 @@ class Settings:
 
 SETTINGS = Settings()
 
-#: A word beginning is toxic if at least so many toxic texts, and so large a share of them, hold it, and if that share is
-#: so many times the share among ordinary ones.
-LEAST_TEXTS, LEAST_SHARE, LEAST_RATIO = 4, 0.02, 25
+#: A word beginning is toxic if at least so many toxic texts hold it, and if its share of them is so many times the share among
+#: ordinary ones. The number is fixed, so rare words enter as the sample grows.
+LEAST_TEXTS, LEAST_RATIO = 4, 25
 LENGTHS = (5, 6, 7, 8)
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 SAVED = (1, 2, 3, 4)
@@ -74,13 +74,15 @@ def toxic_part(toxic: list[bytes], ordinary: list[bytes], size: int) -> bytes:
         here.update(beginnings(text))
     chosen = {
         b for b, n in there.items()
-        if n >= max(LEAST_TEXTS, LEAST_SHARE * len(toxic)) and n * (len(ordinary) + 1) >= LEAST_RATIO * (here[b] + 0.5) * len(toxic)}
+        if n >= LEAST_TEXTS and n * (len(ordinary) + 1) >= LEAST_RATIO * (here[b] + 0.5) * len(toxic)}
     roots = [b for b in chosen if not any(b[:n] in chosen for n in LENGTHS if n < len(b))]
     longest = lambda r: max((b for b in chosen if b.startswith(r) and there[b] >= 0.7 * there[r]), key=lambda b: (len(b), b))
     return b"".join(longest(r) for r in sorted(roots, key=lambda r: (there[r], r)))[-size:]
 
 
 def windows(text: bytes, settings: Settings) -> list[bytes]:
+    """Overlapping pieces of the text in lower case."""
+    text = text.lower()
     return [text[i:i + settings.window] for i in range(0, max(1, len(text) - settings.window + settings.stride), settings.stride)]
 
 
