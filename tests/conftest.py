@@ -22,9 +22,3 @@ def spark():
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
-
-
-def rows(df, *columns):
-    """Sorted plain tuples of a frame."""
-    picked = df.select(*columns) if columns else df
-    return sorted(tuple(r) for r in picked.collect())

@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from weblattice import runtime, schemas
 from weblattice.operators.reports import frontier_size, run_counters, store_report
 from weblattice.operators.visited import add_visited, new_urls, pending, upsert_pages

@@ -7,7 +7,7 @@ from urllib.parse import quote, unquote, urldefrag, urlsplit
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from weblattice import schemas
 from weblattice.functions.content import decode_body
 from weblattice.functions.urls import host_key, is_crawlable, normalize_url, quote as quoted, unquote as unquoted

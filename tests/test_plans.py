@@ -8,7 +8,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from weblattice import schemas
 from weblattice.operators.postings import word_postings
 from weblattice.operators import word_search

@@ -3,7 +3,7 @@
 import random
 from urllib.robotparser import RobotFileParser
 
-from conftest import rows
+from support import rows
 from weblattice.operators.robots import robots_allowed, robots_rules, with_robots
 
 AGENT = "WebLatticeBot/1.0"

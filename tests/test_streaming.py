@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from support import rows
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.text_index import build_text_index, compact_text_index, load_text_index

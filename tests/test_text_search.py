@@ -5,7 +5,7 @@ import sqlite3
 
 import pytest
 
-from conftest import rows
+from support import rows
 from weblattice.functions.porter import with_stem
 from weblattice.operators.text_index import (
     add_to_text_index, build_text_index, compact_text_index, corpus_stats, document_frequency, load_text_index, replace_pages,

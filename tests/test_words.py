@@ -7,7 +7,7 @@ import pandas as pd
 import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 
-from conftest import rows
+from support import rows
 from weblattice import schemas
 from weblattice.functions.words import STOP_WORDS
 from weblattice.operators.postings import append_postings, word_postings, words_on_many_urls
