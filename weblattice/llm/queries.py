@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from weblattice.llm import (
     best_fit,
+    bit_sliced,
     common,
+    conversation_trie,
     covering_simhash,
     exact_index,
     line_frequency,
@@ -17,6 +19,7 @@ from weblattice.llm import (
     secret_entropy,
     segment_bpe,
     suffix_index,
+    token_alignment,
     winnowed_lines,
     zstd_toxicity,
 )
@@ -90,6 +93,19 @@ def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return best_fit.packed(common.table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.trie(common.table(spark, sf_dir, "conversations"))
+
+
+def top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row whose id is divisible by 50 against all rows."""
+    return bit_sliced.search(bit_sliced.build(common.table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0), 5)
+
+
+def alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(common.table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), tokenizer("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": quality,
     "op2_toxicity": toxicity,
@@ -101,4 +117,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_secrets": secrets,
     "op9_line_dedup": line_runs,
     "op10_packing": packing,
+    "op11_prefix_trie": prefix_trie,
+    "op12_top_k": top_k,
+    "op13_alignment": alignment,
 }

@@ -87,4 +87,48 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
 FROM d LEFT JOIN base_text b USING (doc_id) LEFT JOIN all_text a USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": EXACT, "op7_quality_rules": RULES, "op8_secrets": SECRETS}
+TRIE = """
+WITH t AS (
+  SELECT conv_id, turn, strlen(coalesce(text, '')) AS n,
+    sha256(strlen(coalesce(role, ''))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS h FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list({'h': h, 'n': n} ORDER BY turn NULLS FIRST, h, n) AS turns FROM t GROUP BY conv_id),
+taken AS (
+  SELECT conv_id, turns, xor(4294967295, list_reduce(
+    list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, byte: list_reduce(range(8), lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END, xor(crc, byte)),
+    4294967295::BIGINT)) % 9 AS h FROM own),
+whole AS (
+  SELECT c.conv_id, list_concat(coalesce(b.turns, [])[1:c.h], c.turns[c.h + 1:]) AS turns
+  FROM taken c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+paths AS (
+  SELECT conv_id, len(turns) AS length, d AS depth, turns[d].n AS n,
+    md5(array_to_string(list_transform(turns[1:d], lambda x: x.h), '/')) AS id, md5(array_to_string(list_transform(turns[1:d - 1], lambda x: x.h), '/')) AS up
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM whole)),
+nodes AS (
+  SELECT depth, id, min(up) AS up, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * coalesce(max(n), 0) AS saved,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (length = depth), '')) AS ends_sha256
+  FROM paths GROUP BY depth, id),
+children AS (SELECT depth - 1 AS depth, up AS id, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY depth, up),
+full_nodes AS (
+  SELECT n.*, coalesce(c.n_children, 0) AS n_children, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN children c USING (depth, id) LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.id = n.up),
+below AS (
+  SELECT a.depth, a.id, sum(n.saved) AS saved_tokens, count(*) FILTER (n.n_children = 0) AS n_leaves
+  FROM full_nodes n JOIN paths o ON o.conv_id = n.conv_id AND o.depth = n.depth JOIN paths a ON a.conv_id = o.conv_id AND a.depth <= o.depth
+  GROUP BY a.depth, a.id)
+SELECT n.conv_id, n.depth, n.parent_conv_id, n.n_convs, n.n_children, b.n_leaves, b.saved_tokens::BIGINT AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b USING (depth, id)
+"""
+
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, row_number() OVER () AS r, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS query_id, a.r, b.vec_id, b.r AS other, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.r <> b.r AND len(a.q) = len(b.q)),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id NULLS LAST, other) AS rank FROM pairs)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+ORACLE_SQL: dict[str, str] = {"op5_exact_dedup": EXACT, "op7_quality_rules": RULES, "op8_secrets": SECRETS, "op11_prefix_trie": TRIE, "op12_top_k": TOP_K}
