@@ -164,3 +164,11 @@ def test_no_charset_ends_the_job(spark):
     for name in ("base64", "hex", "rot13", "no-such"):
         assert got[name][0] == "" and got[name][1]
     assert got["latin-1"] == ("caf\xe9 \xff\x00 abc", None) and got["ascii"] == ("caf� �\x00 abc", None)
+
+
+def test_pages_are_parsed_once_even_under_filters(spark):
+    """The filter of failed pages is not pushed below the parser with a parse of its own."""
+    pages = extract_pages(responses(spark, ("http://h/a", "<p>one two</p>")).repartition(2))
+    plan = word_postings(pages.filter(F.col("error").isNull()))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+    assert rows(word_postings(pages), "word") == [("one",), ("two",)]

@@ -11,6 +11,7 @@ from weblattice.operators.text_index import (
     add_to_text_index, build_text_index, compact_text_index, corpus_stats, document_frequency, load_text_index, replace_pages,
     save_text_index, stemmed_postings,
 )
+from weblattice.operators import text_search
 from weblattice.operators.text_search import all_of, any_of, but_not, near, phrase, search_text, search_text_batch
 
 GOLDEN_ROWS = [
@@ -229,8 +230,11 @@ def _best(found, limit):
     return {q: [(i + 1, *row) for i, row in enumerate(rows_[:limit])] for q, rows_ in lists.items()}
 
 
-def test_pruned_batch_equals_all_matches(spark):
-    """Hot words, ties, repeated query words, and queries with fewer than ``limit`` matches."""
+@pytest.mark.parametrize("cell", [None, (400, 7, 16)])
+def test_pruned_batch_equals_all_matches(spark, monkeypatch, cell):
+    """Hot words, ties, repeated query words, and queries with fewer than ``limit`` matches; in one cell, and in many of small blocks."""
+    for name, value in zip(("HITS_A_LANE", "QUERIES_A_GROUP", "BLOCK_DOCUMENTS"), cell or ()):
+        monkeypatch.setattr(text_search, name, value)
     random.seed(5)
     words = ["the", "of"] * 40 + [f"w{i}" for i in range(60)] + ["rare1"]
     pages = [(f"d{i:03}", "", " ".join(random.choices(words, k=random.randint(0, 30)))) for i in range(300)]
@@ -247,6 +251,20 @@ def test_pruned_batch_equals_all_matches(spark):
         assert {q: sorted(rows_) for q, rows_ in found.items()} == _best(complete, limit)
 
 
+def test_batch_forms_rows_for_the_best_of_a_cell_only(spark, monkeypatch):
+    """Common words in all documents: a row for each of the best of a cell, not one for each pair, and blocks below the floor passed over."""
+    random.seed(6)
+    pages = [(f"d{i:04}", "", " ".join(random.choices(["a1", "b1", "c1", "d1"], k=random.randint(1, 60)))) for i in range(600)]
+    index = build_text_index(pages_frame(spark, pages), stem=False)
+    asked = spark.createDataFrame([(q, word, 1) for q in range(20) for word in ("a1", "b1", "c1")], "query_id int, term string, weight bigint")
+    terms = spark.createDataFrame([("a1", 1.0, 30.0, 0), ("b1", 2.0, 30.0, 1), ("c1", 0.5, 30.0, 2)], "term string, idf double, avg_tokens double, number bigint")
+    monkeypatch.setattr(text_search, "HITS_A_LANE", 1200)
+    hits = index.frequencies.join(terms.select("term"), "term", "left_semi").cache()
+    lanes = -(-hits.count() // 1200)
+    found = text_search._any_word(hits, terms, asked, 5).groupBy("query_id").count().collect()
+    assert len(found) == 20 and all(r["count"] == 5 * lanes for r in found)
+
+
 def test_batch_all_words_needs_every_word(spark, golden_index):
     queries = spark.createDataFrame([(1, "python running"), (2, "python nowhere"), (3, "run run cats")], "query_id int, query string")
     for limit in (None, 5):

@@ -196,6 +196,11 @@ def _extract_html(html: pa.Array, url: pa.Array) -> pa.Array:
     return pa.StructArray.from_arrays(columns, names=["title", "content", "links", "bad_links", "failure"])
 
 
+# Called non-deterministic so that it runs once and where it stands: a filter on the failure would else be pushed below it with a parse of its own,
+# down to the scan.
+_extract_html = _extract_html.asNondeterministic()
+
+
 def extract_html(html: Column, url: Column) -> Column:
     """``struct<title, content, links, bad_links, failure>``; null for a null body. ``failure`` says why a page cannot be parsed."""
     return _extract_html(html, url)

@@ -7,22 +7,29 @@ then a column expression over these counts.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import reduce
+from functools import partial, reduce
 from operator import add, and_, or_
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from weblattice.functions.porter import with_stem
 from weblattice.functions.scoring import bm25_weight, inverse_frequency
 from weblattice.functions.text import text_tokens
 from weblattice.operators.text_index import TextIndex, corpus_stats
-from weblattice.runtime import materialize, new_folder
+from weblattice.runtime import materialize, new_folder, ship_by_value
 
 DEFAULT_LIMIT = 25
 DEFAULT_DISTANCE = 10
 FIELDS = ("title", "content")
 RANK_UNITS = 1e12
+# Batch search: hits and queries of a cell, and documents of a block.
+HITS_A_LANE = 200_000
+QUERIES_A_GROUP = 1000
+BLOCK_DOCUMENTS = 256
 
 
 @dataclass(frozen=True, eq=False)
@@ -247,8 +254,8 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int | None =
 
     The words of a query are joined by OR (``match='any'``) or AND (``match='all'``). Hits of all query
     words are collected in one pass over the frequencies and written out; a word is weighted once per
-    document, however many queries ask for it. Pairs of a query and a document are only formed where the document
-    can still be among the best (``_any_word``, ``_every_word``). Without a limit all matches are
+    document, however many queries ask for it. Of pairs of a query and a document, rows are only formed for the best of a
+    cell of both (``_any_word``) or for those with the rarest word (``_every_word``). Without a limit all matches are
     returned; they are not numbered then (``position`` is null), as that would take all of a query to one task.
     """
     if match not in ("any", "all"):
@@ -276,18 +283,17 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int | None =
 
     per_term = hits.groupBy("term").agg(F.count(F.lit(1)).alias("n_matching")).crossJoin(F.broadcast(corpus_stats(index)))
     idf = inverse_frequency(F.col("n_docs"), F.col("n_matching"))
-    per_term = materialize(per_term.select("term", "n_matching", idf.alias("idf"), "avg_tokens"), new_folder(spark, "query-terms"))
-    weight = bm25_weight(F.col("frequency"), F.col("idf"), F.col("n_tokens"), F.col("avg_tokens"))
-    # Whole-number sums do not depend on the order of tasks, so equal documents tie on every run.
-    units = F.round(weight * RANK_UNITS).cast("bigint")
-    scored = materialize(hits.join(per_term, "term").select("term", "url", units.alias("units")), new_folder(spark, "weighted-hits"))
-
-    if match == "all":
-        scores = _every_word(scored, asked, per_term.select("term", "n_matching"))
-    elif limit is None:
-        scores = _total(scored.join(asked, "term"))
+    number = F.monotonically_increasing_id().alias("number")
+    per_term = materialize(per_term.select("term", "n_matching", idf.alias("idf"), "avg_tokens", number), new_folder(spark, "query-terms"))
+
+    if match == "any" and limit is not None:
+        scores = _any_word(hits, per_term, asked, limit)
     else:
-        scores = _any_word(scored, asked, limit)
+        scored = hits.join(per_term, "term").select("term", "url", _units().alias("units"))
+        if match == "all":
+            scores = _every_word(materialize(scored, new_folder(spark, "weighted-hits")), asked, per_term.select("term", "n_matching"))
+        else:
+            scores = _total(scored.join(asked, "term"))
     top = scores.select("query_id", "url", (-F.col("total") / RANK_UNITS).alias("rank"))
     if limit is None:
         top = top.withColumn("position", F.lit(None).cast("int"))
@@ -298,6 +304,12 @@ def search_text_batch(index: TextIndex, queries: DataFrame, limit: int | None =
     return top.join(index.live(index.documents), "url").select("query_id", "position", "url", "origin_url", "depth", "rank")
 
 
+def _units() -> Column:
+    """The weight of a word in a document. Whole-number sums do not depend on the order of tasks, so equal documents tie on every run."""
+    weight = bm25_weight(F.col("frequency"), F.col("idf"), F.col("n_tokens"), F.col("avg_tokens"))
+    return F.round(weight * RANK_UNITS).cast("bigint")
+
+
 def _total(weighted: DataFrame) -> DataFrame:
     """``(query_id, url, total, n_found)`` over rows with the units of a word in a document and its weight in a query."""
     return weighted.groupBy("query_id", "url").agg(
@@ -324,43 +336,89 @@ def _every_word(scored: DataFrame, asked: DataFrame, counts: DataFrame) -> DataF
     return found.join(sizes, "query_id").filter("n_found = n_words").select("query_id", "url", "total")
 
 
-def _any_word(scored: DataFrame, asked: DataFrame, limit: int) -> DataFrame:
-    """Totals of all documents that can be among the best ``limit`` of a query; exact, ties included.
+def _any_word(hits: DataFrame, terms: DataFrame, asked: DataFrame, limit: int) -> DataFrame:
+    """``(query_id, url, total)`` of the best ``limit`` documents of each query in each lane of documents; exact, ties included.
 
-    1. The best ``limit`` hits of each word give a few documents per query. The lowest full total of ``limit`` of them is a
-       floor: the last total of the answer is not below it. A query with fewer such documents has the floor 0.
-    2. A word never gives more than its best hit. Words are set aside, those that give least first, as long as
-       together they stay below the floor: a document with no other word cannot be in the answer.
-    3. Documents with one of the other words are summed, and those that cannot reach the floor with all words set aside go.
-       The words set aside, usually the frequent ones, are looked up for the rest only.
+    Documents are dealt to lanes and queries to groups, so that a cell of both fits a task; no row stands for a pair of a query and a document but for
+    the best of a cell. In a cell, documents form blocks of similar length. The largest weight of each word in a block bounds what any of its
+    documents can give a query, and a block is passed over if that is below the query's ``limit``-th total so far, which rises from
+    block to block.
     """
-    spark = scored.sparkSession
-    best_hits = Window.partitionBy("term").orderBy(F.desc("units"), "url")
-    leaders = scored.withColumn("_n", F.row_number().over(best_hits)).filter(F.col("_n") <= limit).drop("_n")
-    leaders = materialize(leaders, new_folder(spark, "leaders"))  # cut to the limit in the map tasks already
-    most = leaders.groupBy("term").agg(F.max("units").alias("most"))
-    terms = materialize(
-        asked.join(most, "term").withColumn("bound", F.col("most") * F.col("weight")).drop("most"), new_folder(spark, "query-plan")
-    )
-
-    best_totals = Window.partitionBy("query_id").orderBy(F.desc("total"), "url")
-    promising = _total(leaders.join(terms, "term")).withColumn("_n", F.row_number().over(best_totals)).filter(F.col("_n") <= limit)
-    promising = materialize(promising.select("query_id", "url"), new_folder(spark, "promising"))
-    floors = (
-        _total(_of_pairs(promising, terms, scored)).groupBy("query_id")
-        .agg(F.min("total").alias("floor"), F.count(F.lit(1)).alias("_n"))
-        .select("query_id", F.when(F.col("_n") >= limit, F.col("floor")).otherwise(0).alias("floor"))
-    )
-    least_first = Window.partitionBy("query_id").orderBy("bound", "term").rowsBetween(Window.unboundedPreceding, 0)
-    planned = terms.join(floors, "query_id").withColumn("aside", F.sum("bound").over(least_first) < F.col("floor"))
-    left_out = F.sum(F.when(F.col("aside"), F.col("bound")).otherwise(0)).over(Window.partitionBy("query_id"))
-    planned = materialize(planned.withColumn("left_out", left_out), new_folder(spark, "query-split"))
-
-    leading, aside = planned.filter("NOT aside"), planned.filter("aside")
-    need = planned.groupBy("query_id").agg(F.first("floor").alias("floor"), F.first("left_out").alias("left_out"))
-    alive = _total(scored.join(leading.select("query_id", "term", "weight"), "term")).join(need, "query_id")
-    alive = materialize(
-        alive.filter(F.col("total") + F.col("left_out") >= F.col("floor")).select("query_id", "url", "total"), new_folder(spark, "alive")
-    )
-    rest = _total(_of_pairs(alive, aside, scored)).select("query_id", "url", "total")
-    return alive.unionByName(rest).groupBy("query_id", "url").agg(F.sum("total").alias("total"))
+    spark = hits.sparkSession
+    lanes = max(1, -(-hits.count() // HITS_A_LANE))
+    groups = max(1, -(-asked.select("query_id").distinct().count() // QUERIES_A_GROUP))
+    words = terms.select("term", F.col("number").alias("word"))  # a name of its own: cells are made of two frames over these terms
+    numbered = asked.join(words, "term").select("query_id", F.col("word").alias("number"), "weight")
+    weighted = hits.join(terms, "term").select(
+        "url", "n_tokens", "number", _units().alias("units"), F.pmod(F.xxhash64("url"), F.lit(lanes)).cast("int").alias("lane"),
+        F.explode(F.sequence(F.lit(0), F.lit(groups - 1))).alias("group"))
+    wanted = numbered.select(
+        "*", F.pmod(F.xxhash64("query_id"), F.lit(groups)).cast("int").alias("group"), F.explode(F.sequence(F.lit(0), F.lit(lanes - 1))).alias("lane"))
+    schema = f"query_id {asked.schema['query_id'].dataType.simpleString()}, url string, total bigint"
+    cells = weighted.groupBy("lane", "group").cogroup(wanted.groupBy("lane", "group"))
+    return cells.applyInArrow(partial(_best_of_cell, limit=limit), schema)
+
+
+def _best_of_cell(hits: pa.Table, asked: pa.Table, limit: int) -> pa.Table:
+    """The best ``limit`` documents of each query in a cell, from the hits ``(url, n_tokens, number, units)`` and words ``(query_id, number, weight)``."""
+    best: list[tuple[int, list[tuple[int, str]]]] = []  # for each query a place in ``asked``, and (-total, url) in order
+    if hits.num_rows:
+        queries = _words_by_query(asked)
+        best = [(first, []) for first, _, _ in queries]
+        for names, lists in _blocks(hits):
+            tops = {number: int(units.max()) for number, (_, units) in lists.items()}
+            for (_, words, weights), (_, found) in zip(queries, best, strict=True):
+                held = [(lists[w], weight) for w, weight in zip(words, weights, strict=True) if w in lists]
+                reach = sum(tops[w] * weight for w, weight in zip(words, weights, strict=True) if w in lists)
+                if not held or (len(found) == limit and reach < -found[-1][0]):
+                    continue
+                totals = np.zeros(len(names), dtype=np.int64)
+                for (places, units), weight in held:
+                    totals[places] += units * weight
+                least = 1 if len(found) < limit else max(1, -found[-1][0])
+                good = np.nonzero(totals >= least)[0]
+                if len(good) > limit:
+                    good = good[totals[good] >= np.partition(totals[good], -limit)[-limit]]
+                found[:] = sorted(found + [(-int(totals[i]), names[i]) for i in good.tolist()])[:limit]
+    rows = [(first, url, -total) for first, found in best for total, url in found]
+    return pa.table({
+        "query_id": asked.column("query_id").take(pa.array([r[0] for r in rows], pa.int64())),
+        "url": pa.array([r[1] for r in rows], pa.string()), "total": pa.array([r[2] for r in rows], pa.int64())})
+
+
+def _words_by_query(asked: pa.Table) -> list[tuple[int, list[int], list[int]]]:
+    """For each query a row of its own, its words and their weights."""
+    by_id: dict = {}
+    for row, (query_id, number, weight) in enumerate(zip(*(asked.column(c).to_pylist() for c in ("query_id", "number", "weight")), strict=True)):
+        _, words, weights = by_id.setdefault(query_id, (row, [], []))
+        words.append(number)
+        weights.append(weight)
+    return list(by_id.values())
+
+
+def _blocks(hits: pa.Table) -> Iterator[tuple[list[str], dict[int, tuple[np.ndarray, np.ndarray]]]]:
+    """Blocks of documents of similar length, short ones first: their urls, and for each word the places of documents with it and its units there."""
+    urls = hits.column("url").combine_chunks().dictionary_encode()
+    code, number, units = urls.indices.to_numpy(), hits.column("number").to_numpy(), hits.column("units").to_numpy()
+    lengths = np.zeros(len(urls.dictionary), dtype=np.int64)
+    lengths[code] = hits.column("n_tokens").to_numpy()
+    by_length = np.argsort(lengths, kind="stable")
+    place = np.empty(len(lengths), dtype=np.int64)
+    place[by_length] = np.arange(len(lengths))
+    names = urls.dictionary.take(pa.array(by_length)).to_pylist()
+    place = place[code]
+    order = np.lexsort((number, place // BLOCK_DOCUMENTS))
+    place, number, units = place[order], number[order], units[order]
+    cuts = np.nonzero(np.diff(place // BLOCK_DOCUMENTS) | np.diff(number))[0] + 1
+    lists: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    now = 0
+    for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(place)], strict=True):
+        block = int(place[start]) // BLOCK_DOCUMENTS
+        if block != now:
+            yield names[now * BLOCK_DOCUMENTS:(now + 1) * BLOCK_DOCUMENTS], lists
+            now, lists = block, {}
+        lists[int(number[start])] = place[start:end] - block * BLOCK_DOCUMENTS, units[start:end]
+    yield names[now * BLOCK_DOCUMENTS:(now + 1) * BLOCK_DOCUMENTS], lists
+
+
+ship_by_value(__name__)
