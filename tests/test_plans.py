@@ -17,7 +17,8 @@ from weblattice.operators.text_index import build_text_index, save_text_index
 from weblattice.operators.text_search import all_of, phrase, search_text, search_text_batch
 from weblattice.operators.visited import new_urls, upsert_pages
 from weblattice.operators.word_search import search_words, search_words_batch
-from weblattice.plans.traversal import _expand
+from weblattice.plans import traversal
+from weblattice.plans.traversal import _expand, _steps, store_edges
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.word_store import read_postings, write_postings
 
@@ -123,13 +124,26 @@ def test_hot_word(spark, small_skew_limits):
     assert everything.filter("position is not null").count() == 0 and everything.count() > 5 * 3
 
 
-def test_hot_source_is_split(spark, small_skew_limits):
-    """A page with most of the links: the level join splits it."""
+def test_edges_stay_in_their_buckets(spark, small_skew_limits, monkeypatch):
+    """A page with most of the links: levels shuffle the frontier only, the edges are not even sorted, and the hot page is read by several tasks."""
+    monkeypatch.setattr(traversal, "HEAVY_LINKS", 5000)
     edges = spark.range(60000, numPartitions=8).selectExpr("if(id % 10 < 7, 'hub', concat('s', id)) AS src", "concat('d', id) AS dst")
     current = spark.range(2000).selectExpr("if(id = 0, 'hub', concat('s', id)) AS url", "id AS seed_ord")
-    frame = _expand(current, edges, current.select("url"))
-    assert frame.count() == edges.join(current, F.col("src") == F.col("url")).select("dst").distinct().count()
-    assert "skew=true" in executed(frame)
+    store = store_edges(edges.unionByName(spark.createDataFrame([(None, "nowhere")], "src string, dst string")))
+    try:
+        share = -(-60000 // int(spark.conf.get("spark.sql.shuffle.partitions")))
+        assert rows(store.heavy) == [("hub", -(-42000 // max(share, 5000)))]
+        steps = _steps(current, store)
+        tree = plan(steps)
+        frontier = [n for n in re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", tree)]
+        assert frontier and not any("dst" in columns for columns in frontier)
+        assert not any("dst" in columns for columns in re.findall(r"\) Sort(?: \[.*\])?\nInput \[\d+\]: \[(.*?)\]\n", tree))
+        assert steps.filter("seed_ord = 0").select(F.spark_partition_id()).distinct().count() > 1
+        found = _expand(current, store, current.select("url"))
+        assert found.count() == edges.join(current, F.col("src") == F.col("url")).select("dst").distinct().count()
+        assert found.filter("seed_ord = 0").count() == 42000
+    finally:
+        store.drop()
 
 
 def test_batch_without_broadcast(spark, pages, small_skew_limits):

@@ -1,11 +1,12 @@
 """Bounded breadth-first traversal, one join per level.
 
 Every level is written to the shared folder. That ends its lineage, survives lost executors, and gives
-the planner the true size of the frontier: a small one is broadcast, a large one shuffled.
+the planner the true size of the frontier: a small one is broadcast, a large one shuffled to the buckets in which the edges lie.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -16,6 +17,48 @@ from weblattice.sources.responses import seed_tasks
 
 _LEVEL = "url string, seed_ord bigint, depth int"
 
+# A source with fewer links than this is never split.
+HEAVY_LINKS = 100_000
+
+
+@dataclass(frozen=True)
+class EdgeStore:
+    """Links shuffled once, for any number of levels and runs: a join on the source needs no exchange of them."""
+
+    links: DataFrame  # (src, salt, dst), bucketed and sorted by source and salt
+    heavy: DataFrame | None  # (src, parts): sources whose links lie in several buckets; at most as many as there are buckets
+    name: str  # of the table in the session's catalog
+
+    def drop(self) -> None:
+        """Take the table out of the catalog. Its files are in the shared folder and stay for queries that have begun."""
+        self.links.sparkSession.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def store_edges(edges: DataFrame) -> EdgeStore:
+    """Write ``edges (src, dst)`` in as many buckets as there are shuffle partitions.
+
+    A bucket cannot be split later, so a source with more links than a bucket should hold is salted: its links are dealt over parts by their target, and a
+    small table says how many. Sources without links, null ones, join with nothing and are left out.
+    """
+    spark = edges.sparkSession
+    root, buckets = new_folder(spark, "edges"), int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = materialize(edges.select("src", "dst").where("src IS NOT NULL"), f"{root}/plain")
+    most, heavy = max(HEAVY_LINKS, -(-plain.count() // buckets)), None
+    salt = F.lit(0)
+    if plain.count() > most:
+        counted = plain.groupBy("src").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > most)
+        found = materialize(counted.select("src", F.ceil(F.col("n") / most).cast("int").alias("parts")), f"{root}/heavy")
+        if not found.isEmpty():
+            heavy = found
+            plain = plain.join(F.broadcast(heavy), "src", "left")  # fewer rows than buckets: each has more than a bucket's share
+            salt = F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("dst"), F.col("parts"))).cast("int")
+    name = f"weblattice_edges_{uuid.uuid4().hex}"
+    (
+        plain.select("src", salt.alias("salt"), "dst").repartition(buckets, "src", "salt")
+        .write.bucketBy(buckets, "src", "salt").sortBy("src", "salt").option("path", f"{root}/buckets").saveAsTable(name, format="parquet")
+    )
+    return EdgeStore(spark.table(name), heavy, name)
+
 
 @dataclass(frozen=True)
 class Traversal:
@@ -25,26 +68,26 @@ class Traversal:
 
 
 def traverse(
-    edges: DataFrame,
+    edges: DataFrame | EdgeStore,
     max_depth: int,
     seeds: DataFrame | None = None,
     *,
     visited: DataFrame | None = None,
     frontier: DataFrame | None = None,
     levels: int | None = None,
-    stored: bool = False,
 ) -> Traversal:
     """Urls within ``max_depth`` hops of the seeds, each at its smallest depth.
 
     ``edges (src, dst)`` are the links of pages that may be expanded. ``visited`` holds urls of earlier
     runs, which are not entered again. A non-empty ``frontier`` (a loaded checkpoint) replaces the seeds;
     its tasks beyond ``max_depth`` are left out. ``levels`` stops after that many levels were processed.
-    A url that several seeds reach at one depth belongs to the first seed. ``stored`` says that ``edges`` are a
-    written table already, as for several runs over the same links.
+    A url that several seeds reach at one depth belongs to the first seed. ``edges`` may be stored already (``store_edges``),
+    as for several runs over the same links.
     """
     if max_depth < 0:
         raise ValueError("max_depth must not be negative")
-    spark = edges.sparkSession
+    store = edges if isinstance(edges, EdgeStore) else store_edges(edges)
+    spark = store.links.sparkSession
     root = new_folder(spark, "traversal")
     resumed = frontier is not None and not frontier.isEmpty()
     if resumed:
@@ -63,9 +106,6 @@ def traverse(
     )
     first, last = start.agg(F.min("depth"), F.max("depth")).first()
 
-    # The edges are read once per level: written out, they cost a scan of two columns each time. They are not bucketed by
-    # source: a bucket cannot be split, so a page with a third of all links would be one task on each level.
-    links = edges.select("src", "dst") if stored else materialize(edges.select("src", "dst"), f"{root}/edges")
     levels_found: list[int] = []
 
     def at(depth: int) -> DataFrame:
@@ -84,7 +124,7 @@ def traverse(
             if visited is not None:
                 known = known.unionByName(visited.select("url"))
             size = Observation()
-            _expand(at(next_depth), links, known).withColumn("depth", F.lit(next_depth + 1)).observe(
+            _expand(at(next_depth), store, known).withColumn("depth", F.lit(next_depth + 1)).observe(
                 size, F.count(F.lit(1)).alias("n")
             ).write.parquet(f"{root}/level-{next_depth + 1}")
             if size.get["n"]:
@@ -93,6 +133,8 @@ def traverse(
                 next_depth = max_depth  # nothing left anywhere
         next_depth += 1
 
+    if store is not edges:
+        store.drop()
     origins = materialize(start.select("seed_ord", "origin_url").distinct(), f"{root}/seeds")
     tasks = seen(_LEVEL).join(origins, "seed_ord").select("url", "origin_url", "depth", "seed_ord")
     discovered = tasks.join(start.select("url"), "url", "left_anti") if resumed else tasks
@@ -105,25 +147,37 @@ def traverse(
     )
 
 
-def _expand(current: DataFrame, edges: DataFrame, known: DataFrame) -> DataFrame:
+def _steps(current: DataFrame, store: EdgeStore) -> DataFrame:
+    """``(url, seed_ord)`` of every link that leaves the current level. A heavy source is asked for in each of its parts."""
+    if store.heavy is None:
+        tasks = current.withColumn("_salt", F.lit(0))
+    else:
+        parts = F.broadcast(store.heavy.withColumnRenamed("src", "url"))
+        tasks = current.join(parts, "url", "left").select("url", "seed_ord", F.explode(F.sequence(F.lit(0), F.coalesce("parts", F.lit(1)) - 1)).alias("_salt"))
+    links = store.links
+    return tasks.join(links, (tasks["url"] == links["src"]) & (tasks["_salt"] == links["salt"])).select(F.col("dst").alias("url"), "seed_ord")
+
+
+def _expand(current: DataFrame, store: EdgeStore, known: DataFrame) -> DataFrame:
     """Targets of the current level that are not known yet, once each, with their first seed.
 
     The minimum is pre-aggregated in the map tasks, so a target that very many pages link to sends one
     row per task.
     """
-    steps = current.join(edges, F.col("url") == F.col("src")).select(F.col("dst").alias("url"), "seed_ord")
+    steps = _steps(current, store)
     return steps.groupBy("url").agg(F.min("seed_ord").alias("seed_ord")).join(known, "url", "left_anti")
 
 
 def traverse_in_turn(edges: DataFrame, max_depth: int, seeds: list[DataFrame], visited: DataFrame | None = None) -> Traversal:
     """One run after another over a common visited set: the earlier run owns a shared url."""
     runs = []
-    edges = materialize(edges.select("src", "dst"), new_folder(edges.sparkSession, "edges"))
+    store = store_edges(edges)
     known = visited.select("url", "origin_url", "depth") if visited is not None else None
     for run_seeds in seeds:
-        run = traverse(edges, max_depth, run_seeds, visited=known, stored=True)
+        run = traverse(store, max_depth, run_seeds, visited=known)
         runs.append(run)
         known = run.visited if known is None else known.unionByName(run.visited)
+    store.drop()
     return Traversal(
         visited=reduce(DataFrame.unionByName, [run.visited for run in runs]),
         processed=reduce(DataFrame.unionByName, [run.processed for run in runs]),

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # A bucket is one sorted file (plans/traversal.py), so joins on buckets need not sort it again.
+    "spark.sql.legacy.bucketedTableScan.outputOrdering": "true",
     # Pages can be tens of kilobytes: keep the Arrow batches of the extraction stage small.
     "spark.sql.execution.arrow.maxRecordsPerBatch": "500",
     "spark.sql.streaming.stateStore.providerClass":
