@@ -17,6 +17,7 @@ from weblattice.plans.traversal import Traversal, traverse
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.frontier import load_frontier, save_frontier
 from weblattice.sources.snapshots import versions, write_once
+from weblattice.sources.visited_store import VisitedStore
 from weblattice.sources.word_store import by_word
 
 NO_RESPONSE = "no response"
@@ -74,7 +75,7 @@ def crawl(
     robots: DataFrame | None = None,
     *,
     user_agent: str = DEFAULT_USER_AGENT,
-    visited: DataFrame | None = None,
+    visited: DataFrame | VisitedStore | None = None,
     frontier: DataFrame | None = None,
     levels: int | None = None,
     extracted: bool = False,
@@ -108,12 +109,14 @@ def crawl(
     )
 
 
+def visited_store(spark: SparkSession, root: str) -> VisitedStore:
+    """The visited urls of all finished runs of ``crawl_into``."""
+    return VisitedStore(spark, f"{root}/visited", tuple(versions(spark, f"{root}/frontier")))
+
+
 def read_visited(spark: SparkSession, root: str) -> DataFrame:
     """``(url, origin_url, depth, discovered_at)`` of all finished runs of ``crawl_into``."""
-    done = versions(spark, f"{root}/frontier")
-    if not done:
-        return spark.createDataFrame([], schemas.VISITED)
-    return spark.read.schema(schemas.VISITED).parquet(*[f"{root}/visited/batch={n}" for n in done])
+    return visited_store(spark, root).all()
 
 
 def crawl_into(
@@ -136,7 +139,7 @@ def crawl_into(
     """
     spark = extracted.sparkSession
     number = max(versions(spark, f"{root}/frontier"), default=-1) + 1
-    visited = read_visited(spark, root)
+    visited = visited_store(spark, root)
     run = crawl(
         extracted, seeds, max_depth, robots, user_agent=user_agent, visited=visited,
         frontier=load_frontier(spark, f"{root}/frontier"), levels=levels, extracted=True,
@@ -145,6 +148,6 @@ def crawl_into(
     write_once(latest_pages(pages), f"{root}/pages/batch={number}")
     write_once(by_word(run.postings), f"{root}/words/batch={number}")
     add_to_text_index(spark, f"{root}/text", pages, stem, number)
-    write_once(add_visited(visited.limit(0), run.visited), f"{root}/visited/batch={number}")
+    visited.add(add_visited(spark.createDataFrame([], schemas.VISITED), run.visited), number)
     save_frontier(run.frontier, f"{root}/frontier")
     return run

@@ -12,8 +12,11 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
+from weblattice import schemas
+from weblattice.operators.visited import add_visited
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.responses import seed_tasks
+from weblattice.sources.visited_store import VisitedStore
 
 _LEVEL = "url string, seed_ord bigint, depth int"
 
@@ -72,14 +75,14 @@ def traverse(
     max_depth: int,
     seeds: DataFrame | None = None,
     *,
-    visited: DataFrame | None = None,
+    visited: DataFrame | VisitedStore | None = None,
     frontier: DataFrame | None = None,
     levels: int | None = None,
 ) -> Traversal:
     """Urls within ``max_depth`` hops of the seeds, each at its smallest depth.
 
     ``edges (src, dst)`` are the links of pages that may be expanded. ``visited`` holds urls of earlier
-    runs, which are not entered again. A non-empty ``frontier`` (a loaded checkpoint) replaces the seeds;
+    runs, which are not entered again; of a ``VisitedStore`` a level reads only the pieces that its targets may be in. A non-empty ``frontier`` (a loaded checkpoint) replaces the seeds;
     its tasks beyond ``max_depth`` are left out. ``levels`` stops after that many levels were processed.
     A url that several seeds reach at one depth belongs to the first seed. ``edges`` may be stored already (``store_edges``),
     as for several runs over the same links.
@@ -99,7 +102,9 @@ def traverse(
             tasks = tasks.join(materialize(numbered, f"{root}/origins"), "origin_url")
     else:
         tasks = seed_tasks(seeds, max_depth)
-        if visited is not None:
+        if isinstance(visited, VisitedStore):
+            tasks = visited.unknown(materialize(tasks, f"{root}/seed-tasks"))
+        elif visited is not None:
             tasks = tasks.join(visited.select("url"), "url", "left_anti")
     start = materialize(
         tasks.select("url", "origin_url", "depth", F.col("seed_ord").cast("bigint").alias("seed_ord")), f"{root}/start"
@@ -121,10 +126,12 @@ def traverse(
     while next_depth is not None and next_depth <= max_depth and (levels is None or next_depth < first + levels):
         if next_depth < max_depth and (next_depth <= last or next_depth in levels_found):
             known = seen("url string")
-            if visited is not None:
+            if isinstance(visited, DataFrame):
                 known = known.unionByName(visited.select("url"))
-            size = Observation()
-            _expand(at(next_depth), store, known).withColumn("depth", F.lit(next_depth + 1)).observe(
+            size, targets = Observation(), _expand(at(next_depth), store, known)
+            if isinstance(visited, VisitedStore):
+                targets = visited.unknown(materialize(targets, f"{root}/targets-{next_depth + 1}"))
+            targets.withColumn("depth", F.lit(next_depth + 1)).observe(
                 size, F.count(F.lit(1)).alias("n")
             ).write.parquet(f"{root}/level-{next_depth + 1}")
             if size.get["n"]:
@@ -170,13 +177,17 @@ def _expand(current: DataFrame, store: EdgeStore, known: DataFrame) -> DataFrame
 
 def traverse_in_turn(edges: DataFrame, max_depth: int, seeds: list[DataFrame], visited: DataFrame | None = None) -> Traversal:
     """One run after another over a common visited set: the earlier run owns a shared url."""
-    runs = []
+    spark, runs = edges.sparkSession, []
     store = store_edges(edges)
-    known = visited.select("url", "origin_url", "depth") if visited is not None else None
-    for run_seeds in seeds:
+    none = spark.createDataFrame([], schemas.VISITED)
+    known = VisitedStore(spark, new_folder(spark, "visited"), ())
+    if visited is not None:
+        known = known.add(add_visited(none, visited), -1)
+    for number, run_seeds in enumerate(seeds):
         run = traverse(store, max_depth, run_seeds, visited=known)
         runs.append(run)
-        known = run.visited if known is None else known.unionByName(run.visited)
+        if number + 1 < len(seeds):
+            known = known.add(add_visited(none, run.visited), number)
     store.drop()
     return Traversal(
         visited=reduce(DataFrame.unionByName, [run.visited for run in runs]),

@@ -16,11 +16,11 @@ def versions(spark: SparkSession, root: str, prefix: str = "version") -> list[in
     return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
 
 
-def write_once(df: DataFrame, path: str) -> None:
-    """Write a folder, unless it is complete already: a replayed batch has the same rows, and readers may be using it."""
+def write_once(df: DataFrame, path: str, *by: str) -> None:
+    """Write a folder (in folders of the columns ``by``), unless it is complete already: a replayed batch has the same rows, and readers may be using it."""
     marker = df.sparkSession._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
     if not marker.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).exists(marker):
-        df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def write_version(df: DataFrame, root: str, version: int | None = None) -> int:
