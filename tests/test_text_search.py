@@ -1,6 +1,7 @@
 """Full text against golden ranks and against stock SQLite FTS5, in this process."""
 
 import random
+import shutil
 import sqlite3
 
 import pytest
@@ -8,7 +9,7 @@ import pytest
 from support import rows
 from weblattice.functions.porter import with_stem
 from weblattice.operators.text_index import (
-    add_to_text_index, build_text_index, compact_text_index, corpus_stats, document_frequency, load_text_index, replace_pages,
+    add_to_text_index, build_text_index, compact_text_index, corpus_stats, document_frequency, drop_covered, live_runs, load_text_index, replace_pages,
     save_text_index, stemmed_postings,
 )
 from weblattice.operators import text_search
@@ -284,7 +285,7 @@ def test_segments_equal_one_index(spark, tmp_path):
         index = add_to_text_index(spark, root, pages_frame(spark, pages))
         if turn == 1:
             before = ranks(search_text(index, any_of("cat", "run")))
-            assert compact_text_index(spark, root) == 1 and compact_text_index(spark, root) is None
+            assert live_runs(spark, root) == [(0, 1)] and compact_text_index(spark, root) is None  # merged by the writer
             index = load_text_index(spark, root)
             assert index.replaced is None and ranks(search_text(index, any_of("cat", "run"))) == before
         whole = build_text_index(pages_frame(spark, list(latest.values())))
@@ -296,6 +297,35 @@ def test_segments_equal_one_index(spark, tmp_path):
     assert rows(search_text_batch(index, queries)) == rows(search_text_batch(whole, queries))
 
 
+def test_many_segments_stay_few_runs(spark, tmp_path):
+    """Eleven segments, some of pages of before: runs as in a binary counter, a lost merge made up for, and old files dropped."""
+    root, latest = str(tmp_path / "index"), {}
+    for number in range(11):
+        for i in range(3):
+            row = (f"u{(5 * number + i) % 20:02}", "", f"cat w{number} dog")
+            latest[row[0]] = row
+        pages = [latest[f"u{(5 * number + i) % 20:02}"] for i in range(3)]
+        index = add_to_text_index(spark, root, pages_frame(spark, pages), stem=False)
+        if number == 6:  # the writer is lost before its merge counts
+            shutil.rmtree(f"{root}/runs/4-5")
+    assert live_runs(spark, root) == [(0, 7), (8, 9), (10, 10)]
+    whole = build_text_index(pages_frame(spark, list(latest.values())), stem=False)
+    assert rows(corpus_stats(index), "n_docs", "avg_tokens") == rows(corpus_stats(whole), "n_docs", "avg_tokens")
+    assert drop_covered(spark, root) and live_runs(spark, root) == [(0, 7), (8, 9), (10, 10)]
+    index = load_text_index(spark, root, stem=False)
+    assert ranks(search_text(index, "cat", limit=None)) == ranks(search_text(whole, "cat", limit=None))
+    assert compact_text_index(spark, root, stem=False) == 10 and live_runs(spark, root) == [(0, 10)]
+    assert rows(load_text_index(spark, root, stem=False).frequencies.drop("segment")) == rows(whole.frequencies)
+
+
+def test_runs_of_other_urls_are_not_searched_for_replacements(spark, tmp_path):
+    root = str(tmp_path / "index")
+    for prefix in ("a", "b", "c"):
+        index = add_to_text_index(spark, root, pages_frame(spark, [(f"{prefix}{i}", "", "cat") for i in range(3)]), stem=False)
+    assert len(live_runs(spark, root)) == 2 and index.replaced is None
+    assert search_text(index, "cat", limit=None).count() == 9
+
+
 def test_finished_segment_is_left_alone(spark, tmp_path):
     root = str(tmp_path / "index")
     add_to_text_index(spark, root, pages_frame(spark, GOLDEN_ROWS), segment=0)

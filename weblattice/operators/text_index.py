@@ -1,8 +1,15 @@
-"""Full-text index of pages: positions, frequencies, document lengths, vocabulary."""
+"""Full-text index of pages: positions, frequencies, document lengths, vocabulary.
+
+A stored index grows by segments. Whoever writes a segment also merges: runs of segments are kept at least twice as long as the next, like the
+digits of a binary counter, so after n segments at most log2(n) + 1 runs are live, and a row is rewritten log2(n) times at most. A run keeps the range of its
+urls; only runs whose ranges overlap can replace each other's pages.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -11,11 +18,12 @@ from weblattice.functions.porter import with_stem
 from weblattice.functions.text import text_tokens
 from weblattice.functions.words import repeat_runs, run_length, run_token
 from weblattice.operators.visited import latest_pages
-from weblattice.sources.snapshots import versions, write_once
+from weblattice.sources.snapshots import folders, remove, versions, write_once
 
 _FREQUENCIES = "term string, url string, n_tokens int, frequency int"
 _VOCABULARY = "term string, stem string"
-_SIZES = "n_docs bigint, avg_tokens double"
+_SIZES = "n_docs bigint, avg_tokens double, n_tokens bigint"
+_RANGE = "lo string, hi string"
 
 
 @dataclass(frozen=True)
@@ -70,7 +78,7 @@ def build_text_index(pages: DataFrame, stem: bool = True) -> TextIndex:
 
 
 def save_text_index(index: TextIndex, root: str, segment: int = 0) -> TextIndex:
-    """Write the index as a segment of ``root`` and return the stored form.
+    """Write the index as a segment of ``root``, merge runs that are due, and return the stored form.
 
     Tables are sorted by term so that a term filter skips row groups. The postings of a stemmed index carry their stem and are
     sorted by it, so a stem or the prefix of one is a filter that reaches the scan.
@@ -81,18 +89,26 @@ def save_text_index(index: TextIndex, root: str, segment: int = 0) -> TextIndex:
     """
     spark, stem = index.documents.sparkSession, index.vocabulary is not None
     if segment not in versions(spark, f"{root}/sizes"):
-        # Of the whole index: what the segments before hold, less the documents replaced, and the new ones.
         before = load_text_index(spark, root, stem, below=segment)
         _write_tables(index, root, f"segment={segment}")
-        new = _table(spark, root, "documents", schemas.TEXT_DOCUMENTS, [f"segment={segment}"])
-        old = before.live(before.documents)
-        kept = old.join(new.select("url"), "url", "left_anti").unionByName(new.drop("segment"))
-        write_once(_measured(kept if before.sizes is not None else new), f"{root}/sizes/version={segment}")
+        new = _table(spark, root, "documents", schemas.TEXT_DOCUMENTS, [f"segment={segment}"]).drop("segment")
+        write_once(_measured(new) if before.sizes is None else _grown(before, new), f"{root}/sizes/version={segment}")
+    merge_segments(spark, root, stem)
     return load_text_index(spark, root, stem)
 
 
 def _measured(documents: DataFrame) -> DataFrame:
-    return documents.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("n_tokens").alias("avg_tokens"))
+    return documents.agg(
+        F.count(F.lit(1)).alias("n_docs"), F.avg("n_tokens").alias("avg_tokens"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("n_tokens"))
+
+
+def _grown(before: TextIndex, new: DataFrame) -> DataFrame:
+    """The size of the whole index: what it had, less the pages that are replaced, and the new ones. Of the old index, only documents of new urls are looked at."""
+    gone = _measured(before.live(before.documents.join(new.select("url"), "url", "left_semi")))
+    sizes = before.sizes.select("n_docs", "n_tokens").unionByName(_measured(new).select("n_docs", "n_tokens")).unionByName(
+        gone.select((-F.col("n_docs")).alias("n_docs"), (-F.col("n_tokens")).alias("n_tokens")))
+    total = sizes.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    return total.select("n_docs", F.try_divide("n_tokens", "n_docs").alias("avg_tokens"), "n_tokens")
 
 
 def _write_tables(index: TextIndex, root: str, part: str) -> None:
@@ -109,46 +125,93 @@ def _write_tables(index: TextIndex, root: str, part: str) -> None:
         postings, key = postings.join(vocabulary, "term").select(*postings.columns, "stem"), "stem"
     for name, table, by in (("postings", postings, key), ("frequencies", index.frequencies, "term")):
         write(table.hint("rebalance", by).sortWithinPartitions(by, "url"), name)
+    documents = spark.read.schema(schemas.TEXT_DOCUMENTS).parquet(f"{root}/documents/{part}")
+    write(documents.agg(F.min("url").alias("lo"), F.max("url").alias("hi")), "ranges")
 
 
-def _table(spark: SparkSession, root: str, name: str, schema: str, parts: list[str]) -> DataFrame:
-    """Parts of a table with their ``segment``, which is a folder name and costs no column."""
+def _table(spark: SparkSession, root: str, name: str, schema: str, parts: list[str], segment: int = 0) -> DataFrame:
+    """Parts of a table with the ``segment`` that they end with."""
     if not parts:
         return spark.createDataFrame([], f"{schema}, segment int")
-    reader = spark.read.schema(f"{schema}, segment int").option("basePath", f"{root}/{name}")
-    return reader.parquet(*[f"{root}/{name}/{part}" for part in parts])
+    return spark.read.schema(schema).parquet(*[f"{root}/{name}/{part}" for part in parts]).withColumn("segment", F.lit(segment))
+
+
+def live_runs(spark: SparkSession, root: str, below: int | None = None) -> list[tuple[int, int]]:
+    """``(first, last)`` segments of the runs that a reader takes, oldest first: of the runs that end at a segment, the longest."""
+    done = [n for n in versions(spark, f"{root}/sizes") if below is None or n < below]
+    runs: dict[int, int] = {}
+    for name in folders(spark, f"{root}/runs/*/_SUCCESS"):
+        first, last = map(int, name.split("-"))
+        runs[last] = min(first, runs.get(last, first))
+    live = []
+    while done:
+        last = done[-1]
+        live.append((runs.get(last, last), last))
+        done = [n for n in done if n < live[-1][0]]
+    return live[::-1]
+
+
+def _part(run: tuple[int, int]) -> str:
+    first, last = run
+    return f"segment={last}" if first == last else f"run-{first}-{last}/segment={last}"
 
 
 def load_text_index(spark: SparkSession, root: str, stem: bool = True, below: int | None = None) -> TextIndex:
-    """The stored index as of its last complete segment: the newest merged one and those after it.
+    """The stored index as of its last complete segment.
 
-    Nothing of the old segments is rewritten when a page is replaced: a hit is dropped if a later segment holds its url (``TextIndex.live``).
+    Nothing of the old runs is rewritten when a page is replaced: a hit is dropped if a later run holds its url (``TextIndex.live``).
     """
-    done = [n for n in versions(spark, f"{root}/sizes") if below is None or n < below]
-    covered = max((n for n in versions(spark, f"{root}/merged") if n in done), default=-1)
-    later = [n for n in done if n > covered]
-    parts = [f"merged-{covered}/segment={covered}"] * (covered >= 0) + [f"segment={n}" for n in later]
+    return _load(spark, root, stem, live_runs(spark, root, below))
 
+
+def _load(spark: SparkSession, root: str, stem: bool, runs: list[tuple[int, int]]) -> TextIndex:
     def table(name: str, schema: str) -> DataFrame:
-        merged, single = [p for p in parts if p.startswith("merged")], [p for p in parts if not p.startswith("merged")]
-        frame = _table(spark, root, name, schema, single)
-        if merged:
-            folder = spark.read.schema(schema).parquet(f"{root}/{name}/{merged[0]}").withColumn("segment", F.lit(covered))
-            frame = folder.unionByName(frame) if single else folder
-        return frame
+        parts = [(last, _table(spark, root, name, schema, [_part((first, last))], last)) for first, last in runs]
+        return reduce(DataFrame.unionByName, [part for _, part in parts]) if parts else _table(spark, root, name, schema, [])
 
     documents = table("documents", schemas.TEXT_DOCUMENTS)
-    several = len(parts) > 1
     vocabulary = table("vocabulary", _VOCABULARY).drop("segment") if stem else None
     return TextIndex(
         documents, table("postings", schemas.TEXT_POSTINGS + (", stem string" if stem else "")), table("frequencies", _FREQUENCIES),
-        vocabulary.distinct() if stem and several else vocabulary,
-        documents.filter(F.col("segment") > min([covered] if covered >= 0 else later))
-        .groupBy("url").agg(F.max("segment").alias("_last")) if several else None,
-        spark.read.schema(_SIZES).parquet(f"{root}/sizes/version={done[-1]}") if done else None,
+        vocabulary.distinct() if stem and len(runs) > 1 else vocabulary, _replaced(documents, table("ranges", _RANGE)) if len(runs) > 1 else None,
+        spark.read.schema(_SIZES).parquet(f"{root}/sizes/version={runs[-1][1]}") if runs else None,
     )
 
 
+def _replaced(documents: DataFrame, ranges: DataFrame) -> DataFrame | None:
+    """``(url, _last)``: the last run that holds a url, of urls that lie in the range of an earlier run; None if no ranges overlap."""
+    rows = sorted((r["segment"], r["lo"], r["hi"]) for r in ranges.collect() if r["lo"] is not None)  # a row for each live run
+    wanted = []
+    for i, (segment, lo, hi) in enumerate(rows):
+        earlier = [(max(lo, a), min(hi, b)) for _, a, b in rows[:i] if a <= hi and lo <= b]
+        if earlier:
+            wanted.append((F.col("segment") == segment) & F.col("url").between(min(a for a, _ in earlier), max(b for _, b in earlier)))
+    if not wanted:
+        return None
+    return documents.filter(reduce(or_, wanted)).groupBy("url").agg(F.max("segment").alias("_last"))
+
+
+def merge_segments(spark: SparkSession, root: str, stem: bool = True) -> None:
+    """Merge the newest runs, as many as are due, into one, beside running readers: each run is to be at least twice as long as the next.
+
+    Called by each writer. A merge that was lost does not count, and the next writer makes up for it.
+    """
+    runs, done = live_runs(spark, root), versions(spark, f"{root}/sizes")
+    lengths = [sum(first <= n <= last for n in done) for first, last in runs]
+    due = 1
+    while due < len(runs) and lengths[-due - 1] < 2 * sum(lengths[-due:]):
+        due += 1
+    if due > 1:
+        _merge(spark, root, stem, runs[-due:])
+
+
+def _merge(spark: SparkSession, root: str, stem: bool, runs: list[tuple[int, int]]) -> None:
+    index, first, last = _load(spark, root, stem, runs), runs[0][0], runs[-1][1]
+    whole = TextIndex(*(index.live(table) for table in (index.documents, index.postings.drop("stem"), index.frequencies)), index.vocabulary)
+    _write_tables(whole, root, f"run-{first}-{last}/segment={last}")
+    write_once(spark.createDataFrame([(first, last)], "first int, last int"), f"{root}/runs/{first}-{last}")
+
+
 def add_to_text_index(spark: SparkSession, root: str, pages: DataFrame, stem: bool = True, segment: int | None = None) -> TextIndex:
     """Store the entries of the pages as the next segment of the index at ``root`` (or a given one, as a stream batch does).
 
@@ -160,20 +223,26 @@ def add_to_text_index(spark: SparkSession, root: str, pages: DataFrame, stem: bo
 
 
 def compact_text_index(spark: SparkSession, root: str, stem: bool = True) -> int | None:
-    """Merge all complete segments into one, beside running readers, and return the number it covers.
-
-    Old segments stay for readers that have begun; delete them when none are left.
-    """
-    done = versions(spark, f"{root}/sizes")
-    if not done or done[-1] <= max(versions(spark, f"{root}/merged"), default=-1):
+    """Merge all runs into one, beside running readers, and return the number of its last segment; None if there is but one."""
+    runs = live_runs(spark, root)
+    if len(runs) < 2:
         return None
-    index = load_text_index(spark, root, stem)
-    merged = TextIndex(
-        *(index.live(table) for table in (index.documents, index.postings.drop("stem"), index.frequencies)), index.vocabulary
-    )
-    _write_tables(merged, root, f"merged-{done[-1]}/segment={done[-1]}")
-    write_once(index.sizes, f"{root}/merged/version={done[-1]}")
-    return done[-1]
+    _merge(spark, root, stem, runs)
+    return runs[-1][1]
+
+
+def drop_covered(spark: SparkSession, root: str) -> int:
+    """Delete what merged runs have replaced, once no reader from before the last merge is left; returns how many runs and segments went."""
+    live = {_part(run) for run in live_runs(spark, root)}
+    done = [(n, n) for n in versions(spark, f"{root}/sizes")]
+    runs = [tuple(map(int, name.split("-"))) for name in folders(spark, f"{root}/runs/*/_SUCCESS")]
+    old = [run for run in done + runs if _part(run) not in live]
+    for run in old:
+        if run[0] < run[1]:
+            remove(spark, f"{root}/runs/{run[0]}-{run[1]}")  # first, so that no reader takes the run
+        for name in ("documents", "postings", "frequencies", "vocabulary", "ranges"):
+            remove(spark, f"{root}/{name}/{_part(run).split('/')[0]}")
+    return len(old)
 
 
 def _one_per_url(pages: DataFrame) -> DataFrame:
@@ -207,7 +276,7 @@ def stemmed_postings(index: TextIndex) -> DataFrame:
 
 def corpus_stats(index: TextIndex) -> DataFrame:
     """One row ``(n_docs, avg_tokens)``; every row counts, error pages too. A stored index has it written down."""
-    return index.sizes if index.sizes is not None else _measured(index.live(index.documents))
+    return (index.sizes if index.sizes is not None else _measured(index.live(index.documents))).select("n_docs", "avg_tokens")
 
 
 def document_frequency(index: TextIndex) -> DataFrame:

@@ -8,12 +8,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
+def folders(spark: SparkSession, marker: str) -> list[str]:
+    """Names of the folders that hold a marker file, by a path pattern."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(marker)
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    return [status.getPath().getParent().getName() for status in found]
+
+
 def versions(spark: SparkSession, root: str, prefix: str = "version") -> list[int]:
     """Numbers of the complete versions under ``root``, ascending."""
-    path_class = spark._jvm.org.apache.hadoop.fs.Path
-    pattern = path_class(f"{root}/{prefix}=*/_SUCCESS")
-    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+    return sorted(int(name.split("=")[1]) for name in folders(spark, f"{root}/{prefix}=*/_SUCCESS"))
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if it is there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_once(df: DataFrame, path: str, *by: str) -> None:
