@@ -129,7 +129,7 @@ def plain_spans(text):
             continue
         best = max(sum(-c / 20 * math.log2(c / 20) for c in Counter(x[i:i + 20]).values()) for i in range(len(x) - 19))
         limit = 3.0 if re.fullmatch("[0-9a-fA-F]+", x) else 3.9 if re.search("[+/_=-]", x) else 3.7
-        if round(best, 9) >= limit and not any(s < m.end() and m.start() < e for s, _, e in found):
+        if round(best, 9) >= limit and not any(s <= m.start() and m.end() <= e for s, _, e in found):
             fresh.append((m.start(), 3, m.end()))
     show = lambda spans: ",".join(f"{secret_entropy.KINDS[k]}:{s}:{e}" for s, k, e in sorted(spans))
     return show(found), show(found + fresh)
@@ -165,6 +165,34 @@ def test_secrets_equal_a_plain_scan(frame):
         assert clean[i] == (None if text is None else expected + text[at:])
 
 
+def test_secrets_of_partly_covered_keys_and_planted_ones(frame):
+    """A key that holds a pattern's span is reported whole, one inside such a span is not reported again; repeated rows, clashing columns, an empty table."""
+    key = "Zk3pQ9vT7wLm2XrY8-0123456789abcdef"
+    rows = [(1, f"x {key} y"), (1, f"x {key} y"), (2, "token=Zk3pQ9vT7wLm2XrY8abc."), (3, "plain words only"), (None, f"{key}")]
+    docs = frame(rows).select("*", *[F.lit(1).alias(c) for c in ("start", "end", "kind", "hit", "at", "found")])
+    got = sorted((str(r["doc_id"]), r["spans"]) for r in secret_entropy.scanned(docs).select("doc_id", secret_entropy.written_out("__all").alias("spans")).collect())
+    assert got == [("1", "entropy:2:36,hex:20:36"), ("1", "entropy:2:36,hex:20:36"), ("2", "assign:0:27"), ("3", ""), ("None", "entropy:0:34,hex:18:34")]
+    assert sorted(r["text"] for r in secret_entropy.redacted(docs).collect()) == ["[secret]", "[secret]", "plain words only", "x [secret] y", "x [secret] y"]
+    assert secret_entropy.redacted(docs.limit(0)).count() == 0
+
+
+def test_secrets_in_linear_time(frame):
+    """A candidate of a megabyte, and very many hits."""
+    import time
+
+    rng = random.Random(8)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"
+    body = "".join(rng.choices(alphabet, k=1_000_000))
+    many = "deadbeef0123456789 é" * 50_000
+    begun = time.time()
+    got = {r["doc_id"]: r["spans"] for r in secret_entropy.scanned(frame([(1, f"é {body} z"), (2, many)])).select(
+        "doc_id", secret_entropy.written_out("__all").alias("spans")).collect()}
+    assert got[1].split(",")[0] == "entropy:2:1000002" and got[2].count("hex:") == 50_000 and got[2].endswith(f"hex:{49_999 * 20}:{49_999 * 20 + 18}")
+    clean = {r["doc_id"]: r["text"] for r in secret_entropy.redacted(frame([(1, f"é {body} z"), (2, many)])).collect()}
+    assert clean == {1: "é [secret] z", 2: "[secret] é" * 50_000}
+    assert time.time() - begun < 150
+
+
 # ---- rules
 
 def test_rules_count_and_judge(frame):

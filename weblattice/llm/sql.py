@@ -76,7 +76,7 @@ best AS (
 fresh AS (
   SELECT c.* FROM candidates c JOIN best b USING (doc_id, s)
   WHERE round(b.h, 9) >= CASE WHEN regexp_full_match(hit, '[0-9a-fA-F]+') THEN 3.0 WHEN regexp_matches(hit, '[+/_=-]') THEN 3.9 ELSE 3.7 END
-    AND NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = c.doc_id AND x.s < c.e AND c.s < x.e)),
+    AND NOT EXISTS (SELECT 1 FROM base x WHERE x.doc_id = c.doc_id AND x.s <= c.s AND c.e <= x.e)),
 all_spans AS (SELECT * FROM base UNION ALL SELECT * FROM fresh),
 base_text AS (
   SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
