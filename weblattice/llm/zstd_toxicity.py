@@ -7,17 +7,19 @@ compressed against the ordinary part alone and against both parts, so the differ
 windows are in lower case (ASCII letters), so an insult in capitals saves as much. Each window comes after a piece of the ordinary dictionary, so that even a short one is a compressed block and not a raw one.
 
 **Thresholds.** A text is described by its largest savings, the numbers of windows at or above four thresholds and its length; a logistic
-curve over these is fitted on labelled texts that the dictionaries were not made from.
+curve over these is fitted on labelled texts that the dictionaries were not made from, and its threshold loses no more than ``clean_loss`` of their clean ones.
 
 Samples are bounded by ``Settings``: the labelled training rows with the smallest hashes of ``doc_id``, and of them those of at most
 ``text_bytes``. Scoring covers every whole text. A null or empty text has one window, without bytes. Rows that repeat a ``doc_id`` are scored one
-by one. Labels that are null, other than 0 and 1, or of unknown documents are left out; without labels of both classes every score is 0. Other
-columns play no part.
+by one. Labels that are null, other than 0 and 1, or of unknown documents are left out, and of labels of one document that differ the toxic one counts.
+Without labels of both classes, or if no word beginning sets toxic texts apart beyond chance, every score is 0 and nothing is dropped. Other columns play no part.
 """
 
 from __future__ import annotations
 
+import math
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -39,6 +41,10 @@ class Settings:
     text_bytes: int = 20_000
     #: Share of each sample that makes the dictionaries; the others fit the curve.
     making: float = 0.7
+    #: Ordinary texts and windows that the ordinary dictionary is trained on, and the share of clean rows that the threshold may cost.
+    trained_texts: int = 2000
+    trained_windows: int = 100_000
+    clean_loss: float = 0.01
     dictionary_bytes: int = 4096
     toxic_bytes: int = 2048
     window: int = 48
@@ -48,9 +54,10 @@ class Settings:
 
 SETTINGS = Settings()
 
-#: A word beginning is toxic if at least so many toxic texts hold it, and if its share of them is so many times the share among
-#: ordinary ones. The number is fixed, so rare words enter as the sample grows.
-LEAST_TEXTS, LEAST_RATIO = 4, 25
+#: A word beginning is toxic if at least so many toxic texts hold it, if its share of them is so many times the share among
+#: ordinary ones, and if chance would give no more than ``FALSE`` such beginnings among all that so many texts hold. So rare words enter as the sample
+#: grows, and words that a few toxic texts happen to share do not.
+LEAST_TEXTS, LEAST_RATIO, FALSE = 4, 25, 1.0
 LENGTHS = (5, 6, 7, 8)
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 SAVED = (1, 2, 3, 4)
@@ -65,16 +72,45 @@ def beginnings(text: bytes) -> set[bytes]:
     return out
 
 
+def sources(texts: list[bytes]) -> list[list[bytes]]:
+    """Texts in groups that share their least hash of five words in a row, as copies and most near copies do. A text of fewer words is a group of its own."""
+    groups: dict[int, list[bytes]] = {}
+    for number, text in enumerate(texts):
+        words = text.lower().split()
+        key = min((zlib.crc32(b" ".join(words[i:i + 5])) for i in range(len(words) - 4)), default=-1 - number)
+        groups.setdefault(key, []).append(text)
+    return list(groups.values())
+
+
+def chance(there: int, here: int, share: float) -> float:
+    """A bound of the probability that so many of the holders are toxic if each is with the probability ``share`` (Chernoff)."""
+    n = there + here
+    part = there / n
+    if part <= share:
+        return 1.0
+    distance = part * math.log(part / share) + ((1 - part) * math.log((1 - part) / (1 - share)) if here else 0.0)
+    return math.exp(-n * distance)
+
+
 def toxic_part(toxic: list[bytes], ordinary: list[bytes], size: int) -> bytes:
     """The beginnings that set toxic texts apart, each at its longest form that most of its texts share; frequent ones last."""
     there, here = Counter(), Counter()
-    for text in toxic:
-        there.update(beginnings(text))
-    for text in ordinary:
-        here.update(beginnings(text))
+    groups = sources(toxic), sources(ordinary)
+    for counts, side in zip((there, here), groups, strict=True):
+        for group in side:  # copies count once
+            counts.update(set().union(*map(beginnings, group)))
+    n_toxic, n_ordinary = map(len, groups)
+    share = n_toxic / (n_toxic + n_ordinary)
+    held = Counter(n + here[b] for b, n in there.items())
+    held.update(n for b, n in here.items() if b not in there)
+    as_many, total = {}, 0
+    for n in sorted(held, reverse=True):
+        total += held[n]
+        as_many[n] = total
     chosen = {
         b for b, n in there.items()
-        if n >= LEAST_TEXTS and n * (len(ordinary) + 1) >= LEAST_RATIO * (here[b] + 0.5) * len(toxic)}
+        if n >= LEAST_TEXTS and n * (n_ordinary + 1) >= LEAST_RATIO * (here[b] + 0.5) * n_toxic
+        and chance(n, here[b], share) * as_many[n + here[b]] <= FALSE}
     roots = [b for b in chosen if not any(b[:n] in chosen for n in LENGTHS if n < len(b))]
     longest = lambda r: max((b for b in chosen if b.startswith(r) and there[b] >= 0.7 * there[r]), key=lambda b: (len(b), b))
     return b"".join(longest(r) for r in sorted(roots, key=lambda r: (there[r], r)))[-size:]
@@ -137,13 +173,16 @@ def fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def calibrated(x: np.ndarray, y: np.ndarray, threshold: float) -> np.ndarray:
-    """The curve, shifted so that ``threshold`` is where accuracy and recall of the toxic class balance best (their F1) on these rows."""
+def calibrated(x: np.ndarray, y: np.ndarray, threshold: float, clean_loss: float) -> np.ndarray:
+    """The curve, shifted so that ``threshold`` is where accuracy and recall of the toxic class balance best (their F1) on these rows, among the
+    places at which no larger share of the clean rows than ``clean_loss`` is lost. One lost row more is reckoned with, but for the first."""
     w = fit_curve(x, y)
     raw = np.c_[x, np.ones(len(x))] @ w
-    order = np.argsort(-raw)
+    order = np.argsort(-raw, kind="stable")
     hits = np.cumsum(y[order])
-    f1 = 2 * hits / (np.arange(1, len(y) + 1) + y.sum())
+    taken = np.arange(1, len(y) + 1)
+    lost, clean = taken - hits, len(y) - y.sum()
+    f1 = np.where((lost == 0) | (lost + 1 <= clean_loss * clean), 2 * hits / (taken + y.sum()), 0)
     best = int(np.argmax(f1))
     cut = (raw[order[best]] + raw[order[min(best + 1, len(y) - 1)]]) / 2
     return np.r_[w[:-1], w[-1] - cut + np.log(threshold / (1 - threshold))]
@@ -162,7 +201,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, threshold: float =
     import zstandard as z
 
     known = labels.where(training & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "label")
-    known = known.dropDuplicates(["doc_id"])
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))  # of labels that differ, the toxic one
     sample = common.written(
         common.hashed_sample(known.where("label = 1"), settings.toxic).unionByName(common.hashed_sample(known.where("label = 0"), settings.ordinary)),
         "toxicity-sample")
@@ -177,18 +216,20 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, threshold: float =
     cut = lambda texts: max(1, int(settings.making * len(texts)))
     if not toxic or not ordinary:
         return None
-    pieces = [w for text in ordinary[:cut(ordinary)][:2000] for w in windows(text, settings)]
+    pieces = [w for text in ordinary[:cut(ordinary)][:settings.trained_texts] for w in windows(text, settings)]
     try:
-        common_part = z.train_dictionary(settings.dictionary_bytes, pieces[:100_000], k=48, d=8).as_bytes()
+        common_part = z.train_dictionary(settings.dictionary_bytes, pieces[:settings.trained_windows], k=48, d=8).as_bytes()
     except z.ZstdError:  # too little text to train on: the windows themselves
         common_part = b"".join(pieces)[-settings.dictionary_bytes:] or b" "
     toxic_words = toxic_part(toxic[:cut(toxic)], ordinary[:cut(ordinary)], settings.toxic_bytes)
+    if not toxic_words:  # nothing tells the classes apart
+        return None
     compressors = Compressors(common_part, toxic_words, settings)
     held = [(t, 1) for t in toxic[cut(toxic):]] + [(t, 0) for t in ordinary[cut(ordinary):]]
     if len({y for _, y in held}) < 2:
         held = [(t, 1) for t in toxic] + [(t, 0) for t in ordinary]
     x = np.array([compressors.description(t) for t, _ in held])
-    return Model(common_part, toxic_words, calibrated(x, np.array([y for _, y in held], dtype=float), threshold), settings)
+    return Model(common_part, toxic_words, calibrated(x, np.array([y for _, y in held], dtype=float), threshold, settings.clean_loss), settings)
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
