@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 from itertools import combinations
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -160,7 +161,26 @@ def test_exact_index_keeps_the_smallest_id_and_takes_batches(spark, frame):
     assert got == {20: (2, False), 21: (21, True), 22: (21, False)}
     joined = spark.table(name).select("digest").hint("merge").join(spark.table(name).hint("merge"), "digest")._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in joined
-    spark.sql(f"DROP TABLE {name}")
+    # What the second batch brings of a known text counts; a third one with a smaller id moves the keeper.
+    sizes = {r["doc_id"]: r["group_size"] for r in exact_index.membership(second, exact_index.entries_of(spark, name)).collect()}
+    assert sizes == {20: 3, 21: 2, 22: 2}
+    exact_index.append(name, exact_index.digests(frame([(0, "new"), (30, "a b"), (31, "a b")])))
+    everything = found.unionByName(second)
+    got = {r["doc_id"]: (r["keep_id"], r["group_size"]) for r in exact_index.membership(everything, exact_index.entries_of(spark, name)).collect()}
+    assert got[21] == got[22] == (0, 3) and got[4] == got[20] == (2, 5) and got[9] == (9, 1)
+    assert exact_index.entries_of(spark, name).count() == spark.table(name).count() == 6
+    location = exact_index.location_of(spark, name)
+    exact_index.drop_index(spark, name)
+    assert not spark.catalog.tableExists(name)
+    assert not any(Path(location.removeprefix("file:") + end).exists() for end in ("", "-known"))
+
+
+def test_exact_index_takes_long_texts_and_leaves_no_table(spark, frame):
+    before = {t.name for t in spark.catalog.listTables()}
+    long = "word " * 200_000
+    docs = frame([(1, long), (2, long + " "), (3, long.replace(" ", "\n\t")), (4, "word")])
+    assert sorted(r["doc_id"] for r in exact_index.deduplicate(docs).collect()) == [1, 4]
+    assert {t.name for t in spark.catalog.listTables()} == before
 
 
 def test_exact_dedup_keeps_columns_and_one_of_repeated_rows(frame):

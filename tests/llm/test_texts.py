@@ -218,6 +218,18 @@ def test_rules_count_and_judge(frame):
     assert line_frequency.judged(docs.limit(0)).count() == 0
 
 
+def test_boilerplate_goes_by_row_not_by_id(frame):
+    """Rows without an id stay, and rows that repeat an id have lines and verdicts of their own."""
+    body = lambda i: " ".join(f"own{i}x{j}" for j in range(25))
+    rows = [(100 + i, f"All  rights\n{body(i)}", "shared") for i in range(40)]
+    rows += [(None, f"all rights\n{body(50)}", "shared"), (None, f"all rights\n{body(51)}", "alone"), (100, "all rights", "shared"), (100, body(52), "shared")]
+    docs = frame(rows).withColumn("text_key", F.lit("clash"))
+    got = line_frequency.without_boilerplate(docs)
+    assert got.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, r["text"]) for r in got.collect()) == sorted(
+        [(100 + i, body(i)) for i in range(40)] + [(0, body(50)), (0, f"all rights\n{body(51)}"), (100, body(52))])
+
+
 # ---- classifiers
 
 def test_non_negative_risk_separates_from_positives_and_unlabelled():

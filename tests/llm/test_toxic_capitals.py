@@ -28,6 +28,8 @@ def test_an_insult_in_capitals_counts_as_in_small_letters(frame, spark):
     assert {r["doc_id"] for r in zstd_toxicity.without_toxic(frame(shouted), model, 0.7).collect()} == set(range(2000, 2010))
 
 
-def test_a_rare_insult_enters_the_dictionary_of_a_large_sample():
+def test_a_rare_insult_enters_the_dictionary_of_a_large_sample(spark):
     toxic = [b"you worthless thing"] * 990 + [b"what a numbskull here"] * 6
-    assert b"numbsk" in zstd_toxicity.toxic_part(toxic, [b"an ordinary text"] * 3000, 2048)
+    rows = [(i, int(i < 996), text) for i, text in enumerate(toxic + [b"an ordinary text"] * 3000)]
+    texts = zstd_toxicity.with_origin(spark.createDataFrame(rows, "doc_id bigint, label int, text binary"))
+    assert b"numbsk" in zstd_toxicity.toxic_part(texts, 2048)

@@ -120,11 +120,23 @@ def judged(docs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
 
 
 def without_boilerplate(docs: DataFrame, limits: Limits = LIMITS) -> DataFrame:
-    """The kept documents with their boilerplate lines taken out of ``text``; all columns stay."""
+    """The kept documents with their boilerplate lines taken out of ``text``; all columns stay.
+
+    A row is known by id, host and text: rows without an id stay, and of rows that repeat one each has its own verdict and lines.
+    """
     frequent = common.written(boilerplate(docs, limits), "line-frequency")
-    kept = judged(docs, limits).where("kept").select("doc_id").distinct()
-    hits = lines(docs).join(frequent, ["source", "line_key"]).groupBy("doc_id").agg(F.collect_set("line_key").alias("__lines"))
+    row = ("doc_id", "source", "text_key")
+    hits = lines(docs).join(frequent, ["source", "line_key"]).groupBy(*row).agg(F.collect_set("line_key").alias("__lines"))
+    text = common.whole_text()
+    keyed = docs.withColumn("__source", F.coalesce(F.col("source").cast("string"), F.lit(""))).withColumn("__key", F.xxhash64(text))
+
+    def same(right: DataFrame) -> Column:
+        return keyed["doc_id"].eqNullSafe(right["__id"]) & (keyed["__source"] == right["__host"]) & (keyed["__key"] == right["__text"])
+
+    names = {"doc_id": "__id", "source": "__host", "text_key": "__text"}
+    kept = judged(docs, limits).where("kept").select(*row).distinct().withColumnsRenamed(names)
+    hits = hits.withColumnsRenamed(names)
     plain = lambda x: F.xxhash64(F.trim(F.regexp_replace(F.lower(x), common.WHITE, " ")))
-    cut = F.array_join(F.filter(F.split(common.whole_text(), "\n"), lambda x: ~F.array_contains(F.col("__lines"), plain(x))), "\n")
-    return docs.join(kept, "doc_id", "left_semi").join(hits, "doc_id", "left").withColumn(
-        "text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(cut)).drop("__lines")
+    cut = F.array_join(F.filter(F.split(text, "\n"), lambda x: ~F.array_contains(F.col("__lines"), plain(x))), "\n")
+    return keyed.join(kept, same(kept), "left_semi").join(hits, same(hits), "left").withColumn(
+        "text", F.when(F.col("__lines").isNull(), F.col("text")).otherwise(cut)).select(*docs.columns)

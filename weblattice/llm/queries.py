@@ -59,13 +59,15 @@ def simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The table as one batch for a new index; the answer is read from the index."""
+    """The table as one batch for a new index; the answer is read from the index, which is dropped then."""
     name = f"exact_{common.runtime.new_folder(spark, 'x')[-32:]}"
     exact_index.create_index(spark, name, common.partitions(spark))
     found = common.written(exact_index.digests(common.table(spark, sf_dir, "documents")), "exact-digests")
     exact_index.append(name, found)
-    return exact_index.membership(found, exact_index.entries_of(spark, name)).select(
-        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
+    answer = common.written(exact_index.membership(found, exact_index.entries_of(spark, name)).select(
+        "doc_id", "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256")), "exact-answer")
+    exact_index.drop_index(spark, name)
+    return answer
 
 
 def bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

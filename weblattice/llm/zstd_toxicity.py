@@ -9,15 +9,14 @@ windows are in lower case (ASCII letters), so an insult in capitals saves as muc
 **Thresholds.** A text is described by its largest savings, the numbers of windows at or above four thresholds and its length; a logistic
 curve over these is fitted on labelled texts that the dictionaries were not made from, and its threshold loses no more than ``clean_loss`` of their clean ones.
 
-Samples are bounded by ``Settings``: the labelled training rows with the smallest hashes of ``doc_id``, and of them those of at most
-``text_bytes``. Scoring covers every whole text. A null or empty text has one window, without bytes. Rows that repeat a ``doc_id`` are scored one
-by one. Labels that are null, other than 0 and 1, or of unknown documents are left out, and of labels of one document that differ the toxic one counts.
+Samples are bounded by ``Settings`` in rows only: the labelled training rows with the smallest hashes of ``doc_id``, whole texts of any length. They are read, counted and
+described in Spark tasks; word beginnings that are chosen, the windows to train on and a description for each row come to the driver. Scoring covers every whole text. A null or
+empty text has one window, without bytes. Rows that repeat a ``doc_id`` are scored one by one; the one with the least hash of its text is learnt from. Labels that are null, other than 0 and 1, or of unknown documents are left out, and of labels of one document that differ the toxic one counts.
 Without labels of both classes, or if no word beginning sets toxic texts apart beyond chance, every score is 0 and nothing is dropped. Other columns play no part.
 """
 
 from __future__ import annotations
 
-import math
 import re
 import zlib
 from collections import Counter
@@ -26,7 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weblattice import runtime
@@ -38,7 +37,6 @@ class Settings:
     #: Bounds of the labelled samples.
     toxic: int = 3000
     ordinary: int = 9000
-    text_bytes: int = 20_000
     #: Share of each sample that makes the dictionaries; the others fit the curve.
     making: float = 0.7
     #: Ordinary texts and windows that the ordinary dictionary is trained on, and the share of clean rows that the threshold may cost.
@@ -61,6 +59,8 @@ LEAST_TEXTS, LEAST_RATIO, FALSE = 4, 25, 1.0
 LENGTHS = (5, 6, 7, 8)
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 SAVED = (1, 2, 3, 4)
+#: Beginnings that a task holds before it hands its counts on.
+FLUSH = 300_000
 
 
 def beginnings(text: bytes) -> set[bytes]:
@@ -72,48 +72,78 @@ def beginnings(text: bytes) -> set[bytes]:
     return out
 
 
-def sources(texts: list[bytes]) -> list[list[bytes]]:
-    """Texts in groups that share their least hash of five words in a row, as copies and most near copies do. A text of fewer words is a group of its own."""
-    groups: dict[int, list[bytes]] = {}
-    for number, text in enumerate(texts):
-        words = text.lower().split()
-        key = min((zlib.crc32(b" ".join(words[i:i + 5])) for i in range(len(words) - 4)), default=-1 - number)
-        groups.setdefault(key, []).append(text)
-    return list(groups.values())
+def origin(text: bytes) -> int | None:
+    """The least hash of five words in a row, which copies and most near copies share; None for a text of fewer words."""
+    words = text.lower().split()
+    return min((zlib.crc32(b" ".join(words[i:i + 5])) for i in range(len(words) - 4)), default=None)
 
 
-def chance(there: int, here: int, share: float) -> float:
+def with_origin(texts: DataFrame) -> DataFrame:
+    """``texts (doc_id, label, text)`` and their ``origin``."""
+
+    def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            found = [origin(t.as_buffer().to_pybytes()) for t in frame.column(2)]
+            yield pa.RecordBatch.from_arrays([*frame.columns, pa.array(found, pa.int64())], names=["doc_id", "label", "text", "origin"])
+
+    return texts.select("doc_id", "label", "text").mapInArrow(work, "doc_id bigint, label int, text binary, origin bigint")
+
+
+def beginning_counts(texts: DataFrame) -> DataFrame:
+    """``(beginning, there, here)``: how many toxic and how many ordinary texts ``(label, text)`` hold it. Tasks count before anything is shuffled."""
+
+    def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts: Counter = Counter()
+
+        def flushed() -> pa.RecordBatch:
+            out = pa.RecordBatch.from_arrays(
+                [pa.array([b for _, b in counts], pa.binary()), pa.array([n if y else 0 for (y, _), n in counts.items()], pa.int64()),
+                 pa.array([0 if y else n for (y, _), n in counts.items()], pa.int64())], names=["beginning", "there", "here"])
+            counts.clear()
+            return out
+
+        for frame in frames:
+            for label, text in zip(frame.column(0).to_pylist(), frame.column(1), strict=True):
+                counts.update((label, b) for b in beginnings(text.as_buffer().to_pybytes()))
+                if len(counts) > FLUSH:
+                    yield flushed()
+        yield flushed()
+
+    partial = texts.select("label", "text").mapInArrow(work, "beginning binary, there bigint, here bigint")
+    return partial.groupBy("beginning").agg(F.sum("there").alias("there"), F.sum("here").alias("here"))
+
+
+def chance(there: Column, here: Column, share: float) -> Column:
     """A bound of the probability that so many of the holders are toxic if each is with the probability ``share`` (Chernoff)."""
-    n = there + here
-    part = there / n
-    if part <= share:
-        return 1.0
-    distance = part * math.log(part / share) + ((1 - part) * math.log((1 - part) / (1 - share)) if here else 0.0)
-    return math.exp(-n * distance)
-
-
-def toxic_part(toxic: list[bytes], ordinary: list[bytes], size: int) -> bytes:
-    """The beginnings that set toxic texts apart, each at its longest form that most of its texts share; frequent ones last."""
-    there, here = Counter(), Counter()
-    groups = sources(toxic), sources(ordinary)
-    for counts, side in zip((there, here), groups, strict=True):
-        for group in side:  # copies count once
-            counts.update(set().union(*map(beginnings, group)))
-    n_toxic, n_ordinary = map(len, groups)
-    share = n_toxic / (n_toxic + n_ordinary)
-    held = Counter(n + here[b] for b, n in there.items())
-    held.update(n for b, n in here.items() if b not in there)
-    as_many, total = {}, 0
-    for n in sorted(held, reverse=True):
-        total += held[n]
-        as_many[n] = total
-    chosen = {
-        b for b, n in there.items()
-        if n >= LEAST_TEXTS and n * (n_ordinary + 1) >= LEAST_RATIO * (here[b] + 0.5) * n_toxic
-        and chance(n, here[b], share) * as_many[n + here[b]] <= FALSE}
+    part = there / (there + here)
+    ordinary = F.when(here > 0, (1 - part) * F.log((1 - part) / F.lit(1 - share))).otherwise(0.0)
+    return F.when(part <= share, 1.0).otherwise(F.exp(-(there + here) * (part * F.log(part / F.lit(share)) + ordinary)))
+
+
+def toxic_part(texts: DataFrame, size: int) -> bytes:
+    """The beginnings that set toxic ones of ``texts (doc_id, label, text, origin)`` apart, each at its longest form that most of its texts share; frequent ones last.
+
+    Of texts of one origin, the one with the smallest id counts.
+    """
+    alone = F.when(F.col("origin").isNull(), F.col("doc_id"))
+    first = texts.groupBy("label", "origin", alone.alias("alone")).agg(F.min("doc_id").alias("doc_id"))  # bounded by the sample
+    sizes = {r["label"]: r["count"] for r in first.groupBy("label").count().collect()}
+    n_toxic, n_ordinary = sizes.get(1, 0), sizes.get(0, 0)
+    if not n_toxic or not n_ordinary:
+        return b""
+    counts = common.written(
+        beginning_counts(texts.join(F.broadcast(first.select("label", "doc_id").distinct()), ["label", "doc_id"])), "toxicity-beginnings")
+    there, here = F.col("there"), F.col("here")
+    # How many beginnings at least so many texts hold: a row for each number of texts.
+    held = counts.groupBy((there + here).alias("holders")).agg(F.count("*").alias("n"))
+    as_many = held.select("holders", F.sum("n").over(Window.orderBy(F.desc("holders"))).alias("as_many"))
+    apart = counts.where((there >= LEAST_TEXTS) & (there * (n_ordinary + 1) >= LEAST_RATIO * (here + 0.5) * n_toxic))
+    beyond = apart.withColumn("holders", there + here).join(as_many, "holders").where(
+        chance(there, here, n_toxic / (n_toxic + n_ordinary)) * F.col("as_many") <= FALSE)
+    chosen = {bytes(r["beginning"]): r["there"] for r in beyond.select("beginning", "there").collect()}  # chance gives one or none
     roots = [b for b in chosen if not any(b[:n] in chosen for n in LENGTHS if n < len(b))]
-    longest = lambda r: max((b for b in chosen if b.startswith(r) and there[b] >= 0.7 * there[r]), key=lambda b: (len(b), b))
-    return b"".join(longest(r) for r in sorted(roots, key=lambda r: (there[r], r)))[-size:]
+    longest = lambda r: max((b for b in chosen if b.startswith(r) and chosen[b] >= 0.7 * chosen[r]), key=lambda b: (len(b), b))
+    return b"".join(longest(r) for r in sorted(roots, key=lambda r: (chosen[r], r)))[-size:]
 
 
 def windows(text: bytes, settings: Settings) -> list[bytes]:
@@ -205,31 +235,57 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, threshold: float =
     sample = common.written(
         common.hashed_sample(known.where("label = 1"), settings.toxic).unionByName(common.hashed_sample(known.where("label = 0"), settings.ordinary)),
         "toxicity-sample")
-    # Bounded by the settings: ids may be broadcast, and the texts come to the driver.
-    short = docs.where(F.col("doc_id").isNotNull() & (F.octet_length(common.whole_text()) <= settings.text_bytes))
-    rows = short.select(F.col("doc_id").cast("bigint").alias("doc_id"), common.whole_text().cast("binary").alias("text")).join(F.broadcast(sample), "doc_id")
-    got = common.written(rows, "toxicity-texts").orderBy(F.xxhash64("doc_id"), "doc_id").toArrow()
-    by_label: dict[int, list[bytes]] = {0: [], 1: []}
-    for label, text in zip(got.column("label").to_pylist(), got.column("text").to_pylist(), strict=True):
-        by_label[label].append(text)
-    toxic, ordinary = by_label[1], by_label[0]
-    cut = lambda texts: max(1, int(settings.making * len(texts)))
-    if not toxic or not ordinary:
+    # Bounded by the settings, so ids may be broadcast.
+    rows = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), common.whole_text().cast("binary").alias("text"))
+    one = rows.join(F.broadcast(sample), "doc_id").groupBy("doc_id", F.col("label").cast("int").alias("label")).agg(F.min_by("text", F.xxhash64("text")).alias("text"))
+    texts = common.written(with_origin(one), "toxicity-texts")
+    order = Window.partitionBy("label").orderBy(F.xxhash64("doc_id"), "doc_id")
+    places = common.written(texts.select("doc_id", "label").withColumn("place", F.row_number().over(order)), "toxicity-places")
+    cuts = {r["label"]: max(1, int(settings.making * r["count"])) for r in places.groupBy("label").count().collect()}
+    if len(cuts) < 2:
+        return None
+    making = F.col("place") <= F.when(F.col("label") == 1, cuts[1]).otherwise(cuts[0])
+    texts = texts.join(F.broadcast(places.select("doc_id", "place")), "doc_id")
+    toxic_words = toxic_part(texts.where(making), settings.toxic_bytes)
+    if not toxic_words:  # nothing tells the classes apart
         return None
-    pieces = [w for text in ordinary[:cut(ordinary)][:settings.trained_texts] for w in windows(text, settings)]
+    pieces = training_windows(texts.where(making & (F.col("label") == 0) & (F.col("place") <= settings.trained_texts)), settings)
     try:
-        common_part = z.train_dictionary(settings.dictionary_bytes, pieces[:settings.trained_windows], k=48, d=8).as_bytes()
+        common_part = z.train_dictionary(settings.dictionary_bytes, pieces, k=48, d=8).as_bytes()
     except z.ZstdError:  # too little text to train on: the windows themselves
         common_part = b"".join(pieces)[-settings.dictionary_bytes:] or b" "
-    toxic_words = toxic_part(toxic[:cut(toxic)], ordinary[:cut(ordinary)], settings.toxic_bytes)
-    if not toxic_words:  # nothing tells the classes apart
-        return None
-    compressors = Compressors(common_part, toxic_words, settings)
-    held = [(t, 1) for t in toxic[cut(toxic):]] + [(t, 0) for t in ordinary[cut(ordinary):]]
-    if len({y for _, y in held}) < 2:
-        held = [(t, 1) for t in toxic] + [(t, 0) for t in ordinary]
-    x = np.array([compressors.description(t) for t, _ in held])
-    return Model(common_part, toxic_words, calibrated(x, np.array([y for _, y in held], dtype=float), threshold, settings.clean_loss), settings)
+    held = described(texts.where(~making), common_part, toxic_words, settings)
+    if len(set(held[1])) < 2:
+        held = described(texts, common_part, toxic_words, settings)
+    return Model(common_part, toxic_words, calibrated(*held, threshold, settings.clean_loss), settings)
+
+
+def training_windows(texts: DataFrame, settings: Settings) -> list[bytes]:
+    """Windows of the texts ``(place, text)`` in order, as many as the settings allow."""
+
+    def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for frame in frames:
+            for place, text in zip(frame.column(0).to_pylist(), frame.column(1), strict=True):
+                found = windows(text.as_buffer().to_pybytes(), settings)[:settings.trained_windows]  # no text can give more
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([place] * len(found), pa.int32()), pa.array(range(len(found)), pa.int32()), pa.array(found, pa.binary())], names=["place", "at", "piece"])
+
+    cut = texts.select("place", "text").mapInArrow(work, "place int, at int, piece binary")
+    return cut.orderBy("place", "at").limit(settings.trained_windows).select("piece").toArrow().column(0).to_pylist()
+
+
+def described(texts: DataFrame, ordinary: bytes, toxic: bytes, settings: Settings) -> tuple[np.ndarray, np.ndarray]:
+    """Descriptions and labels of the texts ``(doc_id, label, text)``, a row for each of the bounded sample."""
+
+    def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        compressors = Compressors(ordinary, toxic, settings)
+        for frame in frames:
+            x = [compressors.description(t.as_buffer().to_pybytes()) for t in frame.column(2)]
+            yield pa.RecordBatch.from_arrays([frame.column(0), frame.column(1), pa.array(x, pa.list_(pa.float64()))], names=["doc_id", "label", "x"])
+
+    rows = texts.select("doc_id", "label", "text").mapInArrow(work, "doc_id bigint, label int, x array<double>")
+    got = rows.orderBy(F.xxhash64("doc_id"), "doc_id").collect()
+    return np.array([r["x"] for r in got]).reshape(-1, DESCRIBED), np.array([r["label"] for r in got], dtype=float)
 
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
