@@ -60,7 +60,7 @@ LENGTHS = (5, 6, 7, 8)
 WORD = re.compile(rb"[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 SAVED = (1, 2, 3, 4)
 #: Beginnings that a task holds before it hands its counts on.
-FLUSH = 300_000
+FLUSH = 50_000
 
 
 def beginnings(text: bytes) -> set[bytes]:
@@ -93,19 +93,21 @@ def beginning_counts(texts: DataFrame) -> DataFrame:
     """``(beginning, there, here)``: how many toxic and how many ordinary texts ``(label, text)`` hold it. Tasks count before anything is shuffled."""
 
     def work(frames: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        counts = Counter(), Counter()
 
         def flushed() -> pa.RecordBatch:
+            names = list(counts[0].keys() | counts[1].keys())
             out = pa.RecordBatch.from_arrays(
-                [pa.array([b for _, b in counts], pa.binary()), pa.array([n if y else 0 for (y, _), n in counts.items()], pa.int64()),
-                 pa.array([0 if y else n for (y, _), n in counts.items()], pa.int64())], names=["beginning", "there", "here"])
-            counts.clear()
+                [pa.array(names, pa.binary()), *[pa.array([c[b] for b in names], pa.int64()) for c in (counts[1], counts[0])]],
+                names=["beginning", "there", "here"])
+            for c in counts:
+                c.clear()
             return out
 
         for frame in frames:
             for label, text in zip(frame.column(0).to_pylist(), frame.column(1), strict=True):
-                counts.update((label, b) for b in beginnings(text.as_buffer().to_pybytes()))
-                if len(counts) > FLUSH:
+                counts[label].update(beginnings(text.as_buffer().to_pybytes()))
+                if sum(map(len, counts)) > FLUSH:
                     yield flushed()
         yield flushed()
 
