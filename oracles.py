@@ -422,6 +422,8 @@ UNION ALL SELECT NULL, sum(crawled_pages)::BIGINT, sum(error_pages)::BIGINT, sum
         "stream_page_upsert": f"""{from_pages} SELECT url, origin_url, depth, shown_title AS title, status_code::INTEGER AS status_code,
   error, {_n_tokens('content')} AS n_tokens FROM rows""",
         "stream_url_dedupe": f"WITH {_base()} SELECT DISTINCT origin_url AS url FROM base",
+        "stream_urls_after_crawl": f"WITH {_base()} SELECT DISTINCT url FROM base WHERE url NOT IN (SELECT url FROM base WHERE page_id % 4 = 0)",
+        "fts_stored_document_frequency": f"{_DOC_CORPUS}, {_TOKENS} SELECT term, count(DISTINCT url) AS n_docs FROM tokens GROUP BY term",
         "stream_counters": f"{from_pages} SELECT outcome, count(*) AS pages FROM rows GROUP BY outcome",
         "stream_search_snapshot": _word_search(_OUTCOME_POSTINGS, "ing"),
         "stream_restart": outcome_words,

@@ -3,13 +3,15 @@
 from pyspark.sql import functions as F
 
 from support import rows
+from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.text_index import build_text_index, compact_text_index, live_runs, load_text_index
 from weblattice.operators.text_search import any_of, search_text
-from weblattice.operators.visited import latest_pages, upsert_pages
+from weblattice.operators.visited import add_visited, latest_pages, upsert_pages
 from weblattice.operators.word_search import search_words
 from weblattice.sources.responses import stream_responses
+from weblattice.sources.visited_store import VisitedStore
 from weblattice.streaming import jobs
 
 SCHEMA = (
@@ -100,6 +102,23 @@ def test_url_dedupe(spark, tmp_path):
     assert rows(found) == rows(batch(spark, folder).select("url").distinct())
 
 
+def test_url_dedupe_after_a_crawl(spark, tmp_path):
+    """Nothing that the crawl knows is passed on, before and after a restart, and a batch opens no piece without a possible hit."""
+    folder, root, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    found = spark.createDataFrame([(u, "o", 0) for u in ("u0", "u1", "u4", "u22", "x")], "url string, origin_url string, depth int")
+    store = VisitedStore(spark, str(tmp_path / "visited"), ()).add(add_visited(spark.createDataFrame([], schemas.VISITED), found), 0)
+    assert rows(jobs.read_new_urls(spark, root)) == []
+    for start in (0, 5, 20):
+        arrive(spark, folder, start, start + 10, 1)
+        jobs.stream_new_urls(source(spark, folder).select("url"), root, state, visited=store).awaitTermination()
+        want = sorted({r["url"] for r in batch(spark, folder).select("url").collect()} - {"u0", "u1", "u4", "u22", "x"})
+        assert rows(jobs.read_new_urls(spark, root), "url") == [(u,) for u in want] and want
+    later = VisitedStore(spark, str(tmp_path / "none"), ())
+    arrive(spark, folder, 22, 24, 1)
+    jobs.stream_new_urls(source(spark, folder).select("url"), root, state, visited=later).awaitTermination()  # the state knows u22 by now
+    assert rows(jobs.read_new_urls(spark, root), "url") == [(u,) for u in want]
+
+
 def test_url_dedupe_within_watermark(spark, tmp_path):
     folder, root, state = (str(tmp_path / n) for n in ("in", "out", "state"))
     arrive(spark, folder, 0, 10, 1)

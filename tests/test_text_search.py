@@ -291,6 +291,8 @@ def test_segments_equal_one_index(spark, tmp_path):
         whole = build_text_index(pages_frame(spark, list(latest.values())))
         assert rows(corpus_stats(index)) == rows(corpus_stats(whole))
         assert ranks(search_text(index, any_of("cat", "run"))) == ranks(search_text(whole, any_of("cat", "run")))
+        assert rows(document_frequency(index)) == rows(document_frequency(whole))
+    assert all("/counts/" in name for name in document_frequency(index).inputFiles())  # no postings are read
     assert rows(index.live(index.documents)) == rows(whole.documents)
     assert rows(document_frequency(index)) == rows(document_frequency(whole))
     assert rows(stemmed_postings(index)) == rows(stemmed_postings(whole))

@@ -3,6 +3,9 @@
 A stored index grows by segments. Whoever writes a segment also merges: runs of segments are kept at least twice as long as the next, like the
 digits of a binary counter, so after n segments at most log2(n) + 1 runs are live, and a row is rewritten log2(n) times at most. A run keeps the range of its
 urls; only runs whose ranges overlap can replace each other's pages.
+
+Beside its postings a segment keeps what it changes in the document frequency of each term: its own documents less those it replaces. These
+numbers add up, so a merge sums them and a reader does too, and neither looks at postings.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ _FREQUENCIES = "term string, url string, n_tokens int, frequency int"
 _VOCABULARY = "term string, stem string"
 _SIZES = "n_docs bigint, avg_tokens double, n_tokens bigint"
 _RANGE = "lo string, hi string"
+_COUNTS = "term string, n_docs bigint"
 
 
 @dataclass(frozen=True)
@@ -42,6 +46,7 @@ class TextIndex:
     vocabulary: DataFrame | None = None
     replaced: DataFrame | None = None  # (url, _last): urls of later segments of a stored index
     sizes: DataFrame | None = None  # (n_docs, avg_tokens) as stored
+    counts: DataFrame | None = None  # (term, n_docs) of each stored run, to be summed
 
     def live(self, table: DataFrame) -> DataFrame:
         """A table of the index, or hits taken from one, without what a later segment replaced."""
@@ -90,8 +95,11 @@ def save_text_index(index: TextIndex, root: str, segment: int = 0) -> TextIndex:
     spark, stem = index.documents.sparkSession, index.vocabulary is not None
     if segment not in versions(spark, f"{root}/sizes"):
         before = load_text_index(spark, root, stem, below=segment)
-        _write_tables(index, root, f"segment={segment}")
-        new = _table(spark, root, "documents", schemas.TEXT_DOCUMENTS, [f"segment={segment}"]).drop("segment")
+        part = f"segment={segment}"
+        _write_tables(index, root, part)
+        new = _table(spark, root, "documents", schemas.TEXT_DOCUMENTS, [part]).drop("segment")
+        added = _counted(_table(spark, root, "frequencies", _FREQUENCIES, [part]))
+        _write_counts(added.unionByName(_gone(before, new)), root, part)
         write_once(_measured(new) if before.sizes is None else _grown(before, new), f"{root}/sizes/version={segment}")
     merge_segments(spark, root, stem)
     return load_text_index(spark, root, stem)
@@ -111,6 +119,24 @@ def _grown(before: TextIndex, new: DataFrame) -> DataFrame:
     return total.select("n_docs", F.try_divide("n_tokens", "n_docs").alias("avg_tokens"), "n_tokens")
 
 
+def _counted(frequencies: DataFrame) -> DataFrame:
+    return frequencies.groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def _gone(before: TextIndex, new: DataFrame) -> DataFrame:
+    """What the documents that are replaced no longer count for. Frequencies of old runs are read only if there are such documents."""
+    replaced = before.live(before.documents.join(new.select("url"), "url", "left_semi")).select("url")
+    if replaced.isEmpty():
+        return new.sparkSession.createDataFrame([], _COUNTS)
+    old = before.live(before.frequencies.join(replaced.distinct(), "url", "left_semi"))
+    return _counted(old).select("term", (-F.col("n_docs")).alias("n_docs"))
+
+
+def _write_counts(changes: DataFrame, root: str, part: str) -> None:
+    summed = changes.groupBy("term").agg(F.sum("n_docs").alias("n_docs")).filter("n_docs <> 0")
+    summed.sortWithinPartitions("term").write.mode("overwrite").parquet(f"{root}/counts/{part}")
+
+
 def _write_tables(index: TextIndex, root: str, part: str) -> None:
     spark = index.documents.sparkSession
 
@@ -174,7 +200,7 @@ def _load(spark: SparkSession, root: str, stem: bool, runs: list[tuple[int, int]
     return TextIndex(
         documents, table("postings", schemas.TEXT_POSTINGS + (", stem string" if stem else "")), table("frequencies", _FREQUENCIES),
         vocabulary.distinct() if stem and len(runs) > 1 else vocabulary, _replaced(documents, table("ranges", _RANGE)) if len(runs) > 1 else None,
-        spark.read.schema(_SIZES).parquet(f"{root}/sizes/version={runs[-1][1]}") if runs else None,
+        spark.read.schema(_SIZES).parquet(f"{root}/sizes/version={runs[-1][1]}") if runs else None, table("counts", _COUNTS).drop("segment"),
     )
 
 
@@ -208,7 +234,8 @@ def merge_segments(spark: SparkSession, root: str, stem: bool = True) -> None:
 def _merge(spark: SparkSession, root: str, stem: bool, runs: list[tuple[int, int]]) -> None:
     index, first, last = _load(spark, root, stem, runs), runs[0][0], runs[-1][1]
     whole = TextIndex(*(index.live(table) for table in (index.documents, index.postings.drop("stem"), index.frequencies)), index.vocabulary)
-    _write_tables(whole, root, f"run-{first}-{last}/segment={last}")
+    _write_tables(whole, root, _part((first, last)))
+    _write_counts(index.counts, root, _part((first, last)))
     write_once(spark.createDataFrame([(first, last)], "first int, last int"), f"{root}/runs/{first}-{last}")
 
 
@@ -240,7 +267,7 @@ def drop_covered(spark: SparkSession, root: str) -> int:
     for run in old:
         if run[0] < run[1]:
             remove(spark, f"{root}/runs/{run[0]}-{run[1]}")  # first, so that no reader takes the run
-        for name in ("documents", "postings", "frequencies", "vocabulary", "ranges"):
+        for name in ("documents", "postings", "frequencies", "vocabulary", "ranges", "counts"):
             remove(spark, f"{root}/{name}/{_part(run).split('/')[0]}")
     return len(old)
 
@@ -280,5 +307,7 @@ def corpus_stats(index: TextIndex) -> DataFrame:
 
 
 def document_frequency(index: TextIndex) -> DataFrame:
-    """``(term, n_docs)``; frequencies hold a term once per document."""
-    return index.live(index.frequencies).groupBy("term").agg(F.count(F.lit(1)).alias("n_docs"))
+    """``(term, n_docs)``; frequencies hold a term once per document. A stored index has them written down by run."""
+    if index.counts is None:
+        return _counted(index.live(index.frequencies))
+    return index.counts.groupBy("term").agg(F.sum("n_docs").alias("n_docs")).filter("n_docs > 0")

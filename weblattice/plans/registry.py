@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from weblattice import schemas
 from weblattice.functions.text import text_tokens
 from weblattice.functions.words import index_words
 from weblattice.functions.content import is_html
@@ -24,6 +25,7 @@ from weblattice.runtime import materialize, new_folder
 from weblattice.sources.frontier import load_frontier, save_frontier
 from weblattice.sources.responses import decode_responses, seed_tasks, stream_responses
 from weblattice.sources.results import search_response, text_results
+from weblattice.sources.visited_store import VisitedStore
 from weblattice.sources.word_store import append_posting_lines, read_posting_lines, read_postings, write_postings
 from weblattice.streaming import jobs
 
@@ -493,6 +495,25 @@ def stream_url_dedupe(spark, sf_dir):
     return spark.read.schema("url string").parquet(root)
 
 
+@query
+def stream_urls_after_crawl(spark, sf_dir):
+    """Pages that arrive after a crawl has stored its visited urls, which are those of the first batch: each url that it doesn't know, once."""
+    pages = _page_files(spark, sf_dir)
+    known = corpus.as_responses(pages.filter("arrival = 0")).select("url", "origin_url", F.lit(0).alias("depth"))
+    seen = add_visited(spark.createDataFrame([], schemas.VISITED), new_urls(known, spark.createDataFrame([], "url string")))
+    store = VisitedStore(spark, new_folder(spark, "visited"), ()).add(materialize(seen, new_folder(spark, "seen")), 0)
+    return jobs.read_new_urls(spark, _run(jobs.stream_new_urls, _page_stream(spark, sf_dir).select("url"), "stream-urls", visited=store))
+
+
+@query
+def fts_stored_document_frequency(spark, sf_dir):
+    """Document frequencies of a stored index of which a quarter of the documents is replaced: sums of what its segments have written down."""
+    docs, root = corpus.text_documents(spark, sf_dir), new_folder(spark, "text-index")
+    save_text_index(build_text_index(docs, stem=False), root)
+    index = add_to_text_index(spark, root, docs.filter("pmod(crc32(url), 4) = 0"), stem=False)
+    return document_frequency(index)
+
+
 @query
 def stream_counters(spark, sf_dir):
     return jobs.read_counters(spark, _run(jobs.stream_counters, _page_stream(spark, sf_dir), "stream-counters"))

@@ -15,7 +15,9 @@ from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.text_index import add_to_text_index
 from weblattice.operators.visited import latest_pages, upsert_pages
-from weblattice.sources.snapshots import read_latest, versions, write_once, write_version
+from weblattice.runtime import materialize, new_folder
+from weblattice.sources.snapshots import read_latest, remove, versions, write_once, write_version
+from weblattice.sources.visited_store import VisitedStore
 from weblattice.sources.word_store import by_word
 
 _PAGE_COLUMNS = ("url", "origin_url", "depth", "title", "content", "status_code", "error", "fetched_at")
@@ -107,17 +109,34 @@ def compact_page_store(spark: SparkSession, root: str) -> int | None:
     return write_version(read_page_store(spark, root), root, later[-1]) if later else None
 
 
-def stream_new_urls(urls: DataFrame, root: str, checkpoint: str, available_now: bool = True, within: str | None = None) -> StreamingQuery:
+def stream_new_urls(
+    urls: DataFrame, root: str, checkpoint: str, available_now: bool = True, within: str | None = None, visited: VisitedStore | None = None
+) -> StreamingQuery:
     """Pass each url on once. Exact and unbounded like the visited set, so its state grows with the urls.
 
-    ``within`` bounds the state by event time ``seen_at`` and misses repeats that lie further apart.
+    ``within`` bounds the state by event time ``seen_at`` and misses repeats that lie further apart. With the ``visited`` urls of a crawl, none that the
+    crawl knows is passed on: they stay where they are stored, and a batch opens only pieces that may hold one of its urls, so the state holds
+    urls of the stream only and a start costs nothing. Read that form with ``read_new_urls``.
     """
     if within is None:
         once = urls.dropDuplicates(["url"])
     else:
         once = urls.withWatermark("seen_at", within).dropDuplicatesWithinWatermark(["url"])
-    writer = once.writeStream.format("parquet").option("path", root).outputMode("append")
-    return _start(writer, checkpoint, available_now)
+    if visited is None:
+        return _start(once.writeStream.format("parquet").option("path", root).outputMode("append"), checkpoint, available_now)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        folder = new_folder(batch.sparkSession, "stream-urls")
+        write_once(visited.unknown(materialize(batch, folder)), f"{root}/batch={batch_id}")  # looked up twice, taken from the stream once
+        remove(batch.sparkSession, folder)
+
+    return _start(once.writeStream.foreachBatch(add), checkpoint, available_now)
+
+
+def read_new_urls(spark: SparkSession, root: str, schema: str = "url string") -> DataFrame:
+    """What a stream beside a ``visited`` set has passed on in its finished batches."""
+    done = versions(spark, root, "batch")
+    return _batches(spark, root, schema, done) if done else spark.createDataFrame([], schema)
 
 
 def stream_counters(responses: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
