@@ -21,6 +21,7 @@ from weblattice.functions.porter import with_stem
 from weblattice.functions.text import text_tokens
 from weblattice.functions.words import repeat_runs, run_length, run_token
 from weblattice.operators.visited import latest_pages
+from weblattice.sources.manifest import Manifest, Part, commit, newest
 from weblattice.sources.snapshots import folders, remove, versions, write_once
 
 _FREQUENCIES = "term string, url string, n_tokens int, frequency int"
@@ -89,8 +90,8 @@ def save_text_index(index: TextIndex, root: str, segment: int = 0) -> TextIndex:
     sorted by it, so a stem or the prefix of one is a filter that reaches the scan.
 
     The tokens are shuffled once, by term; the rebalance hint has adaptive execution cut the partition of
-    a term that is in most documents into files of normal size. The size of the corpus is written last: with it the segment
-    counts. A segment that is complete is left as it is, so a replayed batch takes no file from a reader.
+    a term that is in most documents into files of normal size. The size of the corpus is the last table; then the manifest names the
+    segment, and with that it counts. A segment that is complete is left as it is, so a replayed batch takes no file from a reader.
     """
     spark, stem = index.documents.sparkSession, index.vocabulary is not None
     if segment not in versions(spark, f"{root}/sizes"):
@@ -101,6 +102,8 @@ def save_text_index(index: TextIndex, root: str, segment: int = 0) -> TextIndex:
         added = _counted(_table(spark, root, "frequencies", _FREQUENCIES, [part]))
         _write_counts(added.unionByName(_gone(before, new)), root, part)
         write_once(_measured(new) if before.sizes is None else _grown(before, new), f"{root}/sizes/version={segment}")
+    part = Part(segment, segment, _part((segment, segment)))
+    commit(spark, root, lambda m: m.with_part(part), lambda: _found(spark, root))
     merge_segments(spark, root, stem)
     return load_text_index(spark, root, stem)
 
@@ -163,18 +166,24 @@ def _table(spark: SparkSession, root: str, name: str, schema: str, parts: list[s
 
 
 def live_runs(spark: SparkSession, root: str, below: int | None = None) -> list[tuple[int, int]]:
-    """``(first, last)`` segments of the runs that a reader takes, oldest first: of the runs that end at a segment, the longest."""
-    done = [n for n in versions(spark, f"{root}/sizes") if below is None or n < below]
+    """``(first, last)`` segments of the runs that a reader takes, oldest first, as the newest manifest names them."""
+    parts = (newest(spark, root) or _found(spark, root)).parts()
+    return [(part.first, part.last) for part in parts if below is None or part.last < below]
+
+
+def _found(spark: SparkSession, root: str) -> Manifest:
+    """What an index without a manifest holds: of the runs that end at a segment, the longest."""
+    done = versions(spark, f"{root}/sizes")
     runs: dict[int, int] = {}
     for name in folders(spark, f"{root}/runs/*/_SUCCESS"):
         first, last = map(int, name.split("-"))
         runs[last] = min(first, runs.get(last, first))
     live = []
     while done:
-        last = done[-1]
-        live.append((runs.get(last, last), last))
-        done = [n for n in done if n < live[-1][0]]
-    return live[::-1]
+        run = runs.get(done[-1], done[-1]), done[-1]
+        live.append(Part(*run, _part(run)))
+        done = [n for n in done if n < run[0]]
+    return Manifest().with_parts("", tuple(live))
 
 
 def _part(run: tuple[int, int]) -> str:
@@ -190,6 +199,11 @@ def load_text_index(spark: SparkSession, root: str, stem: bool = True, below: in
     return _load(spark, root, stem, live_runs(spark, root, below))
 
 
+def load_parts(spark: SparkSession, root: str, parts: tuple[Part, ...], stem: bool = True) -> TextIndex:
+    """The stored index as a manifest names it, whatever was added or merged since."""
+    return _load(spark, root, stem, [(part.first, part.last) for part in parts])
+
+
 def _load(spark: SparkSession, root: str, stem: bool, runs: list[tuple[int, int]]) -> TextIndex:
     def table(name: str, schema: str) -> DataFrame:
         parts = [(last, _table(spark, root, name, schema, [_part((first, last))], last)) for first, last in runs]
@@ -237,6 +251,8 @@ def _merge(spark: SparkSession, root: str, stem: bool, runs: list[tuple[int, int
     _write_tables(whole, root, _part((first, last)))
     _write_counts(index.counts, root, _part((first, last)))
     write_once(spark.createDataFrame([(first, last)], "first int, last int"), f"{root}/runs/{first}-{last}")
+    old = tuple(Part(*run, _part(run)) for run in runs)
+    commit(spark, root, lambda m: m.merged(old, Part(first, last, _part((first, last)))), lambda: _found(spark, root))
 
 
 def add_to_text_index(spark: SparkSession, root: str, pages: DataFrame, stem: bool = True, segment: int | None = None) -> TextIndex:

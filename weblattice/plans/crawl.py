@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
@@ -11,14 +11,15 @@ from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.reports import run_counters
 from weblattice.operators.robots import DEFAULT_USER_AGENT, robots_allowed, robots_rules, rules_by_host
-from weblattice.operators.text_index import add_to_text_index
-from weblattice.operators.visited import add_visited, latest_pages
+from weblattice.operators.text_index import TextIndex, add_to_text_index, live_runs, load_parts
+from weblattice.operators.visited import add_visited
 from weblattice.plans.traversal import Traversal, traverse
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.frontier import load_frontier, save_frontier
-from weblattice.sources.snapshots import versions, write_once
+from weblattice.sources.growing import add_pages, add_words, live_parts, pages_of_parts, words_of
+from weblattice.sources.manifest import Manifest, Part, commit, newest
+from weblattice.sources.snapshots import versions
 from weblattice.sources.visited_store import VisitedStore
-from weblattice.sources.word_store import by_word
 
 NO_RESPONSE = "no response"
 
@@ -135,7 +136,8 @@ def crawl_into(
     The run resumes the saved frontier if there is one, else it starts from the seeds, and never enters a url visited before. It adds
     its pages to the page store ``pages`` (``streaming.jobs.read_page_store``), its postings to ``words`` (``read_word_index``), a segment to the
     full-text index ``text`` and its urls to ``visited``; what is left to do replaces ``frontier``, and nothing left clears it. Each store
-    gets one new part, so a run costs what it brings. The frontier is written last and ends the run: a run that was lost before that is made again.
+    gets one new part, so a run costs what it brings. The frontier ends the run: a run that was lost before that is made again. A manifest of
+    all stores follows (``open_stores``).
     """
     spark = extracted.sparkSession
     number = max(versions(spark, f"{root}/frontier"), default=-1) + 1
@@ -145,9 +147,44 @@ def crawl_into(
         frontier=load_frontier(spark, f"{root}/frontier"), levels=levels, extracted=True,
     )
     pages = run.pages.select(*[part.split()[0] for part in schemas.PAGES.split(", ")])
-    write_once(latest_pages(pages), f"{root}/pages/batch={number}")
-    write_once(by_word(run.postings), f"{root}/words/batch={number}")
+    add_pages(pages, f"{root}/pages", number)
+    add_words(run.postings, f"{root}/words", number)
     add_to_text_index(spark, f"{root}/text", pages, stem, number)
     visited.add(add_visited(spark.createDataFrame([], schemas.VISITED), run.visited), number)
     save_frontier(run.frontier, f"{root}/frontier")
+    publish_stores(spark, root, number)
     return run
+
+
+def publish_stores(spark: SparkSession, root: str, number: int) -> None:
+    """Name the parts of all stores as they are after run ``number``, in one manifest."""
+    tables = {name: live_parts(spark, f"{root}/{name}") for name in ("pages", "words")}
+    tables["text"] = tuple(Part(first, last, "") for first, last in live_runs(spark, f"{root}/text"))
+    tables["visited"] = tuple(Part(n, n, f"batch={n}") for n in versions(spark, f"{root}/frontier"))
+    commit(spark, root, lambda m: None if any(p.last > number for p in m.parts("visited")) else replace(m, tables=tables))
+
+
+@dataclass(frozen=True)
+class Stores:
+    """All stores of ``crawl_into`` as of one finished run. They stay so while later runs add to them and merge."""
+
+    spark: SparkSession
+    root: str
+    manifest: Manifest
+
+    def pages(self) -> DataFrame:
+        return pages_of_parts(self.spark, f"{self.root}/pages", self.manifest.parts("pages"))
+
+    def words(self) -> DataFrame:
+        return words_of(self.spark, f"{self.root}/words", self.manifest.parts("words"))
+
+    def text(self, stem: bool = True) -> TextIndex:
+        return load_parts(self.spark, f"{self.root}/text", self.manifest.parts("text"), stem)
+
+    def visited(self) -> VisitedStore:
+        return VisitedStore(self.spark, f"{self.root}/visited", tuple(p.last for p in self.manifest.parts("visited")))
+
+
+def open_stores(spark: SparkSession, root: str) -> Stores:
+    """The stores under ``root`` as the newest manifest names them: one file is read, and all tables are of the same run."""
+    return Stores(spark, root, newest(spark, root) or Manifest())

@@ -1,6 +1,6 @@
 """Streams over arriving responses: word index, full-text index, page store, url dedupe, counters.
 
-Sinks write one folder per batch id. A batch that is replayed after a lost driver finds its finished folder and leaves it as it is,
+Sinks write one folder per batch id, and name it in a manifest. A batch that is replayed after a lost driver finds itself named and leaves its folder as it is,
 so readers never lose a file; an unfinished one is written again. With ``available_now`` a stream takes what is there and ends, and gives what the batch
 operators give on the same files.
 """
@@ -10,15 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from weblattice import schemas
 from weblattice.operators.extraction import extract_pages, with_outcome
 from weblattice.operators.postings import word_postings
 from weblattice.operators.text_index import add_to_text_index
-from weblattice.operators.visited import latest_pages, upsert_pages
 from weblattice.runtime import materialize, new_folder
+from weblattice.sources.growing import (  # noqa: F401  (readers of these streams)
+    add_pages, add_words, compact_page_store, compact_word_index, read_page_store, read_word_index,
+)
 from weblattice.sources.snapshots import read_latest, remove, versions, write_once, write_version
 from weblattice.sources.visited_store import VisitedStore
-from weblattice.sources.word_store import by_word
 
 _PAGE_COLUMNS = ("url", "origin_url", "depth", "title", "content", "status_code", "error", "fetched_at")
 
@@ -38,33 +38,11 @@ def stream_word_index(responses: DataFrame, root: str, checkpoint: str, availabl
     postings = word_postings(pages_of(responses))
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        write_once(by_word(batch), f"{root}/batch={batch_id}")
+        add_words(batch, root, batch_id)
 
     return _start(postings.writeStream.foreachBatch(append), checkpoint, available_now)
 
 
-def _uncovered(spark: SparkSession, root: str) -> list[int]:
-    """Finished batches after the newest snapshot."""
-    covered = max(versions(spark, root), default=-1)
-    return [number for number in versions(spark, root, "batch") if number > covered]
-
-
-def _batches(spark: SparkSession, root: str, schema: str, numbers: list[int]) -> DataFrame:
-    return spark.read.schema(schema).parquet(*[f"{root}/batch={n}" for n in numbers])
-
-
-def read_word_index(spark: SparkSession, root: str) -> DataFrame:
-    """Postings of all finished batches; a search beside the running stream sees whole pages."""
-    later, snapshot = _uncovered(spark, root), read_latest(spark, root, schemas.WORD_POSTINGS)
-    return snapshot.unionByName(_batches(spark, root, schemas.WORD_POSTINGS, later)) if later else snapshot
-
-
-def compact_word_index(spark: SparkSession, root: str) -> int | None:
-    """Write one snapshot, sorted by word, that covers all finished batches, beside running readers; return its number."""
-    later = _uncovered(spark, root)
-    return write_version(by_word(read_word_index(spark, root)), root, later[-1]) if later else None
-
-
 def stream_text_index(responses: DataFrame, root: str, checkpoint: str, stem: bool = True, available_now: bool = True) -> StreamingQuery:
     """Each batch is a segment of the full-text index at ``root`` and replaces older entries of its urls.
 
@@ -86,29 +64,17 @@ def stream_text_index(responses: DataFrame, root: str, checkpoint: str, stem: bo
 def stream_page_upsert(responses: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Keep the page store up to date. ``responses`` carries ``fetched_at``.
 
-    A batch writes only its own pages, one row per url, so its cost does not grow with the store. Readers
-    let the latest fetch of a url win; ``compact_page_store`` folds the batches into one snapshot.
+    A batch writes only its own pages, one row per url, and merges parts that are due, so a page is rewritten a few times however many batches follow.
+    Readers let the latest fetch of a url win.
     """
     pages = pages_of(responses).select(*_PAGE_COLUMNS)
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_once(latest_pages(batch), f"{root}/batch={batch_id}")
+        add_pages(batch, root, batch_id)
 
     return _start(pages.writeStream.foreachBatch(add), checkpoint, available_now)
 
 
-def read_page_store(spark: SparkSession, root: str) -> DataFrame:
-    """The store as of the last finished batch: the newest snapshot and the batches after it."""
-    later, snapshot = _uncovered(spark, root), read_latest(spark, root, schemas.PAGES)
-    return upsert_pages(snapshot, _batches(spark, root, schemas.PAGES, later)) if later else snapshot
-
-
-def compact_page_store(spark: SparkSession, root: str) -> int | None:
-    """Write a snapshot that covers all finished batches, beside running readers, and return its number."""
-    later = _uncovered(spark, root)
-    return write_version(read_page_store(spark, root), root, later[-1]) if later else None
-
-
 def stream_new_urls(
     urls: DataFrame, root: str, checkpoint: str, available_now: bool = True, within: str | None = None, visited: VisitedStore | None = None
 ) -> StreamingQuery:
@@ -136,7 +102,7 @@ def stream_new_urls(
 def read_new_urls(spark: SparkSession, root: str, schema: str = "url string") -> DataFrame:
     """What a stream beside a ``visited`` set has passed on in its finished batches."""
     done = versions(spark, root, "batch")
-    return _batches(spark, root, schema, done) if done else spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*[f"{root}/batch={n}" for n in done]) if done else spark.createDataFrame([], schema)
 
 
 def stream_counters(responses: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
