@@ -388,6 +388,7 @@ UNION ALL SELECT url, origin_url, depth FROM base""",
         "crawl_job": f"{_CRAWL} SELECT url, origin_url, depth, title, status_code, outcome, error, {_n_tokens('content')} AS n_tokens FROM stored",
         "crawl_two_runs": f"{_CRAWL} SELECT url, origin_url, depth, title, status_code, error, {_n_tokens('content')} AS n_tokens FROM stored",
         "crawl_postings": f"{_CRAWL}, {_postings('content', '(FROM stored WHERE error IS NULL)')} {_ALL_COLUMNS}",
+        "crawl_stores_opened": f"{_CRAWL}, {_postings('content', '(FROM stored WHERE error IS NULL AND depth < 2)')} {_ALL_COLUMNS}",
         "crawl_report": f"""{_CRAWL}, per_depth AS (
   SELECT depth, sum(c)::BIGINT AS crawled_pages, sum(e)::BIGINT AS error_pages, sum(d)::BIGINT AS discovered_urls FROM (
     SELECT depth, (error IS NULL)::INTEGER AS c, (error IS NOT NULL)::INTEGER AS e, 0 AS d FROM stored

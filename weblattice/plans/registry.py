@@ -19,7 +19,7 @@ from weblattice.operators.text_search import all_of, any_of, but_not, near, phra
 from weblattice.operators.visited import add_visited, new_urls, upsert_pages
 from weblattice.operators.word_search import audit_scores, search_words, search_words_batch
 from weblattice.plans import corpus
-from weblattice.plans.crawl import Crawl, crawl, crawl_into, extraction
+from weblattice.plans.crawl import Crawl, crawl, crawl_into, extraction, open_stores
 from weblattice.plans.traversal import traverse, traverse_in_turn
 from weblattice.runtime import materialize, new_folder
 from weblattice.sources.frontier import load_frontier, save_frontier
@@ -334,6 +334,17 @@ def crawl_two_runs(spark, sf_dir):
     return store.select("url", "origin_url", "depth", "title", "status_code", "error", _n_tokens())
 
 
+@query
+def crawl_stores_opened(spark, sf_dir):
+    """Stores opened after two levels of a crawl, read while the crawl has gone on: postings of the pages of the same run."""
+    responses, root = corpus.linked_responses(spark, sf_dir), new_folder(spark, "crawl-stores")
+    robots, seeds, parsed = corpus.robots_files(responses), corpus.chain_seeds(spark, sf_dir), extraction(responses)
+    crawl_into(root, parsed, seeds, CRAWL_DEPTH, robots, levels=2, stem=False)
+    stores = open_stores(spark, root)
+    crawl_into(root, parsed, seeds, CRAWL_DEPTH, robots, stem=False)
+    return stores.words().join(stores.pages().select("url"), "url", "left_semi")
+
+
 @query
 def crawl_frontier_size(spark, sf_dir):
     """Links of all pages against the captured urls: discovered, not fetched."""
