@@ -5,6 +5,7 @@ import random
 import time
 from urllib.parse import quote, unquote, urldefrag, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from support import rows
@@ -172,3 +173,22 @@ def test_pages_are_parsed_once_even_under_filters(spark):
     plan = word_postings(pages.filter(F.col("error").isNull()))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1
     assert rows(word_postings(pages), "word") == [("one",), ("two",)]
+
+
+def test_workers_get_small_batches_in_a_session_of_default_settings(spark, monkeypatch):
+    """A worker would hold 10,000 pages at a time else, or as many as its partition has."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    raw = spark.range(1200, numPartitions=1).selectExpr(
+        "concat('http://h/', id) AS url", "200 AS status_code", "'text/html' AS content_type", "'<p>x' AS body", "CAST(NULL AS string) AS error")
+    try:
+        for given, kept in (("10000", "500"), ("0", "500"), ("100", "100")):
+            spark.conf.set(key, given)
+            pages = extract_pages(raw)
+            assert spark.conf.get(key) == kept
+        spark.conf.set(key, "10000")
+        sizes = extract_pages(raw).select("url").mapInArrow(
+            lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n bigint")
+        assert max(r["n"] for r in sizes.collect()) <= 500 and pages.count() == 1200
+    finally:
+        spark.conf.set(key, before)
