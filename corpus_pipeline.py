@@ -1,7 +1,7 @@
 """A corpus pipeline over ``documents``: toxicity, exact dedup, near-dedup, secrets, packing.
 
 Each stage takes what its predecessor kept, as a written table, and returns the columns of ``documents``; the last returns packed pieces.
-SQL can express neither compression distances nor similar shingle sets nor tokens, so there is no oracle: the tests hold the stages against
+SQL can express neither compression distances nor SimHash nor similar shingle sets nor tokens, so there is no oracle: the tests hold the stages against
 plain versions.
 """
 
@@ -32,7 +32,10 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more."""
+    """The first document of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more.
+
+    Candidates are what covering SimHash links, and what shares a fingerprint of minima beyond its radius; all are compared exactly.
+    """
     return shingle_jaccard.deduplicated(docs)
 
 

@@ -6,7 +6,7 @@ from itertools import combinations
 import numpy as np
 
 import corpus_pipeline
-from weblattice.llm import shingle_jaccard
+from weblattice.llm import covering_simhash, shingle_jaccard
 
 
 def grams(text):
@@ -79,3 +79,16 @@ def test_repeated_and_null_ids(frame):
     got = sorted((-1 if r["doc_id"] is None else r["doc_id"], r["text"]) for r in shingle_jaccard.deduplicated(frame(rows)).collect())
     assert got == [(-1, "null id alone here now"), (0, "own text of a row that repeats an id"), (1, long)]
     assert shingle_jaccard.deduplicated(frame([])).count() == 0
+
+
+def test_covering_simhash_gives_candidates_of_the_stage(spark, frame, monkeypatch):
+    """With no bands at all, what SimHash links is still found, and only if it is similar enough."""
+    monkeypatch.setattr(shingle_jaccard, "candidate_links", lambda found, tables: spark.createDataFrame([], "a bigint, b bigint"))
+    words = [f"w{i}" for i in range(3000)]
+    near = [*words[:1500], "other", *words[1501:]]
+    noise = lambda name: " ".join(["so it goes"] * 3000 + [f"{name}{i}" for i in range(100)])  # noqa: E731  equal majority bits, few equal shingles
+    texts = [" ".join(words), " ".join(near), noise("a"), noise("b"), "own text", None, " "]
+    fps = [covering_simhash.fingerprint((t or "").encode(), shingle_jaccard.SHINGLE) for t in texts]
+    assert (fps[0] ^ fps[1]).bit_count() <= covering_simhash.RADIUS and (fps[2] ^ fps[3]).bit_count() <= covering_simhash.RADIUS
+    kept = dict(corpus_pipeline.STAGES)["near_dedup"](spark, frame(list(enumerate(texts))), "")
+    assert sorted(r["doc_id"] for r in kept.collect()) == [0, 2, 3, 4, 5]

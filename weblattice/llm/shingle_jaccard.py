@@ -1,11 +1,12 @@
-"""Near-dedup by the Jaccard similarity of word shingles: wide covering candidates, then the exact similarity before anything is linked.
+"""Near-dedup by covering SimHash and the Jaccard similarity of word shingles: wide candidates, then the exact similarity before anything is linked.
 
 A text is the set of the hashes of its runs of ``shingle`` words (lower case, split at ASCII white space); a shorter text is one run, and a
-text without words is the empty set. Equal sets are one row. Candidates come from ``BANDS`` independent fingerprints of ``ROWS`` minima each:
-texts of similarity s share none of them with probability (1 - s^6)^48, which is 5e-7 at 0.8 and 1e-10 at 0.85. (The 64-bit SimHash of ``covering_simhash`` differs
-in ten places on average at 0.8, beyond any radius that masks cover at a bearable number of tables.)
+text without words is the empty set. Equal sets are one row. Candidates come from two sides. ``covering_simhash`` links the fingerprints of the texts, of the
+same shingles with repeats, within its radius; its masks miss none of these. At 0.8 such fingerprints differ in ten places on average, beyond any radius that
+masks cover at a bearable number of tables. So ``BANDS`` independent fingerprints of ``ROWS`` minima each add what lies further apart:
+texts of similarity s share none of them with probability (1 - s^6)^48, which is 5e-7 at 0.8 and 1e-10 at 0.85.
 
-Each bucket gives a star of candidate links, linear in its size. What these connect goes to one task with its sets, and there a breadth-first
+Each bucket of minima and each fingerprint gives a star of candidate links, linear in its size. What these connect goes to one task with its sets, and there a breadth-first
 search links what has a similarity of at least ``threshold``, by exact counts. So no bucket is cut, and no pair is linked on an estimate. A group of
 candidates is not split further over tasks.
 
@@ -25,7 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from weblattice import runtime
-from weblattice.llm import common
+from weblattice.llm import common, covering_simhash
 from weblattice.llm.components import components
 from weblattice.sources.snapshots import remove
 
@@ -104,23 +105,25 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """``(doc_id, text_key, set_key, bands)`` of every row; equal sets have equal keys."""
+    """``(doc_id, text_key, set_key, bands, fp)`` of every row; equal sets have equal keys, fp is the SimHash of the text as a signed number."""
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from xxhash import xxh64_intdigest
 
         factors = multipliers()
         for batch in batches:
-            keys, buckets = [], []
+            keys, buckets, fps = [], [], []
             for text in batch.column(2):
                 found = shingles(text.as_py(), shingle)
+                fps.append(covering_simhash.signed(covering_simhash.fingerprint(text.as_py().lower().encode(), shingle)))
                 keys.append(xxh64_intdigest(found.astype("<u8").tobytes(), SEED))
                 buckets.append(bands(found, factors))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.array(keys, dtype=np.uint64).view(np.int64), pa.int64()), pa.array(buckets, pa.list_(pa.int64()))],
-                names=["doc_id", "text_key", "set_key", "bands"])
+                [batch.column(0), batch.column(1), pa.array(np.array(keys, dtype=np.uint64).view(np.int64), pa.int64()), pa.array(buckets, pa.list_(pa.int64())),
+                 pa.array(fps, pa.int64())],
+                names=["doc_id", "text_key", "set_key", "bands", "fp"])
 
-    return keyed(docs).mapInArrow(work, "doc_id bigint, text_key bigint, set_key bigint, bands array<bigint>")
+    return keyed(docs).mapInArrow(work, "doc_id bigint, text_key bigint, set_key bigint, bands array<bigint>, fp bigint")
 
 
 def members_of(docs: DataFrame, chosen: DataFrame, shingle: int = SHINGLE) -> DataFrame:
@@ -201,11 +204,24 @@ def candidate_links(found: DataFrame, tables: Tables) -> DataFrame:
     return buckets.join(small_side(stars), "bucket").where("set_key <> a").select("a", F.col("set_key").alias("b")).distinct()
 
 
+def covering_links(found: DataFrame, tables: Tables) -> DataFrame:
+    """Links ``(a, b)`` that connect all sets whose texts have fingerprints within the radius of ``covering_simhash``: a star for each
+    fingerprint, and what its masks link of distinct fingerprints."""
+    pairs = tables.written(found.select("set_key", "fp").distinct(), "fingerprints")
+    firsts = tables.written(pairs.groupBy("fp").agg(F.min("set_key").alias("first"), F.max("set_key").alias("last")), "fingerprint-sets")
+    shared = firsts.where("first <> last").select("fp", "first")
+    stars = pairs.join(small_side(tables.written(shared, "fingerprint-stars")), "fp").where("set_key <> first").select(F.col("first").alias("a"), F.col("set_key").alias("b"))
+    near = tables.written(covering_simhash.near_links(firsts.select("fp")), "fingerprint-links")
+    for end in ("a", "b"):
+        near = near.join(firsts.select(F.col("fp").alias(end), F.col("first").alias(f"_{end}")), end)
+    return stars.unionByName(near.select(F.col("_a").alias("a"), F.col("_b").alias("b")).where("a <> b")).distinct()
+
+
 def grouped(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, tables: Tables | None = None) -> DataFrame:
     """``(doc_id, text_key, component_id)`` of every row; the component is named by its smallest ``doc_id``."""
     tables = tables or Tables(docs.sparkSession)
     found = tables.written(sets(docs, shingle), "sets")
-    loose = tables.written(components(tables.written(candidate_links(found, tables), "candidates")), "loose")
+    loose = tables.written(components(tables.written(candidate_links(found, tables).unionByName(covering_links(found, tables)).distinct(), "candidates")), "loose")
     chosen = found.join(small_side(loose.withColumnRenamed("node", "set_key")), "set_key").groupBy("set_key", "root").agg(
         F.min(F.struct(F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), "text_key")).alias("one"))
     chosen = tables.written(chosen.select("set_key", "root", "one.id", "one.text_key"), "chosen")
