@@ -188,3 +188,24 @@ def test_saved_stems_are_a_filter_of_the_scan(spark, pages, tmp_path):
     frame = search_text(index, phrase("number", prefix=True))
     assert "StringStartsWith(stem,number)" in plan(frame)
     assert rows(frame) == rows(search_text(build_text_index(pages), phrase("number", prefix=True)))
+
+
+def test_a_level_reads_its_range_of_the_edges(spark, small_skew_limits):
+    """Edges lie sorted by source; the filter on the level's range reaches the scan and loses no link."""
+    edges = spark.range(3000).selectExpr("concat(substr('abc', 1 + cast(id % 3 AS int), 1), ':', id) AS src", "concat('d', id) AS dst")
+    store = store_edges(edges)
+    try:
+        current = spark.createDataFrame([("b:1", 0), ("b:4", 0), (None, 0)], "url string, seed_ord bigint")
+        steps = _steps(current, store, ("b:1", "b:4"))
+        assert "GreaterThanOrEqual(src,b:1)" in plan(steps) and "LessThanOrEqual(src,b:4)" in plan(steps)
+        assert rows(steps) == rows(_steps(current, store)) == [("d1", 0), ("d4", 0)]
+    finally:
+        store.drop()
+    # Urls beyond ASCII, in an order of their own in UTF-16, at both ends of a level; levels that meet a resumed frontier.
+    names = ["a", "￮", "\U0001f600", "z", "é"]
+    chain = spark.createDataFrame(list(zip(["s"] * 5, names)) + list(zip(names, [f"t{n}" for n in names])), "src string, dst string")
+    start = spark.createDataFrame([("s", "s", 0, 0), ("far", "s", 1, 0)], "url string, origin_url string, depth int, seed_ord bigint")
+    far = spark.createDataFrame([("far", "near")], "src string, dst string")
+    got = traversal.traverse(chain.unionByName(far), 3, frontier=start).processed
+    expected = [("s", 0), ("far", 1), *[(n, 1) for n in names], *[(f"t{n}", 2) for n in names], ("near", 2)]
+    assert rows(got, "url", "depth") == sorted(expected)
