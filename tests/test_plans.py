@@ -146,6 +146,21 @@ def test_edges_stay_in_their_buckets(spark, small_skew_limits, monkeypatch):
         store.drop()
 
 
+def test_edges_without_a_heavy_source_stay_in_their_buckets(spark, small_skew_limits):
+    """A level that is too large to broadcast is shuffled to the edges, also where no source is split."""
+    edges = spark.range(20000, numPartitions=8).selectExpr("concat('s', id % 5000) AS src", "concat('d', id) AS dst")
+    current = spark.range(2000).selectExpr("concat('s', id) AS url", "id AS seed_ord")
+    store = store_edges(edges)
+    try:
+        assert store.heavy is None
+        for steps in (_steps(current, store), _steps(current, store, ("s0", "s999"))):
+            shuffled = re.findall(r"\) Exchange\nInput \[\d+\]: \[(.*?)\]\n", plan(steps))
+            assert shuffled and not any("dst" in columns for columns in shuffled)
+            assert steps.count() == 8000
+    finally:
+        store.drop()
+
+
 def test_batch_without_broadcast(spark, pages, small_skew_limits):
     """The shuffled form gives the same as the broadcast form."""
     index = build_text_index(pages, stem=False)
