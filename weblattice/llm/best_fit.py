@@ -142,6 +142,7 @@ def pieces(docs: DataFrame, tokenizer: str, sequence: int = SEQUENCE, end_token:
                 [pa.array(list(c), t) for c, t in zip(columns, (pa.int64(), pa.int32(), *[pa.int64()] * 4), strict=True)],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "own_sequence"])
 
+    runtime.bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), common.whole_text().alias("text"))
     return rows.mapInArrow(cut, PIECE)
 

@@ -219,6 +219,7 @@ def covering_links(found: DataFrame, tables: Tables) -> DataFrame:
 
 def grouped(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD, tables: Tables | None = None) -> DataFrame:
     """``(doc_id, text_key, component_id)`` of every row; the component is named by its smallest ``doc_id``."""
+    runtime.bounded_batches(docs.sparkSession)
     tables = tables or Tables(docs.sparkSession)
     found = tables.written(sets(docs, shingle), "sets")
     loose = tables.written(components(tables.written(candidate_links(found, tables).unionByName(covering_links(found, tables)).distinct(), "candidates")), "loose")

@@ -232,6 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, training: Column, threshold: float =
     """Fit on labelled rows for which ``training`` (a condition on ``doc_id``) holds; ``labels`` has ``doc_id`` and ``label``."""
     import zstandard as z
 
+    runtime.bounded_batches(docs.sparkSession)
     known = labels.where(training & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("bigint").alias("doc_id"), "label")
     known = known.groupBy("doc_id").agg(F.max("label").alias("label"))  # of labels that differ, the toxic one
     sample = common.written(
@@ -292,6 +293,7 @@ def described(texts: DataFrame, ordinary: bytes, toxic: bytes, settings: Setting
 
 def scored(docs: DataFrame, model: Model | None) -> DataFrame:
     """``(doc_id, score)`` of every row."""
+    runtime.bounded_batches(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), common.whole_text().cast("binary").alias("text"))
     if model is None:
         return rows.select("doc_id", F.lit(0.0).alias("score"))
@@ -311,6 +313,7 @@ def without_toxic(docs: DataFrame, model: Model | None, threshold: float) -> Dat
     """The rows of ``docs`` that score below the threshold, with all columns. Each row is scored where it is read, so nothing is shuffled."""
     if model is None:
         return docs
+    runtime.bounded_batches(docs.sparkSession)
     ordinary, toxic, weights, settings = model.ordinary, model.toxic, model.weights, model.settings
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
