@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from weblattice import runtime
 from weblattice.llm import best_fit, shingle_jaccard, zstd_toxicity
+from weblattice.operators.extraction import extract_pages
 
 
 @pytest.fixture
@@ -42,3 +43,12 @@ def test_texts_come_in_bounded_batches(defaults, frame, operator):
     long = defaults.range(0, 600, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word "), 10_000).alias("text"))  # 30 MB
     operator(frame([(1, "a b c d e f"), (2, None)]))
     assert largest(long) < 5 << 20
+
+
+def test_long_pages_come_in_bounded_batches(defaults):
+    """500 pages of 50 kB would be 25 MB."""
+    raw = defaults.range(0, 600, 1, 1).select(
+        F.concat(F.lit("http://h/"), "id").alias("url"), F.lit(200).alias("status_code"), F.lit("text/html").alias("content_type"),
+        F.repeat(F.lit("<p>x"), 12_500).alias("body"), F.lit(None).cast("string").alias("error"))
+    extract_pages(raw)
+    assert largest(raw) < 5 << 20
