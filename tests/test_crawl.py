@@ -2,9 +2,11 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
+import oracles
 from support import rows
 from weblattice import runtime, schemas
 from weblattice.operators.reports import frontier_size, run_counters, store_report
@@ -12,6 +14,7 @@ from weblattice.operators.visited import add_visited, new_urls, pending, upsert_
 from weblattice.operators.text_index import load_text_index
 from weblattice.operators.text_search import search_text
 from weblattice.plans.crawl import crawl, crawl_into, extraction, read_visited
+from weblattice.plans.registry import crawl_job, crawl_postings
 from weblattice.plans.traversal import traverse, traverse_in_turn
 from weblattice.runtime import materialize
 from weblattice.sources.frontier import clear_frontier, load_frontier, save_frontier
@@ -123,6 +126,23 @@ def test_crawl_with_robots(spark):
     assert rows(part.pages.unionByName(rest.pages), "url", "depth", "outcome") == rows(run.pages, "url", "depth", "outcome")
 
 
+def test_crawl_postings_of_whole_plain_text(spark, tmp_path):
+    """Words far behind the excerpt of a plain page are postings too; the stored page of ``crawl_job`` keeps its excerpt."""
+    plain = "early " * 166 + "cutword " + "late " * 5000 + "<b>End</b>"  # the excerpt ends inside cutword
+    bodies = {6: "<p>early</p>" + "<i>late</i> " * 3000, 8: plain, 9: "lost", 18: "", 28: None}
+    pages = [(i, f"http://x.hosts/{i}#top", bodies.get(i, f"<p>page{i}</p>")) for i in (*range(10), 18, 28)]
+    spark.createDataFrame(pages, "page_id bigint, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    found = crawl_postings(spark, str(tmp_path)).cache()
+    assert rows(found.filter("url = 'http://x.hosts/8'"), "word", "frequency") == [
+        ("18", 1), ("cutword", 1), ("early", 166), ("end", 1), ("hosts", 1), ("href", 1), ("http", 1), ("late", 5000), ("next", 1), ("top", 1),
+    ]
+    assert rows(found.filter("url = 'http://x.hosts/6'"), "word", "frequency") == [("early", 1), ("late", 3000)]
+    db = duckdb.connect()
+    db.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    assert rows(found) == sorted(db.execute(oracles.oracle_sql()["crawl_postings"]).fetchall())
+    assert rows(crawl_job(spark, str(tmp_path)).filter("url = 'http://x.hosts/8'"), "n_tokens") == [(167,)]
+
+
 def test_url_sets(spark):
     visited = spark.createDataFrame([("a", "o", 0)], schemas.TASKS).withColumn("discovered_at", F.current_timestamp())
     found = spark.createDataFrame([("a", "o", 1), ("b", "p", 2), ("b", "o", 1), ("b", "o", 1), ("c", "o", 3)], schemas.TASKS)
